@@ -3,12 +3,13 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_DATE = "yyyy-MM-dd"
+# Fixed value: the form of a date at the edges, four-digit year, month and day.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def parse_iso(text: Column) -> Column:
-    """Date of ``yyyy-MM-dd`` text; anything else is null."""
-    return F.try_to_date(text, ISO_DATE)
+    """Date of ``yyyy-MM-dd`` text; anything else is null. A cast is far cheaper than a format pattern."""
+    return F.when(text.rlike(ISO_DATE), text.try_cast("date"))
 
 
 def iso_text(date: Column) -> Column:

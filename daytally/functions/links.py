@@ -20,5 +20,6 @@ def request_url(base: str, exchange: Column, symbol: Column, start: Column, end:
 
 def strip_key(url: Column) -> Column:
     """Remove ``api_key=...`` wherever it stands in the query part."""
-    without = F.regexp_replace(url, r"([?&])api_key=[^&]*", "$1")
-    return F.regexp_replace(F.regexp_replace(without, r"([?&])&+", "$1"), r"[?&]$", "")
+    first, later = r"\?api_key=[^&]*&?", r"&api_key=[^&]*"
+    without = F.regexp_replace(F.regexp_replace(url, later, ""), first, "?")
+    return F.when(url.contains("api_key="), F.rtrim(without, F.lit("?"))).otherwise(url)

@@ -1 +1,5 @@
-"""Operators: functions from DataFrames to a DataFrame. None of them runs a job or holds state."""
+"""Operators: functions from DataFrames to a DataFrame.
+
+None of them collects rows. Only ``sizes`` runs a job, to count a dimension before it is broadcast, and
+``quality.enforce``, which has to know whether a check failed.
+"""

@@ -18,6 +18,7 @@ from daytally.functions import (
 )
 from daytally.functions.dates import parse_iso
 from daytally.operators import analysis, counting, ingest, maintenance, quality, venues
+from daytally.operators.sizes import broadcast_if_small
 from daytally.schemas import RAW_COLUMNS
 from daytally.sources import documents as docs
 from daytally.sources import listings, market_views, tables
@@ -399,7 +400,7 @@ def join_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _combined(spark, sf_dir).join(market_views.sectors(spark, sf_dir), "symbol")
+    rows = _combined(spark, sf_dir).join(broadcast_if_small(market_views.sectors(spark, sf_dir)), "symbol")
     return _text_date(analysis.stratified_sample(rows, "sector", ["date", "symbol"], SAMPLE_ROWS), "date")
 
 

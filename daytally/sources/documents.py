@@ -25,9 +25,14 @@ def _with_dataset(documents: DataFrame) -> DataFrame:
     return documents.withColumn("dataset", F.from_json("body", DOCUMENT_SCHEMA)["dataset"])
 
 
-def _cell(names: str, row: str, name: str) -> Column:
+def _place(name: str) -> Column:
+    """Where a document keeps the column; -1 if it has none."""
+    return (F.array_position("dataset.column_names", name) - 1).cast("int").alias(f"at_{name}")
+
+
+def _cell(name: str) -> Column:
     """The value under ``name``; null if the document lacks the column or the row is too short."""
-    return F.get(F.col(row), (F.array_position(F.col(names), name) - 1).cast("int"))
+    return F.get("row", F.col(f"at_{name}"))
 
 
 def _source_rows(documents: DataFrame, keep_empty: bool) -> DataFrame:
@@ -36,14 +41,16 @@ def _source_rows(documents: DataFrame, keep_empty: bool) -> DataFrame:
     Values are found by column name, so the order of the columns and extra ones do not matter.
     """
     explode = F.explode_outer if keep_empty else F.explode
-    rows = _with_dataset(documents).select(
+    # Whatever belongs to the document is worked out before it is split into rows.
+    parsed = _with_dataset(documents).select(
         "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"),
         parse_iso(F.col("dataset.newest_available_date")).alias("newest"),
-        F.col("dataset.column_names").alias("names"), explode("dataset.data").alias("row"),
+        *[_place(name) for name in ("Date", *VOLUME_COLUMNS)], F.col("dataset.data").alias("data"),
     )
+    rows = parsed.select(*[c for c in parsed.columns if c != "data"], explode("data").alias("row"))
     return rows.select(
-        "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("names", "row", "Date")).alias("Date"),
-        *[to_volume(_cell("names", "row", name)).alias(name) for name in VOLUME_COLUMNS],
+        "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("Date")).alias("Date"),
+        *[to_volume(_cell(name)).alias(name) for name in VOLUME_COLUMNS],
     )
 
 

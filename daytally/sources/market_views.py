@@ -8,7 +8,7 @@ from daytally.functions import exact_sum, iso_text, normalize_symbol
 SOURCE_URL = "https://data.example.org/api/v3/datasets/"
 # Customers come fifteen to a supplier, which gives every symbol its share of the orders.
 CUSTOMERS_PER_SYMBOL = 15
-ROWS_PER_DOCUMENT = 256
+ROWS_PER_DOCUMENT = 65_536
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,19 +59,20 @@ def text_short_interests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source documents of at most 256 rows each, newest row first.
+    """Source documents of at most 65,536 rows each, newest row first.
 
     Pages are cut by position inside each scan task, so a symbol with very many rows gets many documents
     and no group grows with the data.
     """
-    rows = short_interests(spark, sf_dir).withColumn(
-        "page", F.floor(F.monotonically_increasing_id() / ROWS_PER_DOCUMENT)
-    )
+    keys = ["page", "exchange", "Symbol"]
+    page = F.floor(F.monotonically_increasing_id() / ROWS_PER_DOCUMENT)
+    # Collecting text does not shrink it, so the rows move first and the text is made after.
+    rows = short_interests(spark, sf_dir).withColumn("page", page).repartition(*keys)
     cells = F.concat(
         F.lit('["'), iso_text(F.col("Date")), F.lit('",'), F.col("ShortVolume").cast("string"), F.lit(","),
         F.col("ShortExemptVolume").cast("string"), F.lit(","), F.col("TotalVolume").cast("string"), F.lit("]"),
     )
-    pages = rows.groupBy("page", "exchange", "Symbol").agg(
+    pages = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(cells), asc=False).alias("cells"), F.max("Date").alias("newest")
     )
     body = F.concat(
