@@ -4,6 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.operators.venues import dedupe
+from daytally.sources.documents import parse_documents
+
+# The columns that carry a symbol's request along with its documents and rows.
+WINDOW = ["last_date", "start_date", "end_date"]
 
 
 def last_dates(stored: DataFrame, keys: tuple[str, ...] = ("Symbol",)) -> DataFrame:
@@ -55,15 +59,19 @@ def fixed_plan(symbols: DataFrame, table_exists: bool, start: str, yesterday: st
 
 
 def wanted(df: DataFrame, plan: DataFrame) -> DataFrame:
-    """``df`` (rows or documents) of the symbols that are not skipped, with their window."""
+    """``df`` (documents or rows) of the symbols that are not skipped, with the columns of their window."""
     keys = [c for c in ("exchange", "Symbol") if c in plan.columns]
-    windows = plan.where(F.col("action") != "skip").select(*keys, "last_date", "start_date", "end_date")
-    return df.join(windows, keys)
+    return df.join(plan.where(F.col("action") != "skip").select(*keys, *WINDOW), keys)
 
 
-def new_rows(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Source rows to store: inside the window, after the newest stored date, one per key."""
-    window = F.col("Date").between(F.col("start_date"), F.col("end_date"))
+def new_rows(windowed: DataFrame) -> DataFrame:
+    """Rows to store, of rows with their window: inside it, after the newest stored date, one per key."""
+    inside = F.col("Date").between(F.col("start_date"), F.col("end_date"))
     unseen = F.col("last_date").isNull() | (F.col("Date") > F.col("last_date"))
-    kept = wanted(rows, plan).where(window & unseen)
-    return dedupe(kept.select(*rows.columns))
+    return dedupe(windowed.where(inside & unseen).drop(*WINDOW))
+
+
+def load(documents: DataFrame, plan: DataFrame) -> DataFrame:
+    """New rows of landed documents. The plan meets whole documents, so skipped ones are never parsed and
+    rows are not joined."""
+    return new_rows(parse_documents(wanted(documents, plan), *WINDOW))

@@ -33,20 +33,25 @@ def point_table_at(spark: SparkSession, name: str, path: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def append_batch(rows: DataFrame, path: str, pull_date: str) -> None:
-    """Store a day's load under ``exchange`` and ``pull_date``. Loading the same day again replaces it.
+def replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Write ``df``, replacing the partitions it has rows for and leaving the others.
 
-    The rebalance hint lets the runtime split a large venue and join small pieces, so files are of even
-    size whatever the venue.
+    The rebalance hint lets the runtime split a large partition and join small pieces, so files are of
+    even size whatever the partition.
     """
-    batch = rows.select("exchange", *RAW_COLUMNS, F.lit(pull_date).cast("date").alias("pull_date"))
     (
-        batch.hint("rebalance", "exchange", "pull_date")
+        df.hint("rebalance", *partitions)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("exchange", "pull_date").parquet(path)
+        .partitionBy(*partitions).parquet(path)
     )
 
 
+def append_batch(rows: DataFrame, path: str, pull_date: str) -> None:
+    """Store a day's load under ``exchange`` and ``pull_date``. Loading the same day again replaces it."""
+    batch = rows.select("exchange", *RAW_COLUMNS, F.lit(pull_date).cast("date").alias("pull_date"))
+    replace_partitions(batch, path, ["exchange", "pull_date"])
+
+
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 

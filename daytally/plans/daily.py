@@ -1,34 +1,60 @@
-"""The daily run: load, check, combine, publish, check again, study."""
+"""The daily run: load, check, combine, publish, check again, study.
 
-from pyspark.sql import DataFrame, SparkSession
+The store is partitioned by venue and pull date, the combined table by date, and every write replaces
+whole partitions. So each step can be repeated after a failure, and a day's work reads and writes the
+partitions the day touches rather than the whole history.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.operators.analysis import analysis_rows, sampled_correlation, sector_correlation
-from daytally.operators.ingest import incremental_plan, last_dates, new_rows, wanted
-from daytally.operators.maintenance import append_batch, overwrite_parquet, publish_csv
+from daytally.operators.ingest import advance_last_dates, incremental_plan, last_dates, load
+from daytally.operators.maintenance import append_batch, publish_csv, replace_partitions
 from daytally.operators.quality import basic_quality, enforce, quality_vs_source, reconcile
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
-from daytally.sources.documents import parse_documents
 from daytally.sources.tables import table_exists
 
+VENUE_SYMBOL = ("exchange", "Symbol")
 
-def plan_by_venue(spark: SparkSession, symbols: DataFrame, store: str, start: str, pull: str) -> DataFrame:
-    """Requests per venue and symbol. ``symbols`` has ``exchange`` and ``Symbol``.
 
-    What an earlier run of the same day stored is left out, so a repeated run plans and loads the same.
-    """
-    if not table_exists(spark, store):
-        return incremental_plan(symbols, None, start, pull)
-    earlier = spark.read.parquet(store).where(F.col("pull_date") < F.lit(pull).cast("date"))
-    return incremental_plan(symbols, last_dates(earlier, ("exchange", "Symbol")), start, pull)
+def _day(text: str) -> Column:
+    return F.lit(text).cast("date")
 
 
-def load_day(spark: SparkSession, documents: DataFrame, symbols: DataFrame, store: str, start: str, pull: str) -> None:
-    """Add the rows not stored yet. Documents of skipped symbols are dropped before they are parsed."""
-    plan = plan_by_venue(spark, symbols, store, start, pull)
-    fresh = wanted(documents, plan).select(*documents.columns)
-    append_batch(new_rows(parse_documents(fresh), plan), store, pull)
+def known_dates(spark: SparkSession, store: str, marks: str, pull: str) -> DataFrame:
+    """Newest stored date per venue and symbol before the run of ``pull``.
+
+    Starts from the newest saved dates and adds the pull dates stored since, so the history is read only
+    if nothing was saved. What an earlier run of the same day stored does not count.
+    """
+    stored = spark.read.parquet(store).where(F.col("pull_date") < _day(pull))
+    if not table_exists(spark, marks):
+        return last_dates(stored, VENUE_SYMBOL)
+    saved = spark.read.parquet(marks).where(F.col("pull_date") < _day(pull))
+    newest = saved.agg(F.max("pull_date")).first()[0]
+    if newest is None:
+        return last_dates(stored, VENUE_SYMBOL)
+    since = stored.where(F.col("pull_date") > F.lit(newest))
+    return advance_last_dates(saved.where(F.col("pull_date") == F.lit(newest)), since, VENUE_SYMBOL)
+
+
+def save_dates(spark: SparkSession, store: str, marks: str, pull: str) -> None:
+    """Save the newest stored dates as of ``pull``."""
+    today = spark.read.parquet(store).where(F.col("pull_date") == _day(pull))
+    dates = advance_last_dates(known_dates(spark, store, marks, pull), today, VENUE_SYMBOL)
+    replace_partitions(dates.withColumn("pull_date", _day(pull)), marks, ["pull_date"])
+
+
+def load_day(
+    spark: SparkSession, documents: DataFrame, symbols: DataFrame, store: str, marks: str, start: str, pull: str
+) -> None:
+    """Add the rows not stored yet. ``symbols`` has ``exchange`` and ``Symbol``."""
+    known = known_dates(spark, store, marks, pull) if table_exists(spark, store) else None
+    append_batch(load(documents, incremental_plan(symbols, known, start, pull)), store, pull)
+    if table_exists(spark, store):
+        save_dates(spark, store, marks, pull)
 
 
 def check_store(spark: SparkSession, documents: DataFrame, store: str) -> DataFrame:
@@ -39,25 +65,49 @@ def check_store(spark: SparkSession, documents: DataFrame, store: str) -> DataFr
     return presence.unionByName(quality_vs_source(spark.read.parquet(store), documents))
 
 
-def publish_day(spark: SparkSession, store: str, combined: str, export: str, fixes: dict[str, str] = SYMBOL_FIXES) -> None:
-    """Combine all stored rows and publish them, once as Parquet and once as CSV."""
-    overwrite_parquet(combine(spark.read.parquet(store), fixes), combined)
-    publish_csv(spark.read.parquet(combined), export)
+def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str, str] = SYMBOL_FIXES) -> None:
+    """Combine every stored row."""
+    replace_partitions(combine(spark.read.parquet(store), fixes), combined, ["date"])
+
+
+def publish_changes(
+    spark: SparkSession, store: str, combined: str, pull: str, fixes: dict[str, str] = SYMBOL_FIXES
+) -> None:
+    """Combine again the dates that the run of ``pull`` brought rows for.
+
+    A row is never pulled before its date, so partitions pulled before the oldest of these dates cannot
+    hold any of them and are not read. The dates are broadcast: there is one row per calendar day at most.
+    """
+    stored = spark.read.parquet(store)
+    dates = stored.where(F.col("pull_date") == _day(pull)).select("Date").distinct()
+    oldest = dates.agg(F.min("Date")).first()[0]
+    if oldest is None:
+        return
+    rows = stored.where((F.col("pull_date") >= F.lit(oldest)) & (F.col("Date") >= F.lit(oldest)))
+    changed = rows.join(F.broadcast(dates), "Date", "left_semi")
+    replace_partitions(combine(changed, fixes), combined, ["date"])
 
 
 def check_published(spark: SparkSession, store: str, combined: str) -> DataFrame:
     presence = basic_quality(spark, {"short_analysis": combined})
+    if not table_exists(spark, combined):
+        return presence
     return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store)))
 
 
 def run_day(
     spark: SparkSession, documents: DataFrame, symbols: DataFrame, folders: dict[str, str], start: str, pull: str
 ) -> None:
-    """One day from landed documents to the published table. Stops at the first failed check."""
-    load_day(spark, documents, symbols, folders["store"], start, pull)
-    enforce(check_store(spark, documents, folders["store"]))
-    publish_day(spark, folders["store"], folders["combined"], folders["export"])
-    enforce(check_published(spark, folders["store"], folders["combined"]))
+    """One day from landed documents to the published table. Stops at the first failed check.
+
+    ``folders`` names the shared folders ``store``, ``marks``, ``combined`` and ``export``.
+    """
+    store, combined = folders["store"], folders["combined"]
+    load_day(spark, documents, symbols, store, folders["marks"], start, pull)
+    enforce(check_store(spark, documents, store))
+    publish_changes(spark, store, combined, pull)
+    enforce(check_published(spark, store, combined))
+    publish_csv(spark.read.parquet(combined), folders["export"])
 
 
 def study(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> dict[str, DataFrame]:

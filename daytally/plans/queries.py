@@ -330,15 +330,13 @@ def incremental_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan, landed = _plan(spark, sf_dir), market_views.documents(spark, sf_dir)
-    fresh = ingest.wanted(landed, plan).select(*landed.columns)
-    return _text_date(ingest.new_rows(docs.parse_documents(fresh), plan))
+    return _text_date(ingest.load(market_views.documents(spark, sf_dir), _plan(spark, sf_dir)))
 
 
 @query
 def incremental_load_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = ingest.fixed_plan(_symbols(spark, sf_dir), True, START, PULL)
-    return _text_date(ingest.new_rows(docs.parse_documents(market_views.documents(spark, sf_dir)), plan))
+    return _text_date(ingest.load(market_views.documents(spark, sf_dir), plan))
 
 
 # Checks

@@ -35,7 +35,7 @@ def _cell(name: str) -> Column:
     return F.get("row", F.col(f"at_{name}"))
 
 
-def _source_rows(documents: DataFrame, keep_empty: bool) -> DataFrame:
+def _source_rows(documents: DataFrame, keep_empty: bool, *keep: str) -> DataFrame:
     """Typed rows with the newest date their document states; ``keep_empty`` keeps documents without rows.
 
     Values are found by column name, so the order of the columns and extra ones do not matter.
@@ -43,26 +43,27 @@ def _source_rows(documents: DataFrame, keep_empty: bool) -> DataFrame:
     explode = F.explode_outer if keep_empty else F.explode
     # Whatever belongs to the document is worked out before it is split into rows.
     parsed = _with_dataset(documents).select(
-        "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"),
+        *keep, "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"),
         parse_iso(F.col("dataset.newest_available_date")).alias("newest"),
         *[_place(name) for name in ("Date", *VOLUME_COLUMNS)], F.col("dataset.data").alias("data"),
     )
     rows = parsed.select(*[c for c in parsed.columns if c != "data"], explode("data").alias("row"))
     return rows.select(
-        "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("Date")).alias("Date"),
+        *keep, "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("Date")).alias("Date"),
         *[to_volume(_cell(name)).alias(name) for name in VOLUME_COLUMNS],
     )
 
 
-def parse_documents(documents: DataFrame) -> DataFrame:
-    """One typed row per data row, with the venue, the symbol and the key-free address carried along."""
-    return _source_rows(documents, keep_empty=False).select("exchange", *RAW_COLUMNS)
+def parse_documents(documents: DataFrame, *keep: str) -> DataFrame:
+    """One typed row per data row, with the venue, the symbol, the key-free address and the columns in
+    ``keep`` carried along."""
+    return _source_rows(documents, False, *keep).select("exchange", *RAW_COLUMNS, *keep)
 
 
 def newest_offered(documents: DataFrame) -> DataFrame:
     """Newest date the source states, and the short volume of its newest row, per venue and symbol."""
     newest_row = F.struct("Date", "TotalVolume", "ShortVolume", "ShortExemptVolume")
-    offered = _source_rows(documents, keep_empty=True).groupBy("exchange", "Symbol").agg(
+    offered = _source_rows(documents, True).groupBy("exchange", "Symbol").agg(
         F.max("newest").alias("newest_date"), F.max(F.when(F.col("Date").isNotNull(), newest_row)).alias("row")
     )
     return offered.select("exchange", "Symbol", "newest_date", F.col("row.ShortVolume").alias("source_volume"))

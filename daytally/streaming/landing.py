@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.operators.maintenance import replace_partitions
 from daytally.operators.venues import dedupe
 from daytally.schemas import LANDED_DOCUMENT_SCHEMA, RAW_COLUMNS
 from daytally.sources.documents import parse_documents
@@ -22,11 +23,7 @@ def load_landed(spark: SparkSession, landing: str, store: str, checkpoint: str,
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         rows = dedupe(batch).select("exchange", *RAW_COLUMNS, F.lit(batch_id).alias("batch"))
-        (
-            rows.hint("rebalance", "exchange")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("exchange", "batch").parquet(store)
-        )
+        replace_partitions(rows, store, ["exchange", "batch"])
 
     query = (
         parse_documents(documents).writeStream.foreachBatch(store_batch)

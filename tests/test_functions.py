@@ -1,0 +1,90 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally import functions as fn
+
+
+def _one(spark, column, **values):
+    row = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {'string' if isinstance(v, str) or v is None else 'double'}" for k, v in values.items()))
+    return row.select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize("raw, clean", [("BRK.A", "BRK_A"), ("BRK.A.B", "BRK_A_B"), ("FB", "FB"), (None, None)])
+def test_dots_become_underscores(spark, raw, clean):
+    assert _one(spark, fn.normalize_symbol(F.col("s")), s=raw) == clean
+
+
+@pytest.mark.parametrize("symbol, fixed", [("GECCL", "GECC_L"), ("GECC", "GECC"), ("OLD", "NEW"), (None, None)])
+def test_remap(spark, symbol, fixed):
+    assert _one(spark, fn.remap_symbol(F.col("s"), {"GECCL": "GECC_L", "OLD": "NEW"}), s=symbol) == fixed
+
+
+def test_remap_without_fixes_changes_nothing(spark):
+    assert _one(spark, fn.remap_symbol(F.col("s"), {}), s="A") == "A"
+
+
+@pytest.mark.parametrize("a, b, close", [
+    (1.00001, 1.0, True), (1.0001, 1.0, False), (0.0, 1e-9, True), (1e-9, 0.0, True),
+    (float("nan"), float("nan"), False), (float("inf"), float("inf"), True), (float("inf"), float("-inf"), False),
+    (5.0, float("inf"), False), (float("inf"), 5.0, False),
+])
+def test_is_close(spark, a, b, close):
+    assert _one(spark, fn.is_close(F.col("a"), F.col("b")), a=a, b=b) is close
+
+
+def test_the_relative_tolerance_scales_with_the_reference_only(spark):
+    close = fn.is_close(F.col("a"), F.col("b"), rtol=0.5)
+    assert _one(spark, close, a=1.0, b=1.8) is True
+    assert _one(spark, close, a=1.8, b=1.0) is False
+
+
+def test_null_is_never_close(spark):
+    row = spark.sql("SELECT CAST(NULL AS DOUBLE) AS a, 1D AS b")
+    assert row.select(fn.is_close(F.col("a"), F.col("b")).alias("x")).first()["x"] is False
+
+
+@pytest.mark.parametrize("text, volume", [
+    ("12.5", 12.5), ("1.2345678E7", 12345678.0), ("abc", None), ("", None), ("NaN", None), (" 7 ", 7.0), (None, None),
+])
+def test_volume_text(spark, text, volume):
+    assert _one(spark, fn.to_volume(F.col("t")), t=text) == volume
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    values = [0.1, 0.2, 0.3, 1e9, 0.07] * 200
+    up = spark.createDataFrame([(v,) for v in sorted(values)], "v double").agg(fn.exact_sum(F.col("v"))).first()[0]
+    down = spark.createDataFrame([(v,) for v in sorted(values, reverse=True)], "v double").repartition(7)
+    assert up == down.agg(fn.exact_sum(F.col("v"))).first()[0] == 200000000134.0
+
+
+def test_ratio_of_a_day_without_volume_is_null(spark):
+    assert _one(spark, fn.ratio(F.col("a"), F.col("b")), a=1.0, b=0.0) is None
+    assert _one(spark, fn.ratio(F.col("a"), F.col("b")), a=1.0, b=4.0) == 0.25
+
+
+@pytest.mark.parametrize("a, b, before", [
+    ("2020-01-01", "2020-01-02", True), ("2020-01-02", "2020-01-02", False), ("2020-01-03", "2020-01-02", False),
+    ("tomorrow", "2020-01-02", None), ("2020-02-30", "2020-03-02", None), ("2020", "2021-01-01", None),
+])
+def test_date_before(spark, a, b, before):
+    assert _one(spark, fn.date_before(F.col("a"), F.col("b")), a=a, b=b) is before
+
+
+@pytest.mark.parametrize("url, stored", [
+    ("http://h/d?api_key=K", "http://h/d"),
+    ("http://h/d?start=1&api_key=K", "http://h/d?start=1"),
+    ("http://h/d?api_key=K&start=1", "http://h/d?start=1"),
+    ("http://h/d?a=1&api_key=K&b=2", "http://h/d?a=1&b=2"),
+    ("http://h/d?a=1", "http://h/d?a=1"),
+])
+def test_key_is_stripped(spark, url, stored):
+    assert _one(spark, fn.strip_key(F.col("u")), u=url) == stored
+
+
+def test_request_url(spark):
+    frame = spark.createDataFrame([("NYSE", "FB", date(2020, 1, 1), date(2020, 1, 9)), ("OTHER", "X", None, None)],
+                                  "e string, s string, a date, b date")
+    urls = [r[0] for r in frame.select(fn.request_url("https://h/d/", F.col("e"), F.col("s"), F.col("a"), F.col("b"))).collect()]
+    assert urls == ["https://h/d/FNYX_FB?start_date=2020-01-01&end_date=2020-01-09", None]

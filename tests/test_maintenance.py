@@ -1,0 +1,94 @@
+import pytest
+from helpers import day, shorts, tuples
+from pyspark.sql import functions as F
+
+from daytally.operators import maintenance as m
+from daytally.schemas import COMBINED_SCHEMA
+
+
+def _rows(spark):
+    return spark.createDataFrame([("A_B", 1), ("AB", 2), (None, 3)], "Symbol string, n int")
+
+
+def _predicate():
+    return F.col("Symbol").contains("_")
+
+
+def test_delete_keeps_rows_the_predicate_does_not_know(spark):
+    rows = _rows(spark)
+    kept = m.delete_where(rows, _predicate())
+    assert tuples(kept, "n") == [(2,), (3,)]
+    assert tuples(kept.unionByName(rows.where(_predicate())), "n") == tuples(rows, "n")
+    assert tuples(m.delete_report(rows, _predicate()), "*") == [(3, 1, 2)]
+
+
+def test_rewrite_goes_to_a_new_place_and_leaves_the_source(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    _rows(spark).write.parquet(old)
+    with pytest.raises(ValueError, match="new target"):
+        m.rewrite_without(spark, old, old + "/", _predicate())
+    assert spark.read.parquet(old).count() == 3
+    assert tuples(m.rewrite_without(spark, old, new, _predicate()), "*") == [(3, 1, 2)]
+    assert spark.read.parquet(old).count() == 3
+    assert tuples(spark.read.parquet(new), "Symbol") == [(None,), ("AB",)]
+
+
+def test_readers_move_to_the_rewritten_copy(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    _rows(spark).write.parquet(old)
+    spark.sql(f"CREATE TABLE moving (Symbol string, n int) USING parquet LOCATION '{old}'")
+    try:
+        assert spark.table("moving").count() == 3
+        m.rewrite_without(spark, old, new, _predicate())
+        m.point_table_at(spark, "moving", new)
+        assert spark.table("moving").count() == 2
+    finally:
+        spark.sql("DROP TABLE moving")
+
+
+def test_csv_sinks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    m.overwrite_csv(_rows(spark), path)
+    m.append_csv(_rows(spark), path)
+    assert spark.read.csv(path, header=True).where("Symbol = 'AB'").count() == 2
+    m.overwrite_csv(_rows(spark), path)
+    assert spark.read.csv(path, header=True).count() == 3
+
+
+def test_parquet_and_text_sinks(spark, tmp_path):
+    m.overwrite_parquet(_rows(spark), str(tmp_path / "p"))
+    m.overwrite_parquet(_rows(spark), str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+    m.write_lines(_rows(spark), "n", str(tmp_path / "l"))
+    assert tuples(spark.read.text(str(tmp_path / "l")), "value") == [("1",), ("2",), ("3",)]
+
+
+def test_published_files_are_bounded_headed_and_in_order(spark, tmp_path):
+    path = tmp_path / "export"
+    combined = spark.range(1000).select(
+        F.date_add(F.lit(day("2020-01-01")), (F.col("id") % 50).cast("int")).alias("date"),
+        F.concat(F.lit("S"), (F.col("id") / 50).cast("int")).alias("symbol"), F.lit(1.0).alias("short_exempt_volume"),
+        F.col("id").cast("double").alias("short_volume"), F.lit(2.0).alias("total_volume"),
+    )
+    m.publish_csv(combined, str(path), rows_per_file=100)
+    files = sorted(path.glob("*.csv"))
+    assert len(files) >= 10
+    for file in files:
+        lines = file.read_text().splitlines()
+        assert lines[0] == "date,symbol,short_exempt_volume,short_volume,total_volume"
+        assert len(lines) <= 101
+        keys = [tuple(line.split(",")[:2]) for line in lines[1:]]
+        assert keys == sorted(keys)
+    back = spark.read.schema(COMBINED_SCHEMA).csv(str(path), header=True)
+    assert tuples(back, "*") == tuples(combined, "*")
+
+
+def test_compact(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    rows = shorts(spark, *[("NYSE", "2020-01-08", f"S{i}", 1.0, 1.0, 1.0) for i in range(40)])
+    rows.repartition(20).write.partitionBy("exchange").parquet(source)
+    m.compact(spark, source, target, ["exchange"])
+    assert tuples(spark.read.parquet(target), "Symbol") == tuples(rows, "Symbol")
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) < len(list((tmp_path / "s").rglob("*.parquet")))
+    with pytest.raises(ValueError, match="new target"):
+        m.compact(spark, source, source, ["exchange"])

@@ -1,0 +1,70 @@
+import pytest
+from helpers import day, shorts, tuples
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from daytally.operators import venues
+from daytally.schemas import COMBINED_COLUMNS
+
+D = "2020-02-21"
+
+
+def test_two_venues_add_up(spark):
+    rows = shorts(spark, ("NASDAQ", D, "SPY", 1.0, 10.0, 100.0), ("NYSE", D, "SPY", 2.0, 20.0, 200.0))
+    for result in (venues.combine(rows), venues.combine_raw(rows), venues.combine_any_venue(rows)):
+        assert result.columns == COMBINED_COLUMNS
+        assert tuples(result, "*") == [(day(D), "SPY", 3.0, 30.0, 300.0)]
+
+
+def test_null_volumes(spark):
+    rows = shorts(spark, ("NASDAQ", D, "FB", None, 10.0, 100.0), ("NYSE", D, "FB", None, None, 50.0))
+    for result in (venues.combine(rows), venues.combine_raw(rows), venues.combine_any_venue(rows)):
+        assert tuples(result, "*") == [(day(D), "FB", None, 10.0, 150.0)]
+
+
+def test_null_symbol_and_date_are_groups(spark):
+    rows = shorts(spark, ("NASDAQ", None, None, 1.0, 1.0, 1.0), ("NYSE", None, None, 2.0, 2.0, 2.0))
+    for result in (venues.combine(rows), venues.combine_raw(rows), venues.combine_any_venue(rows)):
+        assert tuples(result, "short_volume") == [(3.0,)]
+
+
+def test_a_repeated_day_counts_once_only_when_deduped(spark):
+    rows = shorts(spark, ("NYSE", D, "FB", 1.0, 10.0, 100.0), ("NYSE", D, "FB", 1.0, 10.0, 100.0))
+    assert tuples(venues.combine(rows), "short_volume") == [(10.0,)]
+    assert tuples(venues.combine_any_venue(rows), "short_volume") == [(10.0,)]
+    assert tuples(venues.combine_raw(rows), "short_volume") == [(20.0,)]
+
+
+def test_the_kept_row_does_not_depend_on_order(spark):
+    rows = shorts(
+        spark, ("NYSE", D, "FB", 5.0, 10.0, 100.0), ("NYSE", D, "FB", 1.0, 11.0, 100.0), ("NYSE", D, "FB", 9.0, 99.0, 99.0),
+    )
+    for order in (F.asc, F.desc):
+        kept = venues.dedupe(rows.orderBy(order("ShortExemptVolume")))
+        assert tuples(kept, "ShortExemptVolume", "ShortVolume", "TotalVolume") == [(1.0, 11.0, 100.0)]
+        assert kept.columns == rows.columns
+
+
+def test_remap_comes_after_the_totals(spark):
+    rows = shorts(spark, ("NYSE", D, "GECCL", 1.0, 1.0, 1.0), ("NASDAQ", D, "GECC", 1.0, 1.0, 1.0))
+    assert [r[0] for r in tuples(venues.combine(rows), "symbol")] == ["GECC", "GECC_L"]
+
+
+def test_unlisted_venue_stops_the_job_or_is_added(spark):
+    rows = shorts(spark, ("NYSE", D, "FB", 1.0, 1.0, 1.0), ("ORF", D, "FB", 1.0, 1.0, 1.0))
+    with pytest.raises(PySparkException, match="unlisted venue: ORF"):
+        venues.combine(rows).collect()
+    assert tuples(venues.combine(rows, venues=("NYSE", "ORF")), "short_volume") == [(2.0,)]
+    assert tuples(venues.combine_any_venue(rows), "short_volume") == [(2.0,)]
+
+
+def test_keys_of_an_unlisted_venue_are_not_lost_when_no_volume_is_asked_for(spark):
+    rows = shorts(spark, ("ORF", D, "FB", 1.0, 1.0, 1.0))
+    assert tuples(venues.combine(rows), "date", "symbol") == [(day(D), "FB")]
+
+
+def test_union_matches_columns_by_name(spark):
+    a = spark.createDataFrame([("A", 1.0)], "Symbol string, ShortVolume double")
+    b = spark.createDataFrame([(2.0, "B")], "ShortVolume double, Symbol string")
+    both = venues.union_venues({"NASDAQ": a, "NYSE": b})
+    assert tuples(both, "exchange", "Symbol", "ShortVolume") == [("NASDAQ", "A", 1.0), ("NYSE", "B", 2.0)]
