@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import dedupe
 from daytally.sources.documents import parse_documents
 
@@ -41,21 +42,23 @@ def incremental_plan(symbols: DataFrame, known: DataFrame | None, start: str, pu
     else:
         planned = symbols.join(known, symbols.columns, "left")
     last, end = F.col("last_date"), _as_date(pull)
-    return planned.select(
+    plan = planned.select(
         *symbols.columns, "last_date",
         F.coalesce(last, _as_date(start)).alias("start_date"), end.alias("end_date"),
         F.when(last.isNull(), "full").when(last < end, "partial").otherwise("skip").alias("action"),
     )
+    return broadcast_if_small(plan, bounded_by=symbols)
 
 
 def fixed_plan(symbols: DataFrame, table_exists: bool, start: str, yesterday: str) -> DataFrame:
     """The older rule: one day for every symbol once there is a table, all days before that."""
     first = yesterday if table_exists else start
-    return symbols.select(
+    plan = symbols.select(
         *symbols.columns, F.lit(None).cast("date").alias("last_date"),
         _as_date(first).alias("start_date"), _as_date(yesterday).alias("end_date"),
         F.lit("partial" if table_exists else "full").alias("action"),
     )
+    return broadcast_if_small(plan, bounded_by=symbols)
 
 
 def wanted(df: DataFrame, plan: DataFrame) -> DataFrame:

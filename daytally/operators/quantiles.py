@@ -4,7 +4,7 @@ The built-in exact percentile keeps all distinct values of a group in one task.
 counted, which spreads and combines like any grouping, and the wanted ranks are then found in two rounds:
 the range of a group is cut into cells, running totals over the cells tell which cell holds a rank, and
 the same is done with the values of that cell. No task orders more rows than the square root of a group's
-range of values.
+range of values, times the number of ranks.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,12 +31,11 @@ def _ranks(probabilities: dict[str, float]) -> Column:
     return F.explode(F.array(*pairs))
 
 
-def _holding(buckets: DataFrame, within: list[str], value: str, targets: DataFrame) -> DataFrame:
-    """For each target, the bucket that holds its rank, and the rank counted from that bucket's start."""
+def _holding(buckets: DataFrame, within: list[str], value: str) -> tuple[DataFrame, Column]:
+    """Buckets in order with the number of rows before each, and the test that one holds rank ``rank``."""
     running = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = buckets.withColumn("end", F.sum("n").over(running)).withColumn("before", F.col("end") - F.col("n"))
-    inside = (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("end"))
-    return ends.join(targets, within).where(inside).withColumn("rank", F.col("rank") - F.col("before"))
+    ordered = buckets.withColumn("end", F.sum("n").over(running)).withColumn("before", F.col("end") - F.col("n"))
+    return ordered.drop("n"), (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("end"))
 
 
 def order_statistics(counts: DataFrame, by: str, probabilities: dict[str, float], groups: int) -> DataFrame:
@@ -46,25 +45,24 @@ def order_statistics(counts: DataFrame, by: str, probabilities: dict[str, float]
     the number of groups; it decides whether the per-group state is broadcast.
     """
     spans = counts.groupBy(by).agg(F.min("v").alias("bottom"), F.max("v").alias("top"), F.sum("n").alias("total"))
-    spans = spans.withColumn("width", F.ceil(F.sqrt((F.col("top") - F.col("bottom") + 1).cast("double"))))
-    targets = spans.select(by, _ranks(probabilities).alias("r")).select(by, "r.target", "r.rank")
+    cut = spans.select(by, "bottom", F.ceil(F.sqrt((F.col("top") - F.col("bottom") + 1).cast("double"))).alias("width"))
+    targets = spans.select(by, "total", _ranks(probabilities).alias("r")).select(by, "total", "r.target", "r.rank")
     state_rows = groups * len(probabilities) * 2
 
-    cell = F.expr("(v - bottom) div width")
-    celled = counts.join(_small(spans, groups), by).select(by, cell.alias("cell"), "v", "n")
-    cells = celled.groupBy(by, "cell").agg(F.sum("n").alias("n"))
-    chosen = _holding(cells, [by], "cell", _small(targets, state_rows)).select(by, "cell", "target", "rank")
-
-    # Several targets may share a cell; its values are taken once.
-    shared = chosen.select(by, "cell").distinct()
-    values = celled.join(_small(shared, state_rows), [by, "cell"])
-    found = _holding(values, [by, "cell"], "v", _small(chosen, state_rows))
-
-    names = [f"{name}_{side}" for name in probabilities for side in ("lo", "hi")]
-    wide = found.groupBy(by).agg(*[F.max(F.when(F.col("target") == t, F.col("v"))).alias(t) for t in names])
-    return wide.join(_small(spans.select(by, "total"), groups), by).select(
-        by, *[_between(name, p).alias(name) for name, p in probabilities.items()]
+    celled = counts.join(_small(cut, groups), by).select(by, F.expr("(v - bottom) div width").alias("cell"), "v", "n")
+    cells, holds = _holding(celled.groupBy(by, "cell").agg(F.sum("n").alias("n")), [by], "cell")
+    chosen = cells.join(_small(targets, state_rows), by).where(holds).select(
+        by, "cell", "total", "target", (F.col("rank") - F.col("before")).alias("rank")
+    )
+    values, holds = _holding(celled.join(_small(chosen, state_rows), [by, "cell"]), [by, "target"], "v")
+    wide = values.where(holds).groupBy(by).agg(
+        F.max("total").alias("total"),
+        *[
+            F.max(F.when(F.col("target") == f"{name}_{side}", F.col("v"))).alias(f"{name}_{side}")
+            for name in probabilities for side in ("lo", "hi")
+        ],
     )
+    return wide.select(by, *[_between(name, p).alias(name) for name, p in probabilities.items()])
 
 
 def _between(name: str, p: float) -> Column:

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, bounded_by: DataFrame | None = None
+) -> DataFrame:
     """Mark a dimension for broadcast if it has no more than ``max_rows`` rows; else leave the join to Spark.
 
-    Counting runs a job over ``df``, so give it a small table or one that is cheap to read. Spark's own
-    estimate multiplies the sizes of joined tables and takes a joined dimension for the larger side.
+    Counting runs a job over ``df``, or over ``bounded_by`` if that is a cheaper table known to have as
+    many rows. Spark's own estimate multiplies the sizes of joined tables, so it takes a joined dimension
+    for the larger side, and it takes long text for short.
     """
-    counted = df.limit(max_rows + 1).count()
+    counted = (df if bounded_by is None else bounded_by).limit(max_rows + 1).count()
     return F.broadcast(df) if counted <= max_rows else df

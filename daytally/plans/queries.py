@@ -364,7 +364,8 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     shorts, published = _shorts(spark, sf_dir), _combined(spark, sf_dir)
     in_month = iso_text(F.col("date")).startswith(FAULT_MONTH)
     off = F.when(in_month & (F.col("symbol") == "S_1"), F.col("short_volume") + 1).otherwise(F.col("short_volume"))
-    faulty = published.where(~(in_month & (F.col("symbol") == "S_2"))).withColumn("short_volume", off)
+    missing = in_month & (F.col("symbol") == "S_2") & F.col("short_volume").isNotNull()
+    faulty = maintenance.delete_where(published, missing).withColumn("short_volume", off)
     return quality.reconcile(faulty, shorts, FIXES)
 
 

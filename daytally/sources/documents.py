@@ -40,14 +40,16 @@ def _source_rows(documents: DataFrame, keep_empty: bool, *keep: str) -> DataFram
 
     Values are found by column name, so the order of the columns and extra ones do not matter.
     """
-    explode = F.explode_outer if keep_empty else F.explode
     # Whatever belongs to the document is worked out before it is split into rows.
     parsed = _with_dataset(documents).select(
         *keep, "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"),
         parse_iso(F.col("dataset.newest_available_date")).alias("newest"),
         *[_place(name) for name in ("Date", *VOLUME_COLUMNS)], F.col("dataset.data").alias("data"),
     )
-    rows = parsed.select(*[c for c in parsed.columns if c != "data"], explode("data").alias("row"))
+    # An inner explode would have its non-empty test, and so the parsing, repeated below any earlier join.
+    rows = parsed.select(*[c for c in parsed.columns if c != "data"], F.explode_outer("data").alias("row"))
+    if not keep_empty:
+        rows = rows.where(F.col("row").isNotNull())
     return rows.select(
         *keep, "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("Date")).alias("Date"),
         *[to_volume(_cell(name)).alias(name) for name in VOLUME_COLUMNS],
