@@ -36,21 +36,23 @@ def indexed_tail(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("index", F.monotonically_increasing_id()).orderBy(F.desc("index")).limit(n)
 
 
+def _moments(column: str) -> Column:
+    value = F.col(column)
+    return F.struct(
+        F.lit(column).alias("column"), F.count(value).alias("n"), (exact_sum(value) / F.count(value)).alias("mean"),
+        F.round(F.stddev_samp(value), 4).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+    )
+
+
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of volume columns, one row per column."""
-    long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("c")
-    ).select("c.column", "c.value")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("n"), (exact_sum(F.col("value")) / F.count("value")).alias("mean"),
-        F.round(F.stddev_samp("value"), 4).alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", hundredths(F.col("value")).alias("v")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    moments = df.agg(*[_moments(c).alias(f"m{i}") for i, c in enumerate(columns)])
+    rows = moments.select(F.explode(F.array(*[f"m{i}" for i in range(len(columns))])).alias("m")).select("m.*")
+    values = F.array(*[F.struct(F.lit(c).alias("column"), hundredths(F.col(c)).alias("v")) for c in columns])
+    long = df.select(F.explode(values).alias("c")).select("c.column", "c.v").where(F.col("v").isNotNull())
+    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
     quartiles = order_statistics(counts, "column", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, groups=len(columns))
-    joined = moments.join(quartiles, "column", "left")
+    joined = rows.join(F.broadcast(quartiles), "column", "left")
     return joined.select(
         "column", "n", "mean", "std", "min",
         *[(F.col(q) / 100.0).alias(q) for q in ("q25", "q50", "q75")], "max",

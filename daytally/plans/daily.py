@@ -14,6 +14,7 @@ from daytally.operators.maintenance import append_batch, publish_csv, replace_pa
 from daytally.operators.quality import basic_quality, enforce, quality_vs_source, reconcile
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
+from daytally.session import cut_lineage
 from daytally.sources.tables import table_exists
 
 VENUE_SYMBOL = ("exchange", "Symbol")
@@ -111,8 +112,11 @@ def run_day(
 
 
 def study(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> dict[str, DataFrame]:
-    """Correlations over all rows, per year, and over the sampled middle band."""
-    rows = analysis_rows(combined, prices, sectors)
+    """Correlations over all rows, per year, and over the sampled middle band.
+
+    The joined rows are checkpointed: all three need them, and they come out of several shuffles.
+    """
+    rows = cut_lineage(analysis_rows(combined, prices, sectors))
     return {
         "by_sector": sector_correlation(rows),
         "by_sector_and_year": sector_correlation(rows, per_year=True),

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import statistics
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daytally.operators import analysis as a
 from daytally.operators import counting
+from daytally.session import cut_lineage
 
 
 def _prices(spark, *closes, symbol="A"):
@@ -111,3 +113,38 @@ def test_tail_and_top(spark):
     top = counting.top_rows(spark.range(100), [F.desc("id")], 2)
     assert [r["id"] for r in top.collect()] == [99, 98]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_study_gives_the_same_correlations_as_its_parts(spark):
+    from daytally.operators.venues import combine
+    from daytally.plans.daily import study
+    from daytally.sources import market_views as views
+
+    folder = "/root/testdata/sf0.001"
+    tables = combine(views.short_interests(spark, folder)), views.prices(spark, folder), views.sectors(spark, folder)
+    results = study(*tables)
+    rows = a.analysis_rows(*tables)
+    assert tuples(results["by_sector"], "*") == tuples(a.sector_correlation(rows), "*")
+    assert tuples(results["by_sector_and_year"], "*") == tuples(a.sector_correlation(rows, per_year=True), "*")
+    assert tuples(results["sampled"], "*") == tuples(a.sampled_correlation(rows), "*")
+    assert "Scan ExistingRDD" in results["by_sector"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checkpoints_go_to_the_folder_of_the_session(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    assert cut_lineage(spark.range(3)).count() == 3
+    assert list(tmp_path.rglob("rdd-*"))
+    if before:
+        spark.sparkContext.setCheckpointDir(before.removeprefix("file:"))
+
+
+def test_a_cluster_without_a_shared_checkpoint_folder_is_refused():
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    session = SimpleNamespace(sparkContext=Context, conf={})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        cut_lineage(SimpleNamespace(sparkSession=session))
