@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.functions import ratio
-from daytally.operators.sizes import broadcast_if_small
 from daytally.schemas import RETURN_HORIZONS
 
 
@@ -28,9 +27,9 @@ def join_prices(combined: DataFrame, priced: DataFrame, sectors: DataFrame) -> D
     """Combined volumes with the price columns and the sector of the same date and symbol.
 
     The sector joins first: prices come from a window per symbol and are already placed by symbol, should
-    there be too many sectors to broadcast.
+    there be too many symbols to broadcast their sectors.
     """
-    return combined.join(priced.join(broadcast_if_small(sectors), "symbol"), ["date", "symbol"])
+    return combined.join(priced.join(sectors, "symbol"), ["date", "symbol"])
 
 
 def analysis_rows(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> DataFrame:

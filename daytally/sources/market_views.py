@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions import exact_sum, iso_text, normalize_symbol
+from daytally.operators.sizes import broadcast_if_small
 
 SOURCE_URL = "https://data.example.org/api/v3/datasets/"
 # Customers come fifteen to a supplier, which gives every symbol its share of the orders.
@@ -93,14 +94,13 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sector per symbol."""
+    """One sector per symbol: as many rows as there are suppliers, which decides on the broadcast."""
     supplier = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
     region = table(spark, sf_dir, "region")
     placed = supplier.join(nation, "n_nationkey").join(region, "r_regionkey")
-    return placed.select(
-        F.concat(F.lit("S_"), F.col("s_suppkey").cast("string")).alias("symbol"), F.col("r_name").alias("sector")
-    )
+    symbol = F.concat(F.lit("S_"), F.col("s_suppkey").cast("string")).alias("symbol")
+    return broadcast_if_small(placed.select(symbol, F.col("r_name").alias("sector")), bounded_by=supplier)
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
