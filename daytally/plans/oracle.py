@@ -168,22 +168,22 @@ SELECT exchange, s AS "Symbol", 'data' AS status, count(*) AS n_rows FROM raw GR
 FROM ({_latest('raw', 'exchange, s')})""",
     "sql_view": f"WITH {RAW} SELECT {ROW} FROM raw",
     "project": f"""WITH {RAW} SELECT s AS symbol, day AS date, tv AS "TotalVolume", sv AS "ShortVolume" FROM raw""",
-    "filter_eq": f"WITH {RAW} SELECT {ROW} FROM raw WHERE s = 'S_7' AND d = DATE '1999-06-15'",
+    "filter_eq": f"WITH {RAW} SELECT {ROW} FROM raw WHERE s = 'S_7' AND d = DATE '2001-07-10'",
     "filter_contains": f"WITH {RAW} SELECT {ROW} FROM raw WHERE contains(s, '_9')",
     "delete_where": f"WITH {RAW} SELECT {ROW} FROM raw WHERE NOT contains(s, '_9')",
     "delete_report": f"""WITH {RAW} SELECT count(*) AS n_before, count(*) FILTER (contains(s, '_9')) AS n_deleted,
 count(*) FILTER (NOT contains(s, '_9')) AS n_after FROM raw""",
-    "normalize_symbols": """SELECT p_partkey,
+    "normalize_symbol": """SELECT p_partkey,
 replace('P.' || CAST(p_size AS VARCHAR) || '.' || CAST(p_partkey AS VARCHAR), '.', '_') AS symbol FROM part""",
     "symbol_remap": f"""WITH {RAW} SELECT day AS "Date", {FIXED} AS symbol, tv AS "TotalVolume" FROM raw""",
     "typed_cast": f"""WITH {RAW} SELECT exchange, s AS "Symbol", CASE WHEN ev = 0.03 THEN NULL ELSE day END AS "Date",
 CASE WHEN ev = 0.03 THEN NULL ELSE sv END AS "ShortVolume", tv AS "TotalVolume" FROM raw""",
-    "before_pull_date": f"""WITH {RAW} SELECT s AS "Symbol", CASE WHEN ev = 0.03 THEN 'not a day' ELSE day END AS date,
+    "date_before": f"""WITH {RAW} SELECT s AS "Symbol", CASE WHEN ev = 0.03 THEN 'not a day' ELSE day END AS date,
 CASE WHEN ev = 0.03 THEN NULL ELSE d < DATE '{q.PULL}' END AS before FROM raw""",
-    "request_urls": f"""WITH {RAW} SELECT exchange, s AS "Symbol",
+    "request_url": f"""WITH {RAW} SELECT exchange, s AS "Symbol",
 '{SOURCE_URL}' || CASE exchange WHEN 'NASDAQ' THEN 'FNSQ' ELSE 'FNYX' END || '_' || s
 || '?start_date=' || day || '&end_date=2001-12-31' AS url FROM raw""",
-    "close_volumes": f"""WITH r AS (
+    "is_close": f"""WITH r AS (
 SELECT l_orderkey, l_linenumber, l_quantity, l_quantity * (1 + l_tax * CAST(0.0005 AS DOUBLE)) AS reference FROM lineitem)
 SELECT l_orderkey, l_linenumber, reference, {CLOSE.format(a='l_quantity', b='reference')} AS close FROM r""",
     "combine": f"WITH {RAW}, {DEDUPED}, {COMBINED} SELECT * EXCLUDE (d) FROM combined",

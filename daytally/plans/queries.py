@@ -37,7 +37,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register a query under the function's name, less the underscore that keeps it apart from an import."""
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -161,7 +162,7 @@ def project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _shorts(spark, sf_dir).where((F.col("Symbol") == "S_7") & (F.col("Date") == F.lit("1999-06-15").cast("date")))
+    rows = _shorts(spark, sf_dir).where((F.col("Symbol") == "S_7") & (F.col("Date") == F.lit("2001-07-10").cast("date")))
     return _text_date(rows)
 
 
@@ -181,7 +182,7 @@ def delete_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def normalize_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+def normalize_symbol_(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = market_views.table(spark, sf_dir, "part")
     return part.select("p_partkey", normalize_symbol(F.concat(F.lit("P."), "p_size", F.lit("."), "p_partkey")).alias("symbol"))
 
@@ -205,14 +206,14 @@ def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def before_pull_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+def date_before_(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = market_views.text_short_interests(spark, sf_dir)
     date = F.when(F.col("ShortExemptVolume") == "0.03", "not a day").otherwise(F.col("Date"))
     return rows.select("Symbol", date.alias("date"), date_before(date, F.lit(PULL)).alias("before"))
 
 
 @query
-def request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def request_url_(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = request_url(
         market_views.SOURCE_URL, F.col("exchange"), F.col("Symbol"), F.col("Date"), F.lit("2001-12-31").cast("date")
     )
@@ -220,7 +221,7 @@ def request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def close_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def is_close_(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = market_views.table(spark, sf_dir, "lineitem")
     reference = F.col("l_quantity") * (1 + F.col("l_tax") * 0.0005)
     return lines.select(
