@@ -1,5 +1,5 @@
 """Operators: functions from DataFrames to a DataFrame.
 
-None of them collects rows. Only ``sizes`` runs a job, to count a dimension before it is broadcast, and
-``quality.enforce``, which has to know whether a check failed.
+None of them collects rows. Jobs are run by ``maintenance``, which writes, by ``sizes``, which counts a
+dimension before it is broadcast, and by ``quality.enforce``, which has to know whether a check failed.
 """

@@ -87,7 +87,8 @@ def _analysis_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_date(tables.read_table(spark, f"{sf_dir}/lineitem.parquet").withColumn("l_shipdate", F.to_date("l_shipdate")), "l_shipdate")
+    lines = tables.read_table(spark, f"{sf_dir}/lineitem.parquet")
+    return _text_date(lines.withColumn("l_shipdate", F.to_date("l_shipdate")), "l_shipdate")
 
 
 @query
@@ -325,7 +326,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = _plan(spark, sf_dir)
-    return plan.select("exchange", "Symbol", *[iso_text(F.col(c)).alias(c) for c in ("last_date", "start_date", "end_date")], "action")
+    return plan.select("exchange", "Symbol", *[iso_text(F.col(c)).alias(c) for c in ingest.WINDOW], "action")
 
 
 @query

@@ -28,8 +28,6 @@ RAW_TYPES = {
     "TotalVolume": VOLUME,
 }
 
-RAW_SCHEMA = T.StructType([T.StructField(name, RAW_TYPES[name]) for name in RAW_COLUMNS])
-
 COMBINED_SCHEMA = T.StructType(
     [T.StructField("date", T.DateType()), T.StructField("symbol", T.StringType())]
     + [T.StructField(name, T.DoubleType()) for name in COMBINED_COLUMNS[2:]]

@@ -15,6 +15,7 @@ from daytally.sources.tables import read_table, sql_view, table_exists
 
 __all__ = [
     "clean_listing", "csv_lines", "document_maps", "document_status", "explode_maps", "fetch_documents",
-    "newest_offered", "parse_csv_lines", "parse_documents", "read_csv_layout", "read_csv_text", "read_documents", "read_table", "split_bad_rows",
+    "newest_offered", "parse_csv_lines", "parse_documents", "read_csv_layout", "read_csv_text", "read_documents",
+    "read_table", "split_bad_rows",
     "sql_view", "symbol_universe", "table_exists", "union_layouts",
 ]

@@ -16,9 +16,9 @@ from daytally.schemas import RAW_TYPES
 BAD_LINE = "_corrupt_record"
 
 
-def read_csv_text(spark: SparkSession, path: str, trim: bool = False) -> DataFrame:
-    """All columns as text, named by the header."""
-    return spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=trim)
+def read_csv_text(spark: SparkSession, path: str, trim: bool = False, infer: bool = False) -> DataFrame:
+    """All columns named by the header, as text or, at the price of another pass, with guessed types."""
+    return spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=trim, inferSchema=infer)
 
 
 def read_csv_layout(

@@ -47,6 +47,7 @@ def test_files_of_another_column_order_land_in_the_right_columns(spark, tmp_path
 def test_text_scan_and_trim(spark, tmp_path):
     path = _folder(tmp_path / "t", a="Symbol, Price\nFB, 5\n")
     assert tuples(csv_tables.read_csv_text(spark, path, trim=True), "Price") == [("5",)]
+    assert tuples(csv_tables.read_csv_text(spark, path, trim=True, infer=True), "Price") == [(5,)]
     typed = csv_tables.read_csv_layout(spark, _folder(tmp_path / "u", a="Symbol,TotalVolume\nFB, 5\n"), trim=True)
     assert tuples(typed, "Symbol", "TotalVolume") == [("FB", 5.0)]
 
