@@ -17,7 +17,7 @@ def _without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return _without(docs, quality.score(docs, model).filter("predicted = 0"))
+    return quality.accepted(docs, model)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

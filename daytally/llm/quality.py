@@ -140,17 +140,33 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", train_doc
     return fit(_sample(docs, labels, target, train_docs))
 
 
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    bucket, row = buckets(texts)
+    total = np.bincount(row, model.weight[bucket], len(texts))
+    mean = total / np.maximum(np.bincount(row, minlength=len(texts)), 1)
+    return 1 / (1 + np.exp(-(mean + model.bias)))
+
+
+def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least 0.5."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text_column):
+            good = _scores(sent.value, batch.column(text_column)) >= 0.5
+            if good.any():
+                yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` for each row of ``docs``; the model has a fixed size, so it goes to every task."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for batch in chunks(batches):
-            bucket, row = buckets(batch.column("text"))
-            total = np.bincount(row, model.weight[bucket], batch.num_rows)
-            mean = total / np.maximum(np.bincount(row, minlength=batch.num_rows), 1)
-            p = 1 / (1 + np.exp(-(mean + model.bias)))
+            p = _scores(sent.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
