@@ -3,9 +3,8 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from daytally.llm import bpe, exact_dup, near_dup, quality
+from daytally.llm import bpe, exact_dup, leaks, near_dup, quality
 from daytally.llm.shared import read_table, small, stored
 
 
@@ -28,6 +27,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, near_dup.near_duplicates(docs).filter("not kept"))
 
 
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, leaks.leaks(docs, read_table(spark, sf_dir, "benchmark")))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs)
 
@@ -36,6 +39,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("quality", good_quality),
     ("exact_dedup", exact_copies),
     ("near_dedup", near_copies),
+    ("decontamination", benchmark_leaks),
     ("bpe", tokens),
 ]
 

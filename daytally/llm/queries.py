@@ -1,15 +1,37 @@
 """One query per operator, over its whole table and with production parameters, and SQL where SQL can say it."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, exact_dup, near_dup, quality
+from daytally.llm import bpe, exact_dup, leaks, licences, near_dup, pii, quality, secrets, training_order
 from daytally.llm.shared import read_table
+from daytally.session import shared_folder
+
+
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards, and returns where each sequence is, read from them."""
+    numbered = training_order.sequences(read_table(spark, sf_dir, "documents"))
+    layout = training_order.write(numbered, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
+    return training_order.read(spark, layout).drop("tokens")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -18,11 +40,17 @@ def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(read_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_quality, op7_minhash_near_dup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_training_order, op2_exact_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_quality,
+    op7_minhash_near_dup, op8_licence_scan, op10_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
