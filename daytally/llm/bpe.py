@@ -64,7 +64,10 @@ class Bpe:
         self.special = set(special)
         self.names = [str(k) for k in range(max(self.encoding.n_vocab, max(ranks.values()) + 1))]
         self.part, self.leaf = part, leaf
-        self._run = re.compile(rf"(?:(?<![\s'A-Za-z])|(?<= )|^) ?([A-Za-z]{{{leaf + 1},}})(?=[\x00-\x7f]|$)")
+        # A run of ASCII letters with nothing around it that could belong to its piece, but for a space before it.
+        other = "\x80-\U0010ffff"
+        self._run = re.compile(
+            rf"(?:(?<![\s'A-Za-z{other}])|(?<= )|^) ?([A-Za-z]{{{leaf + 1},}})(?![A-Za-z{other}])")
 
     def encode(self, text: str) -> np.ndarray:
         if len(text) <= self.part and len(text) <= self.leaf:

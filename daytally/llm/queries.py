@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, exact_dup, leaks, licences, near_dup, pii, quality, secrets, training_order
+from daytally.llm import bpe, exact_dup, leaks, licences, lm, near_dup, pii, quality, secrets, training_order
 from daytally.llm.shared import read_table
 from daytally.session import shared_folder
 
@@ -44,13 +44,17 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(read_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_training_order, op2_exact_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_quality,
-    op7_minhash_near_dup, op8_licence_scan, op10_bpe)}
+    op7_minhash_near_dup, op8_licence_scan, op9_lm_score, op10_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
