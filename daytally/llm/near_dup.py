@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     mark = ["n_shingles", "s1", "s2"]
     known = rows.filter("id is not null and n_shingles > 0")
     classes = stored(known.groupBy(*mark).agg(
-        F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min_by("sig", "id").alias("sig")))
+        F.min("id").alias("node"), F.first("keys").alias("keys"), F.first("sig").alias("sig")))
     posted = classes.select(F.explode("keys").alias("key"), "node")
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     lists = lists.select("key", F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("blocks"))
@@ -218,12 +218,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     sets = members.mapInArrow(_shingle_sets(width), "node long, family long, blocks int, shingles binary")
     links = _deal(sets, ["family"], "node", "blocks").mapInArrow(_links(percent), "a long, b long")
 
+    # Each row's class. A class that holds a third of all rows is split, because both sides are shuffled for the join.
+    named = rows.join(classes.select(*mark, "node"), mark, "left").withColumn("node", F.when(F.col("id").isNotNull(), F.col("node")))
+    named = stored(named.select("id", "n_shingles", "node"))
     # Rows that repeat an id belong together, whatever class each is of.
-    same = known.join(classes.select(*mark, "node"), mark).filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    groups = components(links.unionByName(same))
-    return (
-        rows.select("id", "n_shingles").join(groups.withColumnRenamed("node", "id"), "id", "left")
-        .select(
-            F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"),
-            F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"))
-    )
+    several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("id", "a")
+    same = named.join(several, "id").select("a", F.col("node").alias("b")).filter("b is not null")
+    groups = stored(components(links.unionByName(same)))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id"))
+    return named.join(small(groups), "node", "left").select(
+        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

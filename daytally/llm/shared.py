@@ -73,11 +73,9 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps until nothing changes; each node holds one row per
     neighbour and the minimum is an aggregate, so a hub never meets in one task. Every round is stored.
     """
-    spark = edges.sparkSession
-    pairs = stored(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs = pairs.filter("a <> b")
     if pairs.isEmpty():
         return nodes.withColumn("component", F.col("node"))
 
