@@ -155,6 +155,11 @@ def _present(spark: SparkSession, layout: Layout) -> set[int]:
     return out
 
 
+def wave_of(layout: Layout, waves: int, wave: int) -> range:
+    """Shards of a wave."""
+    return range(layout.shards * wave // waves, layout.shards * (wave + 1) // waves)
+
+
 def write(numbered: DataFrame, folder: str, key: int = KEY, tokens: int = TOKENS, slots: int = SHARD_SLOTS,
           waves: int = WAVES) -> Layout:
     """Write the shards of stored sequences to ``folder``; waves that are there in full are left as they are."""
@@ -164,10 +169,13 @@ def write(numbered: DataFrame, folder: str, key: int = KEY, tokens: int = TOKENS
     task, count = np.array([r.task for r in tasks], np.int64), np.array([r.n for r in tasks], np.int64)
     layout = Layout(folder, int(count.sum()), tokens, slots)
     sent = spark.sparkContext.broadcast((task, np.cumsum(count) - count))
-    for wave in np.array_split(np.arange(layout.shards), waves):
-        if not len(wave) or set(wave.tolist()) <= _present(spark, layout):
+    for k in range(waves):
+        wave, there = wave_of(layout, waves, k), _present(spark, layout)
+        if there.issuperset(wave):
             continue
-        first, last = int(wave[0]), int(wave[-1])
+        if there.intersection(wave):
+            raise ValueError(f"wave {k} is there in part; its shards must go first")
+        first, last = wave[0], wave[-1]
         rows = numbered.mapInArrow(
             _records(sent, layout, key, first * slots, (last + 1) * slots), "shard long, slot long, record binary")
         placed = rows.repartitionById(last - first + 1, (F.col("shard") - first).cast("int"))
