@@ -1,31 +1,66 @@
 """Numbers that arrive as text, and comparison of measured volumes."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Volumes have at most this many decimals and lie below this limit; larger doubles can't hold a millionth's place
+# of a sum, and the limit leaves room for thousands of them in a long.
+VOLUME_DIGITS = 6
+VOLUME_LIMIT = 1e15
+
 # The usual default tolerances for comparing two floating-point numbers.
 RELATIVE_TOLERANCE = 1e-5
 ABSOLUTE_TOLERANCE = 1e-8
 
 
+def fits(volume: Column) -> Column:
+    """Whether a number can be summed exactly: finite, below ``VOLUME_LIMIT``, with at most ``VOLUME_DIGITS`` decimals.
+
+    Null for null. What does not fit is rejected on landing, never rounded.
+    """
+    finite = ~F.isnan(volume) & (F.abs(volume) < VOLUME_LIMIT)
+    return F.when(volume.isNotNull(), finite & (F.round(volume, VOLUME_DIGITS) == volume))
+
+
 def to_volume(text: Column) -> Column:
-    """Volume to the hundredth; unreadable text, NaN and infinity become null."""
-    return text.try_cast("decimal(18,2)").cast("double")
+    """Volume of a text; null if it is unreadable or does not fit. ``bad_volume`` tells these from missing ones."""
+    value = text.try_cast("double")
+    return F.when(fits(value), value)
 
 
-def hundredths(volume: Column) -> Column:
-    """Whole hundredths as a long."""
-    return F.rint(volume * 100).cast("long")
+def bad_volume(text: Column) -> Column:
+    """Whether a text is there and is no volume."""
+    return text.isNotNull() & to_volume(text).isNull()
+
+
+def _exact(volume: Column) -> Column:
+    return volume.cast(f"decimal(28,{VOLUME_DIGITS})")
 
 
 def exact_sum(volume: Column) -> Column:
-    """Sum that does not depend on the order of the rows; null if there is no value."""
-    return F.sum(hundredths(volume)) / F.lit(100.0)
+    """Sum that does not depend on the order of the rows; null if there is no value.
+
+    Whole numbers and millionths are summed as two longs, which stays in generated code and needs no decimal
+    arithmetic per row.
+    """
+    whole = F.floor(volume)
+    parts = F.rint((volume - whole) * F.lit(10.0**VOLUME_DIGITS)).cast("long")
+    shift = F.lit(10**VOLUME_DIGITS).cast(f"decimal({VOLUME_DIGITS + 1},0)")
+    return (_exact(F.sum(whole)) + F.sum(parts).cast("decimal(20,0)") / shift).cast("double")
+
+
+def exact_total(*volumes: Column) -> Column:
+    """Sum of several columns of a row; null if all are null."""
+    zero = F.lit(0).cast(f"decimal(28,{VOLUME_DIGITS})")
+    total = reduce(lambda a, b: a + b, [F.coalesce(_exact(v), zero) for v in volumes])
+    return F.when(F.coalesce(*volumes).isNotNull(), total.cast("double"))
 
 
 def volume_text(volume: Column) -> Column:
-    """Two decimals, never an exponent."""
-    return volume.cast("decimal(28,2)").cast("string")
+    """Fixed decimals, never an exponent."""
+    return _exact(volume).cast("string")
 
 
 def to_double(text: Column) -> Column:

@@ -4,7 +4,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.functions import ratio
+from daytally.operators.sizes import broadcast_if_small
 from daytally.schemas import RETURN_HORIZONS
+from daytally.session import cut_lineage
+
+# Leading hexadecimal digits by which a sample's cut is found.
+SAMPLE_DIGITS = 5
+# Rows of a group whose quantiles are taken in one task.
+BAND_ROWS = 1_000_000
 
 
 def short_ratio(combined: DataFrame) -> DataFrame:
@@ -12,9 +19,9 @@ def short_ratio(combined: DataFrame) -> DataFrame:
 
 
 def forward_returns(prices: DataFrame, horizons: tuple[int, ...] = RETURN_HORIZONS) -> DataFrame:
-    """Return from each day's close to the close ``n`` trading days later; null past the end.
+    """Return from each day's close to the close ``n`` stored days later; null past the end.
 
-    ``prices`` has one row per date and symbol, so a window holds one symbol's trading days and no more.
+    Days are those the symbol has a price for: a day that is missing makes its horizons longer by one. ``prices`` has one row per date and symbol, so a window holds one symbol's trading days and no more.
     """
     days = Window.partitionBy("symbol").orderBy("date")
     return prices.select(
@@ -39,21 +46,24 @@ def analysis_rows(combined: DataFrame, prices: DataFrame, sectors: DataFrame) ->
     return rows.select("date", "symbol", "sector", "ratio", *returns)
 
 
-def _first_rows(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
-
-
-def stratified_sample(df: DataFrame, by: str, key: list[str], n: int, slots: int = 512) -> DataFrame:
+def stratified_sample(df: DataFrame, by: str, key: list[str], n: int) -> DataFrame:
     """Exactly ``n`` rows per stratum (all, if it has fewer): those with the smallest hash of their key.
 
-    The choice is made in two rounds, first among the rows of some input tasks, then among the
-    ``n * slots`` that are left at most, so a stratum with a third of the rows is never in one task.
+    A first pass counts the rows of each stratum by the leading digits of their hash, of which there are about a
+    million; a running total over them tells up to which digits ``n`` rows are found. The second pass keeps the rows up to
+    there, about ``n`` and a millionth of the stratum, and ranks them. So the plan is the same for every ``n``, only
+    counts and about ``n`` rows move, and no stratum is ever in one task.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *key)))
-    order = [F.col("_hash"), *[F.col(k) for k in key]]
-    slotted = hashed.withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
-    return _first_rows(_first_rows(slotted, [by, "_slot"], order, n), [by], order, n).drop("_slot", "_hash")
+    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *key))).withColumn("_lead", F.substring("_hash", 1, SAMPLE_DIGITS))
+    counts = hashed.groupBy(by, "_lead").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(by).orderBy("_lead").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    enough = counts.withColumn("_sum", F.sum("_n").over(running)).where(F.col("_sum") >= n)
+    cut = cut_lineage(enough.groupBy(F.col(by).alias("_by")).agg(F.min("_lead").alias("_cut")))
+    # A stratum without a cut has fewer rows; null is a stratum too.
+    near = hashed.join(broadcast_if_small(cut), F.col(by).eqNullSafe(F.col("_by")), "left")
+    near = near.where(F.col("_cut").isNull() | (F.col("_lead") <= F.col("_cut")))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash", *key))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= n).select(*df.columns)
 
 
 def approximate_sample(df: DataFrame, by: str, fractions: dict[str, float], seed: int = 1) -> DataFrame:
@@ -72,8 +82,12 @@ def long_returns(rows: DataFrame) -> DataFrame:
 def middle_band(sample: DataFrame, value: str, by: list[str], low: float = 0.25, high: float = 0.75) -> DataFrame:
     """Rows whose value lies between two quantiles of its group, both included.
 
-    For a sample of bounded size: a group's values are ordered in one task.
+    For a sample of bounded size: a group's values are ordered in one task. A group beyond ``BAND_ROWS`` rows is
+    refused before that.
     """
+    largest = sample.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > BAND_ROWS:
+        raise ValueError(f"a group has {largest} rows; take a sample of {BAND_ROWS} at most")
     bounds = F.percentile(value, F.array(F.lit(low), F.lit(high))).over(Window.partitionBy(*by))
     inside = F.col(value).between(F.col("_bounds")[0], F.col("_bounds")[1])
     return sample.withColumn("_bounds", bounds).where(inside).drop("_bounds")

@@ -1,21 +1,39 @@
 """Counts, top rows and column profiles."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions import exact_sum, hundredths
-from daytally.operators.quantiles import order_statistics
+from daytally.functions import exact_sum
+from daytally.operators.quantiles import brackets, order_statistics
+
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def row_count_approx(df: DataFrame, fraction: float = 0.01, seed: int = 1) -> DataFrame:
-    """Estimated number of rows from a sample, with the half-width of its 95% interval."""
-    estimate = F.count(F.lit(1)) / F.lit(fraction)
-    spread = 1.96 * F.sqrt(F.count(F.lit(1)) * F.lit(1 - fraction)) / F.lit(fraction)
-    return df.sample(fraction, seed).agg(F.round(estimate).cast("long").alias("n_rows"), spread.alias("half_width"))
+def row_count_approx(spark: SparkSession, path: str, files: int = 64) -> DataFrame:
+    """Estimated number of rows of a Parquet table, from its files with the smallest hashes of their names.
+
+    ``n_files`` of ``all_files`` are counted, which reads their footers and no column; ``n_rows`` scales that up by
+    size, and ``exact`` says whether every file was counted. Listing reads names and sizes alone. The choice depends on
+    the names, so the answer can be repeated; a table of no more than ``files`` files is counted exactly, and an empty
+    table is 0 rows, exactly.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    total = listed.agg(F.count(F.lit(1)).alias("all_files"), F.sum("length").alias("bytes")).first()
+    chosen = listed.orderBy(F.xxhash64(F.element_at(F.split("path", "/"), -1)), "path").limit(files).collect()
+    read = sum(r["length"] for r in chosen)
+    if not read:
+        return spark.createDataFrame([(0, 0, 0, True)], "n_rows long, n_files long, all_files long, exact boolean")
+    counted = spark.read.parquet(*[r["path"] for r in chosen]).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(
+        F.round(F.col("n") * F.lit(total["bytes"] / read)).cast("long").alias("n_rows"),
+        F.lit(len(chosen)).cast("long").alias("n_files"), F.lit(total["all_files"]).alias("all_files"),
+        F.lit(len(chosen) == total["all_files"]).alias("exact"),
+    )
 
 
 def count_matching(df: DataFrame, predicate: Column, distinct: str) -> DataFrame:
@@ -31,9 +49,13 @@ def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def indexed_tail(df: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` rows by an increasing, not consecutive, row index."""
-    return df.withColumn("index", F.monotonically_increasing_id()).orderBy(F.desc("index")).limit(n)
+def tail_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The last ``n`` rows in the order of some columns, then of all others.
+
+    An index by file position would give another answer on another cluster. Each task sends ``n`` rows at most.
+    """
+    every = [*order, *[c for c in df.columns if c not in order]]
+    return df.orderBy(*[F.desc(c) for c in every]).limit(n)
 
 
 def _moments(column: str) -> Column:
@@ -45,15 +67,19 @@ def _moments(column: str) -> Column:
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, minimum, quartiles and maximum of volume columns, one row per column."""
-    moments = df.agg(*[_moments(c).alias(f"m{i}") for i, c in enumerate(columns)])
-    rows = moments.select(F.explode(F.array(*[f"m{i}" for i in range(len(columns))])).alias("m")).select("m.*")
-    values = F.array(*[F.struct(F.lit(c).alias("column"), hundredths(F.col(c)).alias("v")) for c in columns])
-    long = df.select(F.explode(values).alias("c")).select("c.column", "c.v").where(F.col("v").isNotNull())
-    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = order_statistics(counts, "column", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, groups=len(columns))
-    joined = rows.join(F.broadcast(quartiles), "column", "left")
-    return joined.select(
-        "column", "n", "mean", "std", "min",
-        *[(F.col(q) / 100.0).alias(q) for q in ("q25", "q50", "q75")], "max",
-    )
+    """Count, mean, deviation, minimum, quartiles and maximum of volume columns, one row per column.
+
+    Two passes over the columns: moments and sketches, a few numbers that come to the driver, then the values next to
+    the quartiles. Infinite values and NaN belong in quarantine (``functions.fits``) and are not expected here.
+    """
+    spark = df.sparkSession
+    found = df.agg(*[_moments(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                   *[brackets(c, QUARTILES).alias(f"e{i}") for i, c in enumerate(columns)]).first()
+    schema = "column string, n long, mean double, std double, min double, max double"
+    rows = spark.createDataFrame([tuple(found[f"m{i}"]) for i in range(len(columns))], schema)
+    edges = {c: found[f"e{i}"] for i, c in enumerate(columns) if found[f"e{i}"]}
+    if not edges:
+        return rows.select("column", "n", "mean", "std", "min", *[F.lit(None).cast("double").alias(q) for q in QUARTILES], "max")
+    quartiles = order_statistics(df, edges, QUARTILES)
+    # One row for each column, on either side.
+    return rows.join(F.broadcast(quartiles), "column", "left").select("column", "n", "mean", "std", "min", *QUARTILES, "max")

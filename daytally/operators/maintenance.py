@@ -1,6 +1,6 @@
 """Writes and rewrites of tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.schemas import RAW_COLUMNS
@@ -20,16 +20,24 @@ def delete_report(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def rewrite_without(spark: SparkSession, source: str, target: str, predicate: Column) -> DataFrame:
-    """Write the rows that stay to ``target``, a new place; the source keeps every row until readers move over."""
+    """Write the rows that stay to ``target``, a new place; the source keeps every row until readers move over.
+
+    The report is counted while the rows are written.
+    """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("a table cannot be rewritten while it is being read; give a new target")
-    delete_where(spark.read.parquet(source), predicate).write.mode("overwrite").parquet(target)
-    return delete_report(spark.read.parquet(source), predicate)
+    seen = Observation()
+    taken = F.coalesce(predicate, F.lit(False))
+    rows = spark.read.parquet(source).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(taken).alias("taken"))
+    delete_where(rows, predicate).write.mode("overwrite").parquet(target)
+    n, gone = seen.get["n"], seen.get["taken"]
+    return spark.createDataFrame([(n, gone, n - gone)], "n_before long, n_deleted long, n_after long")
 
 
 def point_table_at(spark: SparkSession, name: str, path: str) -> None:
     """Move the readers of a catalog table to a rewritten copy, in one metadata change."""
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
     spark.catalog.refreshTable(name)
 
 
@@ -46,10 +54,15 @@ def replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
-def append_batch(rows: DataFrame, path: str, pull_date: str) -> None:
-    """Store a day's load under ``exchange`` and ``pull_date``. Loading the same day again replaces it."""
-    batch = rows.select("exchange", *RAW_COLUMNS, F.lit(pull_date).cast("date").alias("pull_date"))
-    replace_partitions(batch, path, ["exchange", "pull_date"])
+# The batch of a daily load; a stream's batches have names of their own.
+DAILY = "daily"
+
+
+def append_batch(rows: DataFrame, path: str, pull_date: str, batch: str = DAILY) -> None:
+    """Store a load under ``exchange``, ``pull_date`` and ``batch``. The same batch of the same day replaces itself."""
+    named = rows.select(
+        "exchange", *RAW_COLUMNS, F.lit(pull_date).cast("date").alias("pull_date"), F.lit(batch).alias("batch"))
+    replace_partitions(named, path, ["exchange", "pull_date", "batch"])
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -70,6 +83,15 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
+def publish_csv_days(combined: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Publish days of the combined table, each in a folder of CSV files of its own, and leave all other days."""
+    (
+        combined.withColumn("day", F.col("date")).hint("rebalance", "day").sortWithinPartitions("day", "symbol")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("day").csv(path, header=True)
+    )
+
+
 def publish_csv(combined: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Publish the combined table as CSV files in date order, each with a header and of bounded size.
 

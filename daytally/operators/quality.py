@@ -5,10 +5,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions import exact_sum, is_close, iso_text, remap_symbol, volume_text
-from daytally.operators.venues import largest_row, one_row_per_venue, sum_over
+from daytally.functions import exact_sum, is_close, iso_text, volume_text
+from daytally.operators.venues import kept_rows, largest_row, one_row_per_venue, sum_over
 from daytally.schemas import CHECK_COLUMNS, SYMBOL_FIXES, VENUES
-from daytally.sources.documents import newest_offered
+from daytally.sources.documents import document_status, offered_at
 from daytally.sources.tables import table_exists
 
 
@@ -48,25 +48,51 @@ def latest_rows(stored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quality_vs_source(stored: DataFrame, documents: DataFrame) -> DataFrame:
-    """Freshness and accuracy of the newest stored row, for every venue and symbol.
+    """Freshness and accuracy of the newest stored row, for every venue and symbol the source sent rows for.
 
-    Both sides come down to one row per venue and symbol before they meet. Symbols on one side only fail.
+    A symbol that was not requested, or that the source had nothing for, has nothing to be compared with. Accuracy is
+    compared on the newest stored day, and only if the source sent that day: an incremental answer may not. Both
+    sides come down to one row per venue and symbol; the stored one travels with the documents.
     """
     keys = ["exchange", "Symbol"]
     latest = latest_rows(stored.select(*keys, "Date", "TotalVolume", "ShortVolume", "ShortExemptVolume"), keys)
-    pairs = latest.select(*keys, "Date", "ShortVolume").join(newest_offered(documents), keys, "full_outer")
+    latest = latest.select(*keys, F.col("Date").alias("stored_date"), F.col("ShortVolume").alias("stored_volume"))
+    answered = documents.join(document_status(documents).where("status = 'data'").select(*keys).distinct(), keys, "left_semi")
+    dated = answered.join(latest.select(*keys, "stored_date"), keys, "left")
+    pairs = offered_at(dated, "stored_date").join(latest, keys, "left")
     freshness = F.struct(
-        F.lit("freshness").alias("check"), (F.col("Date") == F.col("newest_date")).alias("passed"),
-        iso_text(F.col("newest_date")).alias("expected"), iso_text(F.col("Date")).alias("actual"),
+        F.lit("freshness").alias("check"), (F.col("stored_date") == F.col("newest_date")).alias("passed"),
+        iso_text(F.col("newest_date")).alias("expected"), iso_text(F.col("stored_date")).alias("actual"),
     )
+    no_volume = F.col("stored_volume").isNull() & F.col("source_volume").isNull()
     accuracy = F.struct(
-        F.lit("accuracy").alias("check"), is_close(F.col("ShortVolume"), F.col("source_volume")).alias("passed"),
-        volume_text(F.col("source_volume")).alias("expected"), volume_text(F.col("ShortVolume")).alias("actual"),
+        F.lit("accuracy").alias("check"), (no_volume | is_close(F.col("stored_volume"), F.col("source_volume"))).alias("passed"),
+        volume_text(F.col("source_volume")).alias("expected"), volume_text(F.col("stored_volume")).alias("actual"),
     )
-    rows = pairs.select(F.concat_ws("/", *keys).alias("subject"), F.explode(F.array(freshness, accuracy)).alias("c"))
+    checks = F.array_compact(F.array(freshness, F.when(F.col("has_row"), accuracy)))
+    rows = pairs.select(F.concat_ws("/", *keys).alias("subject"), F.explode(checks).alias("c"))
     return rows.select("c.check", "subject", _verdict(F.col("c.passed")), "c.expected", "c.actual")
 
 
+def answers(documents: DataFrame) -> DataFrame:
+    """Whether every request was answered. A quiet symbol has answered; a failed or malformed one has not."""
+    worst = F.max(F.struct(F.col("status").isin("failed", "malformed").alias("bad"), "status"))
+    found = document_status(documents).groupBy("exchange", "Symbol").agg(worst.alias("worst"))
+    return found.select(
+        F.lit("answered").alias("check"), F.concat_ws("/", "exchange", "Symbol").alias("subject"),
+        _verdict(~F.col("worst.bad")), F.lit("data or no data").alias("expected"), F.col("worst.status").alias("actual"),
+    )
+
+
+def no_bad_rows(bad: DataFrame, subject: str) -> DataFrame:
+    """Whether a quarantine is empty."""
+    counted = bad.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(
+        F.lit("readable rows").alias("check"), F.lit(subject).alias("subject"), _verdict(F.col("n") == 0),
+        F.lit("0").alias("expected"), F.col("n").cast("string").alias("actual"),
+    )
+
+
 def reconcile(
     combined: DataFrame, stored: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES, venues: tuple[str, ...] = VENUES
 ) -> DataFrame:
@@ -76,9 +102,10 @@ def reconcile(
     two totals would take two of each. A key on one side only fails.
     """
     nothing = F.lit(None).cast("double")
-    expected = one_row_per_venue(stored, venues).select(
-        F.col("Date").alias("date"), remap_symbol(F.col("Symbol"), fixes).alias("symbol"),
-        sum_over(venues, "ShortVolume").alias("venue_volume"), nothing.alias("short_volume"), F.lit(True).alias("is_stored"),
+    expected = one_row_per_venue(stored, venues, fixes).select(
+        F.col("Date").alias("date"), F.col("Symbol").alias("symbol"),
+        sum_over(kept_rows(venues, fixes), "ShortVolume").alias("venue_volume"), nothing.alias("short_volume"),
+        F.lit(True).alias("is_stored"),
     )
     published = combined.select(
         "date", "symbol", nothing.alias("venue_volume"), "short_volume", F.lit(False).alias("is_stored")
@@ -105,8 +132,17 @@ def gate_summary(checks: DataFrame) -> DataFrame:
     )
 
 
-def enforce(checks: DataFrame) -> None:
-    """Stop the run if any check failed, naming up to ten of them."""
-    failed = checks.where(F.col("status") == "FAIL").limit(10).collect()
+def enforce(checks: DataFrame, folder: str | None = None) -> None:
+    """Stop the run if any check failed, naming the first ten.
+
+    With a folder, all checks are written there before anything is raised, and the failures are counted from it.
+    """
+    if folder is not None:
+        checks.write.mode("overwrite").parquet(folder)
+        checks = checks.sparkSession.read.parquet(folder)
+    failures = checks.where(F.col("status") == "FAIL")
+    failed = failures.orderBy("check", "subject").limit(10).collect()
     if failed:
-        raise CheckFailed("; ".join(f"{r['check']} {r['subject']}: {r['actual']} instead of {r['expected']}" for r in failed))
+        named = "; ".join(f"{r['check']} {r['subject']}: {r['actual']} instead of {r['expected']}" for r in failed)
+        kept = "" if folder is None else f"; all {failures.count()} are in {folder}"
+        raise CheckFailed(named + kept)

@@ -1,70 +1,60 @@
-"""Exact quantiles of large groups.
-
-The built-in exact percentile keeps all distinct values of a group in one task. Here the values are first
-counted, which spreads and combines like any grouping, and the wanted ranks are then found in two rounds:
-the range of a group is cut into cells, running totals over the cells tell which cell holds a rank, and
-the same is done with the values of that cell. No task orders more rows than the square root of a group's
-range of values, times the number of ranks.
+"""Exact quantiles of large columns.
+
+The built-in exact percentile keeps all distinct values of a group in one task. Here a first pass takes approximate
+quantiles, which are small sketches that merge, on both sides of every wanted one. The true quantile lies between
+the two, whatever outliers there are, because they are cut by rank and not by value. A second pass counts the
+rows below the pair and the rows of each value between them; that is a share of ``4 / ACCURACY`` of the distinct
+values per wanted quantile, plus whatever ties there are, which count as one row. Ranks are then found by running
+totals over these few values.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side with this many rows or fewer is broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def _place(p: float) -> Column:
-    return (F.col("total") - 1) * F.lit(float(p))
+# Approximate quantiles are off by one part in so many of the rows at most.
+ACCURACY = 10_000
 
 
-def _ranks(probabilities: dict[str, float]) -> Column:
-    """The two neighbouring ranks, counted from 0, of every probability."""
-    pairs = []
-    for name, p in probabilities.items():
-        pairs.append(F.struct(F.lit(f"{name}_lo").alias("target"), F.floor(_place(p)).alias("rank")))
-        pairs.append(F.struct(F.lit(f"{name}_hi").alias("target"), F.ceil(_place(p)).alias("rank")))
-    return F.explode(F.array(*pairs))
+def brackets(column: str, probabilities: dict[str, float]) -> Column:
+    """Aggregate: for each probability, a value at or below its quantile and one at or above, about."""
+    value, step = F.col(column), 2.0 / ACCURACY
+    edges = [min(max(p + side, 0.0), 1.0) for p in probabilities.values() for side in (-step, step)]
+    return F.percentile_approx(value, edges, ACCURACY)
 
 
-def _holding(buckets: DataFrame, within: list[str], value: str) -> tuple[DataFrame, Column]:
-    """Buckets in order with the number of rows before each, and the test that one holds rank ``rank``."""
-    running = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = buckets.withColumn("end", F.sum("n").over(running)).withColumn("before", F.col("end") - F.col("n"))
-    return ordered.drop("n"), (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("end"))
+def order_statistics(df: DataFrame, edges: dict[str, list[float]], probabilities: dict[str, float]) -> DataFrame:
+    """Quantiles per column, interpolated between neighbouring ranks, one output column per probability.
 
-
-def order_statistics(counts: DataFrame, by: str, probabilities: dict[str, float], groups: int) -> DataFrame:
-    """Quantiles per group, interpolated between neighbouring ranks, one column per probability.
-
-    ``counts`` holds ``by``, a long ``v`` and its number of rows ``n``. ``groups`` is an upper bound of
-    the number of groups; it decides whether the per-group state is broadcast.
+    ``edges`` holds what :func:`brackets` found for each column that has values.
     """
-    spans = counts.groupBy(by).agg(F.min("v").alias("bottom"), F.max("v").alias("top"), F.sum("n").alias("total"))
-    cut = spans.select(by, "bottom", F.ceil(F.sqrt((F.col("top") - F.col("bottom") + 1).cast("double"))).alias("width"))
-    targets = spans.select(by, "total", _ranks(probabilities).alias("r")).select(by, "total", "r.target", "r.rank")
-    state_rows = groups * len(probabilities) * 2
-
-    celled = counts.join(_small(cut, groups), by).select(by, F.expr("(v - bottom) div width").alias("cell"), "v", "n")
-    cells, holds = _holding(celled.groupBy(by, "cell").agg(F.sum("n").alias("n")), [by], "cell")
-    chosen = cells.join(_small(targets, state_rows), by).where(holds).select(
-        by, "cell", "total", "target", (F.col("rank") - F.col("before")).alias("rank")
-    )
-    values, holds = _holding(celled.join(_small(chosen, state_rows), [by, "cell"]), [by, "target"], "v")
-    wide = values.where(holds).groupBy(by).agg(
-        F.max("total").alias("total"),
-        *[
-            F.max(F.when(F.col("target") == f"{name}_{side}", F.col("v"))).alias(f"{name}_{side}")
-            for name in probabilities for side in ("lo", "hi")
-        ],
-    )
-    return wide.select(by, *[_between(name, p).alias(name) for name, p in probabilities.items()])
-
-
-def _between(name: str, p: float) -> Column:
-    low, high = F.col(f"{name}_lo").cast("double"), F.col(f"{name}_hi").cast("double")
-    return low + (high - low) * (_place(p) - F.floor(_place(p)))
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(name).alias("target"), F.lit(float(p)).alias("p"),
+                 F.col(c).cast("double").alias("v"), F.lit(float(found[2 * k])).alias("low"),
+                 F.lit(float(found[2 * k + 1])).alias("high"))
+        for c, found in edges.items() for k, (name, p) in enumerate(probabilities.items())
+    ])
+    long = df.select(F.explode(pairs).alias("x")).select("x.*").where("v IS NOT NULL")
+    side = F.when(F.col("v") < F.col("low"), -1).when(F.col("v") > F.col("high"), 1).otherwise(0)
+    inside = F.when(side == 0, F.col("v"))
+    counts = long.groupBy("column", "target", "p", side.alias("side"), inside.alias("inside")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+
+    within = Window.partitionBy("column", "target")
+    running = within.orderBy("side", "inside").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = counts.withColumn("total", F.sum("n").over(within)).withColumn("end", F.sum("n").over(running))
+    place = (F.col("total") - 1) * F.col("p")
+
+    def at(rank: Column) -> Column:
+        """The value of a rank, from the group that holds it; a rank beside the pair must be its neighbour."""
+        holds = (F.col("end") - F.col("n") <= rank) & (rank < F.col("end"))
+        beyond = F.raise_error(F.lit("a quantile lies outside its approximation")).cast("double")
+        value = (
+            F.when(F.col("side") == 0, F.col("inside"))
+            .when((F.col("side") < 0) & (rank == F.col("end") - 1), F.col("last"))
+            .when((F.col("side") > 0) & (rank == F.col("end") - F.col("n")), F.col("first")).otherwise(beyond))
+        return F.max(F.when(holds, value))
+
+    found = ordered.groupBy("column", "target").agg(
+        at(F.floor(place)).alias("a"), at(F.ceil(place)).alias("b"), F.max(place - F.floor(place)).alias("part"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
+    return found.groupBy("column").agg(*[F.max(F.when(F.col("target") == name, value)).alias(name) for name in probabilities])

@@ -3,18 +3,23 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 100 MB of narrow rows.
-BROADCAST_ROWS = 1_000_000
+# Bytes of a broadcast, as measured from the rows' text forms; in memory a few times that.
+BROADCAST_BYTES = 32_000_000
+# Bytes a row costs beside its values.
+ROW_BYTES = 16
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, bounded_by: DataFrame | None = None
-) -> DataFrame:
-    """Mark a dimension for broadcast if it has no more than ``max_rows`` rows; else leave the join to Spark.
+def measured_bytes(df: DataFrame) -> int:
+    """About the size of all rows. Each task sends two longs, whatever the number of rows."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(ROW_BYTES))
+    return df.agg(F.sum(width)).first()[0] or 0
 
-    Counting runs a job over ``df``, or over ``bounded_by`` if that is a cheaper table known to have as
-    many rows. Spark's own estimate multiplies the sizes of joined tables, so it takes a joined dimension
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, bounded_by: DataFrame | None = None) -> DataFrame:
+    """Mark a dimension for broadcast if it has no more than ``max_bytes``; else leave the join to Spark.
+
+    Measuring runs a job over ``df``, or over ``bounded_by`` if that is a cheaper table whose rows are as many and
+    as long. Spark's own estimate multiplies the sizes of joined tables, so it takes a joined dimension
     for the larger side, and it takes long text for short.
     """
-    counted = (df if bounded_by is None else bounded_by).limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    return F.broadcast(df) if measured_bytes(df if bounded_by is None else bounded_by) <= max_bytes else df

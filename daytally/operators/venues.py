@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.functions import exact_sum, hundredths, remap_symbol
+from daytally.functions import exact_sum, exact_total, remap_symbol
 from daytally.schemas import COMBINED_COLUMNS, DAY_KEY, SYMBOL_FIXES, VENUES
 
 # Which of several rows for one key stays: the largest by these columns, in this order.
@@ -47,46 +47,65 @@ def combine_raw(df: DataFrame) -> DataFrame:
     return _totals(df)
 
 
-def _venue_best(venue: str) -> Column:
-    return F.max(F.when(F.col("exchange") == venue, F.struct(*KEEP_ORDER)))
+def _variant(symbol: Column, fixes: dict[str, str]) -> Column:
+    """Which of the stored symbols of its corrected symbol it is: 0 the symbol itself, then those to be corrected."""
+    rank, seen = F.lit(0), {}
+    for wrong, right in fixes.items():
+        seen[right] = seen.get(right, 0) + 1
+        rank = F.when(symbol == wrong, seen[right]).otherwise(rank)
+    return rank
 
 
-def one_row_per_venue(df: DataFrame, venues: tuple[str, ...] = VENUES) -> DataFrame:
-    """The kept row of each venue, side by side, per date and symbol.
+def kept_rows(venues: tuple[str, ...] = VENUES, fixes: dict[str, str] = SYMBOL_FIXES) -> list[str]:
+    """Columns of :func:`one_row_per_venue`: one per venue and stored symbol that a corrected symbol can have."""
+    most = max((list(fixes.values()).count(right) for right in fixes.values()), default=0)
+    return [f"{v}_{k}" for v in venues for k in range(most + 1)]
 
-    Removing duplicates and lining up the venues share one shuffle on date and symbol. A venue that is
-    not listed stops the job: its rows would otherwise be missing from the totals.
+
+def one_row_per_venue(
+    df: DataFrame, venues: tuple[str, ...] = VENUES, fixes: dict[str, str] = SYMBOL_FIXES
+) -> DataFrame:
+    """The kept rows of each venue and stored symbol, side by side, per date and corrected symbol.
+
+    Duplicates are told by the stored symbol: correcting it first would take the rows of two symbols for copies.
+    Removing duplicates and lining up the venues share one shuffle on date and corrected symbol, and a maximum per
+    task comes first, so a key with very many rows never meets in one task. A venue that is not listed stops
+    the job: its rows would otherwise be missing from the totals.
     """
     known = F.col("exchange").isin(*venues)
     checked = F.when(known, F.col("exchange")).otherwise(
         F.raise_error(F.concat(F.lit("unlisted venue: "), F.coalesce("exchange", F.lit("null"))))
     )
-    rows = df.select(checked.alias("exchange"), "Date", "Symbol", *KEEP_ORDER)
-    return rows.groupBy("Date", "Symbol").agg(*[_venue_best(v).alias(v) for v in venues])
+    rows = df.select(
+        F.concat_ws("_", checked, _variant(F.col("Symbol"), fixes)).alias("kept"), "Date",
+        remap_symbol(F.col("Symbol"), fixes).alias("Symbol"), *KEEP_ORDER,
+    )
+    best = [F.max(F.when(F.col("kept") == name, F.struct(*KEEP_ORDER))).alias(name) for name in kept_rows(venues, fixes)]
+    return rows.groupBy("Date", "Symbol").agg(*best)
 
 
-def sum_over(venues: tuple[str, ...], column: str) -> Column:
-    """Sum over the venues that report a value; null if none does."""
-    values = [hundredths(F.col(f"{v}.{column}")) for v in venues]
-    total = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0)) for v in values])
-    return F.when(F.coalesce(*values).isNotNull(), total) / F.lit(100.0)
+def sum_over(kept: list[str], column: str) -> Column:
+    """Sum over the kept rows that have a value; null if none does."""
+    return exact_total(*[F.col(f"{name}.{column}") for name in kept])
 
 
 def combine(
     df: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES, venues: tuple[str, ...] = VENUES
 ) -> DataFrame:
-    """Totals per date and symbol with one row per venue, date and symbol; wrong symbols corrected."""
-    side_by_side = one_row_per_venue(df, venues)
-    return side_by_side.select(
-        F.col("Date").alias("date"),
-        remap_symbol(F.col("Symbol"), fixes).alias("symbol"),
-        sum_over(venues, "ShortExemptVolume").alias("short_exempt_volume"),
-        sum_over(venues, "ShortVolume").alias("short_volume"),
-        sum_over(venues, "TotalVolume").alias("total_volume"),
+    """Totals per date and corrected symbol, from one row per venue, date and symbol as stored.
+
+    Stored symbols that are corrected to the same one are added up, so a date and symbol never has two rows.
+    """
+    kept = kept_rows(venues, fixes)
+    return one_row_per_venue(df, venues, fixes).select(
+        F.col("Date").alias("date"), F.col("Symbol").alias("symbol"),
+        sum_over(kept, "ShortExemptVolume").alias("short_exempt_volume"),
+        sum_over(kept, "ShortVolume").alias("short_volume"),
+        sum_over(kept, "TotalVolume").alias("total_volume"),
     )
 
 
 def combine_any_venue(df: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES) -> DataFrame:
     """As :func:`combine`, for any set of venues, at the price of a second shuffle."""
-    totals = _totals(dedupe(df.select(*DAY_KEY, *KEEP_ORDER)))
-    return totals.withColumn("symbol", remap_symbol(F.col("symbol"), fixes))
+    kept = dedupe(df.select(*DAY_KEY, *KEEP_ORDER))
+    return _totals(kept.withColumn("Symbol", remap_symbol(F.col("Symbol"), fixes)))

@@ -1,6 +1,6 @@
 """The daily run: load, check, combine, publish, check again, study.
 
-The store is partitioned by venue and pull date, the combined table by date, and every write replaces
+The store is partitioned by venue, pull date and batch, the combined table by date, and every write replaces
 whole partitions. So each step can be repeated after a failure, and a day's work reads and writes the
 partitions the day touches rather than the whole history.
 """
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from daytally.operators.analysis import analysis_rows, sampled_correlation, sector_correlation
 from daytally.operators.ingest import advance_last_dates, incremental_plan, last_dates, load
-from daytally.operators.maintenance import append_batch, publish_csv, replace_partitions
-from daytally.operators.quality import basic_quality, enforce, quality_vs_source, reconcile
+from daytally.operators.maintenance import append_batch, publish_csv_days, replace_partitions
+from daytally.operators.quality import answers, basic_quality, enforce, no_bad_rows, quality_vs_source, reconcile
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
 from daytally.session import cut_lineage
+from daytally.sources.documents import bad_document_rows
 from daytally.sources.tables import table_exists
 
 VENUE_SYMBOL = ("exchange", "Symbol")
@@ -58,12 +59,22 @@ def load_day(
         save_dates(spark, store, marks, pull)
 
 
-def check_store(spark: SparkSession, documents: DataFrame, store: str) -> DataFrame:
-    """Presence, then freshness and accuracy against the source."""
-    presence = basic_quality(spark, {"short_interests": store})
+def quarantine_day(documents: DataFrame, folder: str, pull: str) -> DataFrame:
+    """Set aside the day's data rows that can't be read, and give them back. The same day replaces itself."""
+    path = f"{folder}/pull_date={pull}"
+    bad_document_rows(documents).write.mode("overwrite").parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
+def check_store(spark: SparkSession, documents: DataFrame, store: str, bad: DataFrame | None = None) -> DataFrame:
+    """Presence; whether every request was answered; freshness and accuracy of the symbols the source sent rows
+    for; and whether all rows could be read."""
+    checks = basic_quality(spark, {"short_interests": store}).unionByName(answers(documents))
+    if bad is not None:
+        checks = checks.unionByName(no_bad_rows(bad, "documents"))
     if not table_exists(spark, store):
-        return presence
-    return presence.unionByName(quality_vs_source(spark.read.parquet(store), documents))
+        return checks
+    return checks.unionByName(quality_vs_source(spark.read.parquet(store), documents))
 
 
 def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str, str] = SYMBOL_FIXES) -> None:
@@ -71,44 +82,69 @@ def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str,
     replace_partitions(combine(spark.read.parquet(store), fixes), combined, ["date"])
 
 
-def publish_changes(
-    spark: SparkSession, store: str, combined: str, pull: str, fixes: dict[str, str] = SYMBOL_FIXES
-) -> None:
-    """Combine again the dates that the run of ``pull`` brought rows for.
+def changed_dates(spark: SparkSession, store: str, pull: str) -> list:
+    """The dates that the run of ``pull`` brought rows for: one for each calendar day at most."""
+    rows = spark.read.parquet(store).where(F.col("pull_date") == _day(pull)).select("Date").distinct()
+    return sorted(r["Date"] for r in rows.collect())
+
 
-    A row is never pulled before its date, so partitions pulled before the oldest of these dates cannot
-    hold any of them and are not read. The dates are broadcast: there is one row per calendar day at most.
+def rows_of(spark: SparkSession, store: str, dates: list) -> DataFrame:
+    """Stored rows of some dates.
+
+    A row is never pulled before its date, so partitions pulled before the oldest date are not read; of the others,
+    row groups without any of the dates are skipped by their statistics.
     """
     stored = spark.read.parquet(store)
-    dates = stored.where(F.col("pull_date") == _day(pull)).select("Date").distinct()
-    oldest = dates.agg(F.min("Date")).first()[0]
-    if oldest is None:
-        return
-    rows = stored.where((F.col("pull_date") >= F.lit(oldest)) & (F.col("Date") >= F.lit(oldest)))
-    changed = rows.join(F.broadcast(dates), "Date", "left_semi")
-    replace_partitions(combine(changed, fixes), combined, ["date"])
+    if not dates:
+        return stored.limit(0)
+    return stored.where((F.col("pull_date") >= F.lit(dates[0])) & F.col("Date").isin(dates))
 
 
-def check_published(spark: SparkSession, store: str, combined: str) -> DataFrame:
+def publish_changes(
+    spark: SparkSession, store: str, combined: str, pull: str, fixes: dict[str, str] = SYMBOL_FIXES
+) -> list:
+    """Combine again the dates that the run of ``pull`` brought rows for, and name them."""
+    dates = changed_dates(spark, store, pull)
+    if dates:
+        replace_partitions(combine(rows_of(spark, store, dates), fixes), combined, ["date"])
+    return dates
+
+
+def published(spark: SparkSession, combined: str, dates: list) -> DataFrame:
+    """The partitions of some dates."""
+    whole = spark.read.parquet(combined)
+    return whole.where(F.col("date").isin(dates)) if dates else whole.limit(0)
+
+
+def check_published(spark: SparkSession, store: str, combined: str, dates: list | None = None) -> DataFrame:
+    """Presence and reconciliation, of the given dates or of all."""
     presence = basic_quality(spark, {"short_analysis": combined})
     if not table_exists(spark, combined):
         return presence
-    return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store)))
+    if dates is None:
+        return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store)))
+    return presence.unionByName(reconcile(published(spark, combined, dates), rows_of(spark, store, dates)))
 
 
 def run_day(
     spark: SparkSession, documents: DataFrame, symbols: DataFrame, folders: dict[str, str], start: str, pull: str
 ) -> None:
-    """One day from landed documents to the published table. Stops at the first failed check.
+    """One day from landed documents to the published table. Stops at the first set of checks with a failure.
 
-    ``folders`` names the shared folders ``store``, ``marks``, ``combined`` and ``export``.
+    ``folders`` names the shared folders ``store``, ``marks``, ``combined``, ``export``, ``checks`` and
+    ``quarantine``. All checks of a day are in ``checks`` whether it stops or not. Checks, combined table and export
+    read and write what the day touched.
     """
     store, combined = folders["store"], folders["combined"]
+    bad = quarantine_day(documents, folders["quarantine"], pull)
     load_day(spark, documents, symbols, store, folders["marks"], start, pull)
-    enforce(check_store(spark, documents, store))
-    publish_changes(spark, store, combined, pull)
-    enforce(check_published(spark, store, combined))
-    publish_csv(spark.read.parquet(combined), folders["export"])
+    enforce(check_store(spark, documents, store, bad), f"{folders['checks']}/pull_date={pull}/stage=store")
+    if not table_exists(spark, store):
+        return
+    dates = publish_changes(spark, store, combined, pull)
+    if dates:
+        enforce(check_published(spark, store, combined, dates), f"{folders['checks']}/pull_date={pull}/stage=published")
+        publish_csv_days(published(spark, combined, dates), folders["export"])
 
 
 def study(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> dict[str, DataFrame]:

@@ -21,12 +21,12 @@ DEDUPED = f"""deduped AS (
 
 
 def _sum(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def _totals(table: str, symbol: str) -> str:
     return f"""SELECT d, day AS date, {symbol} AS symbol, {_sum('ev')} AS short_exempt_volume,
-  {_sum('sv')} AS short_volume, {_sum('tv')} AS total_volume FROM {table} GROUP BY d, day, s"""
+  {_sum('sv')} AS short_volume, {_sum('tv')} AS total_volume FROM {table} GROUP BY d, day, {symbol}"""
 
 
 FIXED = "CASE WHEN s = 'S_7' THEN 'S__7' ELSE s END"
@@ -98,26 +98,26 @@ def _latest(table: str, keys: str) -> str:
 
 
 def _text(volume: str) -> str:
-    return f"CAST(CAST({volume} AS DECIMAL(28,2)) AS VARCHAR)"
+    return f"CAST(CAST({volume} AS DECIMAL(28,6)) AS VARCHAR)"
 
 
 CLOSE = "abs({a} - {b}) <= 1e-8 + 1e-5 * abs({b})"
 
 SOURCE_CHECKS = f"""pairs AS (
-  SELECT coalesce(a.exchange, b.exchange) || '/' || coalesce(a.s, b.s) AS subject,
-         a.day AS have, b.day AS want, a.sv AS have_volume, b.sv AS want_volume
-  FROM ({_latest('stored', 'exchange, s')}) a FULL JOIN ({_latest('raw', 'exchange, s')}) b
-    ON a.exchange = b.exchange AND a.s = b.s),
+  SELECT b.exchange || '/' || b.s AS subject, a.day AS have, b.day AS want, a.sv AS have_volume, c.sv AS want_volume,
+         c.s IS NOT NULL AS sent
+  FROM ({_latest('raw', 'exchange, s')}) b LEFT JOIN ({_latest('stored', 'exchange, s')}) a
+    ON a.exchange = b.exchange AND a.s = b.s LEFT JOIN deduped c ON a.exchange = c.exchange AND a.s = c.s AND a.d = c.d),
 source_checks AS (
   SELECT 'freshness' AS "check", subject, CASE WHEN have = want THEN 'SUCCESS' ELSE 'FAIL' END AS status,
          want AS expected, have AS actual FROM pairs
   UNION ALL
   SELECT 'accuracy', subject, CASE WHEN {CLOSE.format(a='have_volume', b='want_volume')} THEN 'SUCCESS' ELSE 'FAIL' END,
-         {_text('want_volume')}, {_text('have_volume')} FROM pairs)"""
+         {_text('want_volume')}, {_text('have_volume')} FROM pairs WHERE sent)"""
 
 
 def _reconciled(published: str) -> str:
-    return f"""sums AS (SELECT day AS date, {FIXED} AS symbol, {_sum('sv')} AS venue_volume FROM deduped GROUP BY day, s),
+    return f"""sums AS (SELECT day AS date, {FIXED} AS symbol, {_sum('sv')} AS venue_volume FROM deduped GROUP BY day, {FIXED}),
 published AS ({published}),
 reconciled AS (
   SELECT 'reconciliation' AS "check", date || '/' || symbol AS subject,
@@ -132,10 +132,7 @@ FAULTY = f"""SELECT date, symbol,
 
 
 def _profile(name: str, column: str) -> str:
-    cents = f"CAST(round({column} * 100) AS BIGINT)"
-    quartiles = ", ".join(
-        f"quantile_cont(CAST({cents} AS DOUBLE), {p}) / 100 AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75)
-    )
+    quartiles = ", ".join(f"quantile_cont({column}, {p}) AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75))
     return f"""SELECT '{name}' AS "column", count({column}) AS n, {_sum(column)} / count({column}) AS mean,
  round(stddev_samp({column}), 4) AS std, min({column}) AS min, {quartiles}, max({column}) AS max FROM raw"""
 
@@ -199,6 +196,13 @@ QUALIFY row_number() OVER (PARTITION BY s ORDER BY d DESC, {BEST}, exchange DESC
     "latest_date_for_symbol": f"""WITH {RAW} SELECT day AS "Date" FROM raw WHERE s = 'S_7' ORDER BY d DESC LIMIT 5""",
     "top1": f"WITH {RAW} SELECT {ROW} FROM raw ORDER BY d DESC, {BEST}, exchange, s LIMIT 1",
     "head_sorted": f"WITH {RAW} SELECT {ROW} FROM raw ORDER BY d, s, {BEST}, exchange LIMIT 5",
+    "tail": f"WITH {RAW} SELECT {ROW} FROM raw ORDER BY d DESC, s DESC, {BEST}, exchange DESC LIMIT 5",
+    "row_count_approx": "SELECT count(*) AS n_rows, true AS exact FROM lineitem",
+    "document_bad_rows": f"""WITH {RAW}, judged AS (
+SELECT CASE WHEN ev = 0.01 THEN 'Date' WHEN ev IN (0.02, 0.03, 0.04) THEN 'ShortVolume' ELSE 'good' END AS reason,
+       CASE WHEN ev <> 0.05 THEN sv END AS sv FROM raw)
+SELECT reason, count(*) AS n_rows, CASE WHEN reason = 'good' THEN count(sv) ELSE 0 END AS n_volumes,
+       CASE WHEN reason = 'good' THEN {_sum('sv')} END AS volume FROM judged GROUP BY reason""",
     "row_count": "SELECT count(*) AS n_rows FROM lineitem",
     "count_matching": f"""WITH {RAW} SELECT count(*) AS n_rows, count(*) FILTER (contains(s, '_9')) AS n_matching,
 count(DISTINCT s) FILTER (contains(s, '_9')) AS n_distinct FROM raw""",
@@ -214,7 +218,7 @@ WHERE action <> 'skip' AND d BETWEEN start_date AND end_date AND (last_date IS N
     "incremental_load_fixed": f"WITH {RAW}, {DEDUPED} SELECT {ROW} FROM deduped WHERE d = DATE '{q.PULL}'",
     "quality_basic": " UNION ALL ".join(_basic(n) for n in ("lineitem", "orders", "supplier"))
     + " UNION ALL SELECT 'exists', 'trades', 'FAIL', 'a table', 'does not exist'",
-    "quality_vs_source": f"WITH {RAW}, {STORED}, {SOURCE_CHECKS} SELECT * FROM source_checks",
+    "quality_vs_source": f"WITH {RAW}, {DEDUPED}, {STORED}, {SOURCE_CHECKS} SELECT * FROM source_checks",
     "reconcile": f"WITH {RAW}, {DEDUPED}, {COMBINED}, {_reconciled(FAULTY)} SELECT * FROM reconciled",
     "quality_gate": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {STORED}, {SOURCE_CHECKS},
 {_reconciled('SELECT date, symbol, short_volume FROM combined')},
@@ -229,6 +233,9 @@ SELECT combined.* EXCLUDE (d), close, sector FROM combined JOIN prices USING (da
     "stratified_sample": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {SECTORS}
 SELECT combined.* EXCLUDE (d), sector FROM combined JOIN sectors USING (symbol) QUALIFY row_number() OVER (
 PARTITION BY sector ORDER BY md5(date || '|' || symbol), date, symbol) <= {q.SAMPLE_ROWS}""",
+    "stratified_sample_large": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {SECTORS}
+SELECT combined.* EXCLUDE (d), sector FROM combined JOIN sectors USING (symbol) QUALIFY row_number() OVER (
+PARTITION BY sector ORDER BY md5(date || '|' || symbol), date, symbol) <= {q.LARGE_SAMPLE_ROWS}""",
     "iqr_filter": f"WITH {BAND_TABLES}, {_band('sector, horizon')} SELECT * FROM band",
     "sector_correlation": f"WITH {STUDY_TABLES} SELECT sector, {_CORRELATIONS} FROM study GROUP BY sector",
     "sector_period_correlation": f"""WITH {STUDY_TABLES}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions import (
     date_before,
+    exact_sum,
     is_close,
     iso_text,
     normalize_symbol,
@@ -31,6 +32,7 @@ ARRIVED_BEFORE = "2000-07-04"
 STORED_UNTIL = "2001-10-25"
 FAULT_MONTH = "1999-06"
 SAMPLE_ROWS = 1000
+LARGE_SAMPLE_ROWS = 5000
 PROFILED = ["ShortExemptVolume", "ShortVolume", "TotalVolume"]
 
 QUERIES: dict[str, Query] = {}
@@ -141,6 +143,17 @@ def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("exchange", "Symbol", "status").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query
+def document_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows set aside, per cause, and what is left of the short volume."""
+    faulty = market_views.documents(spark, sf_dir, faulty=True)
+    bad = docs.bad_document_rows(faulty).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    good = docs.parse_documents(faulty).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("ShortVolume").alias("n_volumes"), exact_sum(F.col("ShortVolume")).alias("volume"))
+    return bad.withColumns({"n_volumes": F.lit(0).cast("long"), "volume": F.lit(None).cast("double")}).unionByName(
+        good.withColumn("reason", F.lit("good")))
+
+
 @query
 def newest_offered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_date(docs.newest_offered(market_views.documents(spark, sf_dir)), "newest_date")
@@ -297,7 +310,7 @@ def head_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_date(counting.indexed_tail(_shorts(spark, sf_dir), 5))
+    return _text_date(counting.tail_rows(_shorts(spark, sf_dir), ["Date", "Symbol", *venues.KEEP_ORDER], 5))
 
 
 @query
@@ -307,7 +320,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_count_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.row_count_approx(_shorts(spark, sf_dir))
+    return counting.row_count_approx(spark, f"{sf_dir}/lineitem.parquet").select("n_rows", "exact")
 
 
 @query
@@ -398,6 +411,13 @@ def join_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_date(rows, "date")
 
 
+@query
+def stratified_sample_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows for each sector than Spark's own limits within groups go to."""
+    rows = _combined(spark, sf_dir).join(market_views.sectors(spark, sf_dir), "symbol")
+    return _text_date(analysis.stratified_sample(rows, "sector", ["date", "symbol"], LARGE_SAMPLE_ROWS), "date")
+
+
 @query
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _combined(spark, sf_dir).join(market_views.sectors(spark, sf_dir), "symbol")

@@ -2,8 +2,8 @@
 
 from pyspark.sql import types as T
 
-# Volumes are doubles holding hundredths of a share at most. They are summed as whole hundredths
-# (functions.numbers.exact_sum), which is exact, independent of order and needs no decimal arithmetic.
+# Volumes are doubles with six decimals at most (functions.numbers.fits). Their sums are exact and independent of
+# order (functions.numbers.exact_sum).
 VOLUME = T.DoubleType()
 
 # Column names, venues, source codes and correction of the published data model.

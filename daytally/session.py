@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the shared folder."""
-    context = df.sparkSession.sparkContext
+    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daytally.functions import fits
 from daytally.schemas import RAW_TYPES
 
 BAD_LINE = "_corrupt_record"
@@ -51,7 +52,15 @@ def union_layouts(spark: SparkSession, paths: dict[str, str], types: dict[str, T
 
 
 def split_bad_rows(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the text of the bad lines. Land the scan in Parquet first if both are needed."""
-    good = landed.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
-    bad = landed.where(F.col(BAD_LINE).isNotNull())
-    return good, bad.select(*[c for c in ("exchange",) if c in landed.columns], F.col(BAD_LINE).alias("line"))
+    """Good rows, and the text of the bad lines. Land the scan in Parquet first if both are needed.
+
+    A line is bad if it does not fit the header or the types, or holds a number that is not finite, too large or too
+    fine to be summed exactly. Such a line parsed, so its text is put together again from its values.
+    """
+    numbers = [f.name for f in landed.schema if isinstance(f.dataType, T.DoubleType)]
+    wrong = reduce(lambda a, b: a | b, [~F.coalesce(fits(F.col(c)), F.lit(True)) for c in numbers], F.lit(False))
+    text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in landed.columns if c not in (BAD_LINE, "exchange")])
+    is_bad = F.col(BAD_LINE).isNotNull() | wrong
+    good = landed.where(~is_bad).drop(BAD_LINE)
+    venue = [c for c in ("exchange",) if c in landed.columns]
+    return good, landed.where(is_bad).select(*venue, F.coalesce(BAD_LINE, text).alias("line"))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions import parse_iso, strip_key, to_volume
+from daytally.functions import bad_volume, parse_iso, strip_key, to_volume
 from daytally.schemas import DOCUMENT_SCHEMA, RAW_COLUMNS, VOLUME_COLUMNS
 
 
@@ -50,25 +50,55 @@ def _source_rows(documents: DataFrame, keep_empty: bool, *keep: str) -> DataFram
     rows = parsed.select(*[c for c in parsed.columns if c != "data"], F.explode_outer("data").alias("row"))
     if not keep_empty:
         rows = rows.where(F.col("row").isNotNull())
+    date = parse_iso(_cell("Date"))
+    reason = F.when(date.isNull(), "Date")
+    for name in VOLUME_COLUMNS:
+        reason = reason.when(bad_volume(_cell(name)), name)
     return rows.select(
-        *keep, "exchange", "newest", "SourceURL", "Symbol", parse_iso(_cell("Date")).alias("Date"),
+        *keep, "exchange", "newest", "SourceURL", "Symbol", date.alias("Date"),
         *[to_volume(_cell(name)).alias(name) for name in VOLUME_COLUMNS],
+        "row", F.when(F.col("row").isNotNull(), reason).alias("reason"),
     )
 
 
 def parse_documents(documents: DataFrame, *keep: str) -> DataFrame:
-    """One typed row per data row, with the venue, the symbol, the key-free address and the columns in
-    ``keep`` carried along."""
-    return _source_rows(documents, False, *keep).select("exchange", *RAW_COLUMNS, *keep)
+    """One typed row per good data row, with the venue, the symbol, the key-free address and the columns in
+    ``keep`` carried along. The other data rows are in :func:`bad_document_rows`; none is in neither."""
+    good = _source_rows(documents, False, *keep).where(F.col("reason").isNull())
+    return good.select("exchange", *RAW_COLUMNS, *keep)
+
+
+def bad_document_rows(documents: DataFrame) -> DataFrame:
+    """Data rows with no readable date, or with a volume that is no number or does not fit, as they came.
+
+    ``reason`` names the first column at fault. A missing volume is no fault.
+    """
+    bad = _source_rows(documents, False).where(F.col("reason").isNotNull())
+    return bad.select("exchange", "Symbol", "SourceURL", "reason", F.to_json("row").alias("row"))
 
 
 def newest_offered(documents: DataFrame) -> DataFrame:
     """Newest date the source states, and the short volume of its newest row, per venue and symbol."""
     newest_row = F.struct("Date", "TotalVolume", "ShortVolume", "ShortExemptVolume")
+    good = F.col("row").isNotNull() & F.col("reason").isNull()
     offered = _source_rows(documents, True).groupBy("exchange", "Symbol").agg(
-        F.max("newest").alias("newest_date"), F.max(F.when(F.col("Date").isNotNull(), newest_row)).alias("row")
+        F.max("newest").alias("newest_date"), F.max(F.when(good, newest_row)).alias("best")
     )
-    return offered.select("exchange", "Symbol", "newest_date", F.col("row.ShortVolume").alias("source_volume"))
+    return offered.select("exchange", "Symbol", "newest_date", F.col("best.ShortVolume").alias("source_volume"))
+
+
+def offered_at(documents: DataFrame, date: str) -> DataFrame:
+    """Newest date the source states, and its short volume on the day in a column ``date`` of the documents.
+
+    One row per venue and symbol. ``has_row`` says whether the source sent a good row for that day.
+    """
+    row = F.struct("TotalVolume", "ShortVolume", "ShortExemptVolume")
+    same = F.col("row").isNotNull() & F.col("reason").isNull() & (F.col("Date") == F.col(date))
+    offered = _source_rows(documents, True, date).groupBy("exchange", "Symbol").agg(
+        F.max("newest").alias("newest_date"), F.max(F.when(same, row)).alias("best"))
+    return offered.select(
+        "exchange", "Symbol", "newest_date", F.col("best").isNotNull().alias("has_row"),
+        F.col("best.ShortVolume").alias("source_volume"))
 
 
 def document_status(documents: DataFrame) -> DataFrame:
@@ -103,10 +133,13 @@ def explode_maps(df: DataFrame, column: str, keep_empty: bool = False) -> DataFr
     return df.select(*[c for c in df.columns if c != column], explode(column).alias("col"))
 
 
-def fetch_documents(plan: DataFrame, fetch: Callable[[str, str, str, str], tuple[str, str | None]]) -> DataFrame:
-    """Request the planned symbols on the executors, a slice of the symbols per task.
+def fetch_documents(
+    plan: DataFrame, fetch: Callable[[str, str, str, str], tuple[str, str | None]], tasks: int = 64
+) -> DataFrame:
+    """Request the planned symbols on the executors, a slice of the symbols in each of ``tasks`` tasks.
 
-    ``fetch(exchange, symbol, start, end)`` returns the address and the body, or no body after a failure.
+    The number of tasks bounds the requests that run at a time, besides the cores. It is stated, because a plan is
+    so small that the runtime would otherwise join its partitions into one. ``fetch(exchange, symbol, start, end)`` returns the address and the body, or no body after a failure.
     Land the result before parsing it: a lost task repeats its requests.
     """
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,7 +153,7 @@ def fetch_documents(plan: DataFrame, fetch: Callable[[str, str, str, str], tuple
     wanted = plan.where(F.col("action") != "skip").select(
         "exchange", "Symbol", F.col("start_date").cast("string"), F.col("end_date").cast("string")
     )
-    found = wanted.repartition("exchange", "Symbol").mapInPandas(
+    found = wanted.repartition(tasks, "exchange", "Symbol").mapInPandas(
         ask, "exchange string, Symbol string, SourceURL string, body string"
     )
     return found.withColumn("SourceURL", strip_key(F.col("SourceURL")))

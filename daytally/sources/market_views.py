@@ -59,9 +59,12 @@ def text_short_interests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
     """Source documents of at most 65,536 rows each, newest row first.
 
+    With faults, rows are spoiled by their exempt volume: 0.01 by a date in another form, 0.02 by a volume that is no
+    number, 0.03 by one that is too large, 0.04 by one too fine, 0.05 by a missing volume, which is no fault.
+
     Pages are cut by position inside each scan task, so a symbol with very many rows gets many documents
     and no group grows with the data.
     """
@@ -69,8 +72,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.floor(F.monotonically_increasing_id() / ROWS_PER_DOCUMENT)
     # Collecting text does not shrink it, so the rows move first and the text is made after.
     rows = short_interests(spark, sf_dir).withColumn("page", page).repartition(*keys)
+    date, short = iso_text(F.col("Date")), F.col("ShortVolume").cast("string")
+    if faulty:
+        exempt = F.col("ShortExemptVolume")
+        date = F.when(exempt == 0.01, F.date_format("Date", "dd.MM.yyyy")).otherwise(date)
+        short = (F.when(exempt == 0.02, '"abc"').when(exempt == 0.03, "1e17").when(exempt == 0.04, "0.00000015")
+                 .when(exempt == 0.05, "null").otherwise(short))
     cells = F.concat(
-        F.lit('["'), iso_text(F.col("Date")), F.lit('",'), F.col("ShortVolume").cast("string"), F.lit(","),
+        F.lit('["'), date, F.lit('",'), short, F.lit(","),
         F.col("ShortExemptVolume").cast("string"), F.lit(","), F.col("TotalVolume").cast("string"), F.lit("]"),
     )
     pages = rows.groupBy(*keys).agg(

@@ -1,20 +1,24 @@
 """Load documents as they land. The stream's checkpoint remembers which files have been taken."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from daytally.operators.maintenance import replace_partitions
+from daytally.operators.maintenance import append_batch
 from daytally.operators.venues import dedupe
-from daytally.schemas import LANDED_DOCUMENT_SCHEMA, RAW_COLUMNS
-from daytally.sources.documents import parse_documents
+from daytally.schemas import LANDED_DOCUMENT_SCHEMA
+from daytally.sources.documents import bad_document_rows, parse_documents
 
 
-def load_landed(spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int = 1000) -> None:
+def load_landed(
+    spark: SparkSession, landing: str, store: str, checkpoint: str, pull: str, quarantine: str, files_per_batch: int = 1000
+) -> None:
     """Take every file that is new in ``landing`` and stop.
 
-    Files hold one landed document per line. Each micro-batch replaces its own partition of the store,
-    so a batch repeated after a failure leaves no rows twice. ``store`` and ``checkpoint`` must be folders
-    that every executor can reach. Rows of one key in different batches are settled when venues are combined.
+    Files hold one landed document per line. Rows go to the store of the daily load, under the same layout: venue,
+    pull date and batch. A batch is named after the stream, whose name lives in its checkpoint, and its number; so
+    a batch repeated after a failure leaves no rows twice, and a stream with a new checkpoint replaces no other's
+    rows. Data rows that can't be read go to ``quarantine`` under the same names. ``store``, ``quarantine`` and
+    ``checkpoint`` must be folders that every executor can reach. Rows of one key in different batches are settled
+    when venues are combined.
     """
     documents = (
         spark.readStream.schema(LANDED_DOCUMENT_SCHEMA)
@@ -22,11 +26,15 @@ def load_landed(spark: SparkSession, landing: str, store: str, checkpoint: str,
     )
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = dedupe(batch).select("exchange", *RAW_COLUMNS, F.lit(batch_id).alias("batch"))
-        replace_partitions(rows, store, ["exchange", "batch"])
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("the stream has no name; its batches could replace another's")
+        name = f"{stream}-{batch_id}"
+        append_batch(dedupe(parse_documents(batch)), store, pull, name)
+        bad_document_rows(batch).write.mode("overwrite").parquet(f"{quarantine}/pull_date={pull}/batch={name}")
 
     query = (
-        parse_documents(documents).writeStream.foreachBatch(store_batch)
+        documents.writeStream.foreachBatch(store_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -1,7 +1,11 @@
+import re
+
+import pytest
 from helpers import day, shorts, tuples
 
 from daytally.operators import ingest
 from daytally.operators.maintenance import append_batch
+from daytally.operators.quality import CheckFailed
 from daytally.plans import daily
 
 PULL, START = "2020-01-10", "2013-04-01"
@@ -94,8 +98,12 @@ def test_a_later_pull_date_keeps_earlier_partitions(spark, tmp_path):
     assert tuples(spark.read.parquet(store), "Date", "ShortVolume") == [(day("2020-01-08"), 1.0), (day("2020-01-09"), 2.0)]
 
 
+def _folders(tmp_path):
+    return {n: str(tmp_path / n) for n in ("store", "marks", "combined", "export", "checks", "quarantine")}
+
+
 def test_a_whole_day(spark, tmp_path):
-    folders = {n: str(tmp_path / n) for n in ("store", "marks", "combined", "export")}
+    folders = _folders(tmp_path)
     symbols = spark.createDataFrame([("NYSE", "GECCL"), ("NASDAQ", "GECCL"), ("NASDAQ", "FB")], "exchange string, Symbol string")
     landed = spark.createDataFrame([
         _document(spark, "GECCL", "2020-01-10", [("2020-01-10", 5.5, 1, 9)]),
@@ -134,3 +142,63 @@ def test_publishing_the_changed_dates_equals_publishing_all(spark, tmp_path):
             (day("2020-01-07"), "A", 1.0), (day("2020-01-08"), "A", 3.0), (day("2020-01-09"), "A", 5.0)
         ]
         assert tuples(published, "date", "short_volume") == tuples(spark.read.parquet(whole), "date", "short_volume")
+
+
+def _symbols_of(spark, *names):
+    return spark.createDataFrame([("NYSE", n) for n in names], "exchange string, Symbol string")
+
+
+def _answer(spark, *documents):
+    return spark.createDataFrame(list(documents), LANDED)
+
+
+def test_quiet_skipped_and_delisted_symbols_do_not_stop_the_run(spark, tmp_path):
+    folders = _folders(tmp_path)
+    symbols = _symbols_of(spark, "FB", "QUIET", "SKIPPED", "DELISTED")
+    first = [_document(spark, s, "2020-01-08", [("2020-01-08", 5, 1, 9), ("2020-01-07", 4, 1, 9)]) for s in ("FB", "QUIET", "SKIPPED", "DELISTED")]
+    daily.run_day(spark, _answer(spark, *first), symbols, folders, START, "2020-01-08")
+    # Nothing new for one symbol, no request for another, and one that is no longer listed.
+    second = [_document(spark, "FB", "2020-01-09", [("2020-01-09", 6, 1, 9)]), _document(spark, "QUIET", "2020-01-08", [])]
+    daily.run_day(spark, _answer(spark, *second), _symbols_of(spark, "FB", "QUIET", "SKIPPED"), folders, START, "2020-01-09")
+    checks = spark.read.parquet(f"{folders['checks']}/pull_date=2020-01-09")
+    assert checks.where("status = 'FAIL'").count() == 0
+    assert tuples(checks.where("check = 'answered'"), "subject", "actual") == [("NYSE/FB", "data"), ("NYSE/QUIET", "no data")]
+    # A failed and a malformed request fail, and nothing else does; what came is stored all the same.
+    third = [_document(spark, "FB", "2020-01-10", [("2020-01-10", 7, 1, 9)]), ("NYSE", "QUIET", "u", None), ("NYSE", "SKIPPED", "u", "<html>")]
+    with pytest.raises(CheckFailed, match="2 are in"):
+        daily.run_day(spark, _answer(spark, *third), _symbols_of(spark, "FB", "QUIET", "SKIPPED"), folders, START, "2020-01-10")
+    failed = spark.read.parquet(f"{folders['checks']}/pull_date=2020-01-10").where("status = 'FAIL'")
+    assert tuples(failed, "check", "subject", "actual") == [("answered", "NYSE/QUIET", "failed"), ("answered", "NYSE/SKIPPED", "malformed")]
+    assert spark.read.parquet(folders["store"]).where("Symbol = 'FB'").count() == 4
+
+
+def test_bad_rows_are_set_aside_counted_and_reported(spark, tmp_path):
+    folders = _folders(tmp_path)
+    rows = [("2020-01-08", 5, 1, 9), ("10.01.2020", 4, 1, 9), ("2020-01-07", '"abc"', 1, 9), ("2020-01-06", "1e17", 1, 9),
+            ("2020-01-05", '"NaN"', 1, 9), ("2020-01-04", "null", 1, 9), ("2020-01-03", 4, 1, '"Infinity"')]
+    documents = _answer(spark, _document(spark, "FB", "2020-01-08", rows))
+    with pytest.raises(CheckFailed, match="readable rows documents: 5 instead of 0"):
+        daily.run_day(spark, documents, _symbols_of(spark, "FB"), folders, START, "2020-01-08")
+    bad = spark.read.parquet(f"{folders['quarantine']}/pull_date=2020-01-08")
+    assert tuples(bad, "reason") == [("Date",), ("ShortVolume",), ("ShortVolume",), ("ShortVolume",), ("TotalVolume",)]
+    assert tuples(spark.read.parquet(folders["store"]), "Date", "ShortVolume") == [(day("2020-01-04"), None), (day("2020-01-08"), 5.0)]
+
+
+def test_the_second_day_exports_and_checks_its_own_dates(spark, tmp_path):
+    folders = _folders(tmp_path)
+    symbols = _symbols_of(spark, "FB")
+    daily.run_day(spark, _answer(spark, _document(spark, "FB", "2020-01-08", [("2020-01-08", 5, 1, 9), ("2020-01-07", 4, 1, 9)])),
+                  symbols, folders, START, "2020-01-08")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "export").rglob("*.csv")}
+    daily.run_day(spark, _answer(spark, _document(spark, "FB", "2020-01-09", [("2020-01-09", 6, 1, 9)])), symbols, folders, START, "2020-01-09")
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "export").rglob("*.csv")}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    published = spark.read.csv(folders["export"], header=True)
+    assert tuples(published, "date", "short_volume") == [("2020-01-07", "4.0"), ("2020-01-08", "5.0"), ("2020-01-09", "6.0")]
+    checked = spark.read.parquet(f"{folders['checks']}/pull_date=2020-01-09/stage=published").where("check = 'reconciliation'")
+    assert tuples(checked, "subject") == [("2020-01-09/FB",)]
+    dates = daily.changed_dates(spark, folders["store"], "2020-01-09")
+    plan = daily.published(spark, folders["combined"], dates)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
+    plan = daily.rows_of(spark, folders["store"], dates)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*pull_date", plan) and re.search(r"PushedFilters: \[[^\]]*Date", plan)

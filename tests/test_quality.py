@@ -30,9 +30,9 @@ def test_each_fault_is_one_fail(spark):
     rows = _clean(spark)
     combined = venues.combine(rows)
     off = combined.withColumn("short_volume", F.col("short_volume") + F.when(F.col("symbol") == "SPY", 1).otherwise(0))
-    assert _fails(quality.reconcile(off, rows)) == [("reconciliation", f"{D}/SPY", "30.00", "31.00")]
-    assert _fails(quality.reconcile(combined.where("symbol <> 'FB'"), rows)) == [("reconciliation", f"{D}/FB", "7.00", None)]
-    assert _fails(quality.reconcile(combined, rows.where("Symbol <> 'FB'"))) == [("reconciliation", f"{D}/FB", None, "7.00")]
+    assert _fails(quality.reconcile(off, rows)) == [("reconciliation", f"{D}/SPY", "30.000000", "31.000000")]
+    assert _fails(quality.reconcile(combined.where("symbol <> 'FB'"), rows)) == [("reconciliation", f"{D}/FB", "7.000000", None)]
+    assert _fails(quality.reconcile(combined, rows.where("Symbol <> 'FB'"))) == [("reconciliation", f"{D}/FB", None, "7.000000")]
 
 
 def test_corrected_symbols_reconcile(spark):
@@ -53,11 +53,27 @@ def test_freshness_and_accuracy(spark):
         ("NYSE", D, "STALE", 1.0, 5.0, 9.0), ("NYSE", D, "WRONG", 1.0, 6.0, 9.0), ("NYSE", D, "NOSOURCE", 1.0, 6.0, 9.0),
     )
     failed = [(c, s) for c, s, *_ in _fails(quality.quality_vs_source(stored, documents))]
-    assert failed == sorted([
-        ("freshness", "NYSE/STALE"), ("accuracy", "NYSE/WRONG"),
-        ("freshness", "NYSE/UNSTORED"), ("accuracy", "NYSE/UNSTORED"), ("freshness", "NYSE/EMPTY"), ("accuracy", "NYSE/EMPTY"),
-        ("freshness", "NYSE/NOSOURCE"), ("accuracy", "NYSE/NOSOURCE"),
-    ])
+    # A symbol the source had nothing for, and one that was not asked for, have nothing to be compared with.
+    assert failed == sorted([("freshness", "NYSE/STALE"), ("accuracy", "NYSE/WRONG"), ("freshness", "NYSE/UNSTORED")])
+
+
+def test_accuracy_is_compared_on_the_stored_day(spark):
+    documents = spark.createDataFrame([
+        _document(spark, "LATER", "2020-02-24", [("2020-02-24", 8, 1, 9), (D, 5, 1, 9)]),
+        _document(spark, "PARTIAL", "2020-02-24", [("2020-02-24", 8, 1, 9)]),
+    ], LANDED)
+    stored = shorts(spark, ("NYSE", D, "LATER", 1.0, 5.0, 9.0), ("NYSE", D, "PARTIAL", 1.0, 5.0, 9.0))
+    checks = quality.quality_vs_source(stored, documents)
+    assert tuples(checks, "check", "subject", "status") == [
+        ("accuracy", "NYSE/LATER", "SUCCESS"), ("freshness", "NYSE/LATER", "FAIL"), ("freshness", "NYSE/PARTIAL", "FAIL")]
+
+
+def test_all_checks_are_written_before_the_run_stops(spark, tmp_path):
+    rows = spark.range(30).select(F.lit("c").alias("check"), F.col("id").cast("string").alias("subject"), F.lit("FAIL").alias("status"),
+                                  F.lit("a").alias("expected"), F.lit("b").alias("actual"))
+    with pytest.raises(quality.CheckFailed, match="all 30 are in"):
+        quality.enforce(rows, str(tmp_path / "checks"))
+    assert spark.read.parquet(str(tmp_path / "checks")).count() == 30
 
 
 def test_latest_row_is_one_per_symbol_whatever_the_order(spark):

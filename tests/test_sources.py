@@ -70,8 +70,10 @@ def test_documents(spark):
     landed = spark.createDataFrame([("NYSE", "FB", "http://h/d?api_key=K&a=1", body)], LANDED)
     rows = documents.parse_documents(landed)
     assert tuples(rows, "Date", "ShortVolume", "TotalVolume", "ShortExemptVolume") == [
-        (None, None, 1.0, 2.0), (date(2020, 1, 2), 7.0, None, None), (date(2020, 1, 3), 12345678.0, 5e7, None),
+        (date(2020, 1, 2), 7.0, None, None), (date(2020, 1, 3), 12345678.0, 5e7, None),
     ]
+    bad = documents.bad_document_rows(landed)
+    assert tuples(bad, "Symbol", "reason", "row") == [("FB", "Date", '["never","abc","x","1","2"]')]
     assert {r["SourceURL"] for r in rows.collect()} == {"http://h/d?a=1"}
     maps = documents.explode_maps(documents.document_maps(landed), "short_interests")
     assert [len(r["col"]) for r in maps.collect()] == [5, 3, 5]
@@ -119,6 +121,30 @@ def test_fetch_runs_on_the_executors_and_reports_failures(spark):
     assert tuples(documents.document_status(found), "Symbol", "status") == [("A", "no data"), ("B", "failed")]
 
 
+def test_many_symbols_are_fetched_by_many_tasks(spark):
+    plan = spark.range(6674).select(
+        F.lit("NYSE").alias("exchange"), F.concat(F.lit("S"), "id").alias("Symbol"), F.lit(day("2020-01-01")).alias("start_date"),
+        F.lit(day("2020-01-02")).alias("end_date"), F.lit("full").alias("action"))
+
+    def fetch(exchange, symbol, start, end):
+        from pyspark import TaskContext
+
+        return f"http://h/{TaskContext.get().partitionId()}", "{}"
+
+    found = documents.fetch_documents(plan, fetch, tasks=16)
+    by_task = found.groupBy("SourceURL").count().collect()
+    assert len(by_task) == 16 and sum(r["count"] for r in by_task) == 6674
+    assert max(r["count"] for r in by_task) < 3 * 6674 / 16
+
+
+def test_lines_with_numbers_that_can_not_be_summed_are_set_aside(spark, tmp_path):
+    path = _folder(tmp_path / "n", a="\n".join([HEADER, *(f"2020-01-02,1,{v},u,FB,100" for v in ("5", "NaN", "Infinity", "1e17", "0.0000001", ""))]))
+    good, bad = csv_tables.split_bad_rows(csv_tables.union_layouts(spark, {"NYSE": path}))
+    assert tuples(good, "ShortVolume") == [(None,), (5.0,)]
+    assert bad.count() == 4
+    assert tuples(combine_raw(good), "short_volume") == [(5.0,)]
+
+
 def test_listing(spark):
     raw = spark.createDataFrame([("BRK.A", "[quote]", None), ("FB", None, None)], "Symbol string, `Summary Quote` string, _c8 string")
     assert tuples(listings.clean_listing(raw), "*") == [("BRK_A", "quote"), ("FB", None)]
@@ -149,9 +175,17 @@ def test_filters_reach_the_parquet_scan(spark, tmp_path):
     assert "EqualTo(Symbol,FB)" in plan and "EqualTo(Date,2020-01-02)" in plan and "TotalVolume" not in plan
 
 
-@pytest.mark.parametrize("limit", [1, 10])
+@pytest.mark.parametrize("limit", [10, 1000])
 def test_broadcast_only_after_the_size_check(spark, limit):
     from daytally.operators.sizes import broadcast_if_small
     joined = spark.range(100).join(broadcast_if_small(spark.range(5), limit), "id")
     hinted = "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
-    assert hinted is (limit == 10) and joined.count() == 5
+    assert hinted is (limit == 1000) and joined.count() == 5
+
+
+def test_the_size_is_measured_without_gathering_rows(spark):
+    from daytally.operators.sizes import ROW_BYTES, measured_bytes
+
+    rows = spark.createDataFrame([("ab", None), (None, 123)], "a string, b long")
+    assert measured_bytes(rows) == 2 * ROW_BYTES + 2 + 3
+    assert measured_bytes(rows.limit(0)) == 0

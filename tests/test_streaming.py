@@ -4,8 +4,11 @@ from helpers import tuples
 from test_ingest import _document
 
 from daytally.operators.venues import combine
+from daytally.plans import daily
 from daytally.streaming import load_landed
 
+PULL = "2020-01-04"
+
 
 def _land(path, spark, *documents):
     lines = [json.dumps(dict(zip(("exchange", "Symbol", "SourceURL", "body"), d))) for d in documents]
@@ -15,15 +18,39 @@ def _land(path, spark, *documents):
 def test_each_landed_file_is_loaded_once(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
+    store, checkpoint, bad = (str(tmp_path / n) for n in ("store", "checkpoint", "bad"))
     _land(landing / "a.json", spark, _document(spark, "FB", "2020-01-02", [("2020-01-02", 5, 1, 9), ("2020-01-01", 4, 1, 9)]))
-    load_landed(spark, str(landing), store, checkpoint)
+    load_landed(spark, str(landing), store, checkpoint, PULL, bad)
     assert spark.read.parquet(store).count() == 2
-    load_landed(spark, str(landing), store, checkpoint)
+    load_landed(spark, str(landing), store, checkpoint, PULL, bad)
     assert spark.read.parquet(store).count() == 2
     _land(landing / "b.json", spark, _document(spark, "FB", "2020-01-03", [("2020-01-03", 6, 1, 9), ("2020-01-02", 5, 1, 9)]))
     _land(landing / "c.json", spark, _document(spark, "FB", "2020-01-03", [("2020-01-03", 7, 1, 9)], "NASDAQ"))
-    load_landed(spark, str(landing), store, checkpoint, files_per_batch=1)
+    load_landed(spark, str(landing), store, checkpoint, PULL, bad, files_per_batch=1)
     stored = spark.read.parquet(store)
     assert stored.count() == 5
     assert [v for (v,) in tuples(combine(stored), "short_volume")] == [4.0, 5.0, 13.0]
+
+
+def test_a_new_checkpoint_replaces_no_stored_row(spark, tmp_path):
+    store, bad = str(tmp_path / "store"), str(tmp_path / "bad")
+    for name, symbol in (("one", "FB"), ("two", "GOOG")):
+        landing = tmp_path / name
+        landing.mkdir()
+        rows = [("2020-01-02", 5, 1, 9), ("10.01.2020", 4, 1, 9), ("2020-01-01", 4, 1, 9)]
+        _land(landing / "a.json", spark, _document(spark, symbol, "2020-01-02", rows))
+        load_landed(spark, str(landing), store, str(tmp_path / f"checkpoint_{name}"), PULL, bad)
+    assert tuples(spark.read.parquet(store), "Symbol") == [("FB",), ("FB",), ("GOOG",), ("GOOG",)]
+    assert tuples(spark.read.parquet(bad), "Symbol", "reason") == [("FB", "Date"), ("GOOG", "Date")]
+
+
+def test_the_daily_jobs_read_what_the_stream_stored(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store, combined = str(tmp_path / "store"), str(tmp_path / "combined")
+    _land(landing / "a.json", spark, _document(spark, "FB", "2020-01-02", [("2020-01-02", 5, 1, 9), ("2020-01-01", 4, 1, 9)]))
+    load_landed(spark, str(landing), store, str(tmp_path / "checkpoint"), PULL, str(tmp_path / "bad"))
+    known = daily.known_dates(spark, store, str(tmp_path / "marks"), "2020-01-05")
+    assert [str(d) for (d,) in tuples(known, "last_date")] == ["2020-01-02"]
+    assert [str(d) for d in daily.publish_changes(spark, store, combined, PULL)] == ["2020-01-01", "2020-01-02"]
+    assert tuples(spark.read.parquet(combined), "short_volume") == [(4.0,), (5.0,)]

@@ -68,3 +68,25 @@ def test_union_matches_columns_by_name(spark):
     b = spark.createDataFrame([(2.0, "B")], "ShortVolume double, Symbol string")
     both = venues.union_venues({"NASDAQ": a, "NYSE": b})
     assert tuples(both, "exchange", "Symbol", "ShortVolume") == [("NASDAQ", "A", 1.0), ("NYSE", "B", 2.0)]
+
+
+def test_symbols_corrected_to_one_are_added_up_and_not_taken_for_copies(spark):
+    rows = shorts(
+        spark, ("NYSE", D, "GECCL", 1.0, 3.0, 9.0), ("NYSE", D, "GECC_L", 1.0, 4.0, 9.0), ("NYSE", D, "GECC_L", 1.0, 4.0, 9.0),
+        ("NASDAQ", D, "GECCL", None, 2.0, 9.0),
+    )
+    for result in (venues.combine(rows), venues.combine_any_venue(rows)):
+        assert tuples(result, "symbol", "short_exempt_volume", "short_volume", "total_volume") == [("GECC_L", 2.0, 9.0, 27.0)]
+    two = {"A": "C", "B": "C"}
+    rows = shorts(spark, *[("NYSE", D, s, 1.0, v, 9.0) for s, v in (("A", 1.0), ("B", 2.0), ("C", 4.0), ("D", 8.0))])
+    assert tuples(venues.combine(rows, two), "symbol", "short_volume") == [("C", 7.0), ("D", 8.0)]
+    assert tuples(venues.combine_any_venue(rows, two), "symbol", "short_volume") == [("C", 7.0), ("D", 8.0)]
+
+
+def test_fine_values_are_not_rounded_away(spark):
+    rows = shorts(spark, *[("NYSE", f"2020-01-{1 + i % 28:02d}", f"S{i}", 0.004, 0.000001, 1e14 + 0.5) for i in range(1000)])
+    for result in (venues.combine(rows), venues.combine_raw(rows), venues.combine_any_venue(rows)):
+        sums = result.agg(F.sum("short_exempt_volume"), F.sum("short_volume"), F.min("total_volume")).first()
+        assert (round(sums[0], 9), round(sums[1], 9), sums[2]) == (4.0, 0.001, 1e14 + 0.5)
+    same = shorts(spark, *[("NYSE", D, "S", 0.004, -0.5, 2.0)] * 1000)
+    assert tuples(venues.combine_raw(same), "short_exempt_volume", "short_volume", "total_volume") == [(4.0, -500.0, 2000.0)]
