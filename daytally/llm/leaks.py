@@ -6,8 +6,8 @@ they occur. The items' fingerprints are indexed by eight blocks of 16 bits: two
 apart differ in at most three bits of some block, so looking up every block with up to two bits flipped, in an index
 that holds every block with up to one bit flipped, meets each item within the radius. What is met and within the
 radius is verified: the shingles of window and item, weighted by how often they occur, must overlap in at least
-``percent`` percent. Windows that cannot be that similar, because too few of their shingles occur in any item at
-all, are not fingerprinted; that test loses nothing.
+``percent`` percent. Windows that cannot be that similar, because too few of their shingles occur in the items of
+their size, are not fingerprinted; that test loses nothing.
 
 Items travel to the tasks in portions of bounded size, one pass over the documents for each portion.
 
@@ -60,6 +60,11 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return runs(words, min(WIDTH, len(words))) if len(words) else words
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted, non-empty ``known``."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def fingerprints(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Blocks of the SimHash of each window: a bit is set if it is in most of the window's words."""
     bits = np.unpackbits(np.stack([mix(words ^ salt) for salt in _SALTS], 1).view(np.uint8), axis=1)
@@ -85,10 +90,10 @@ class Index:
         self.words = [np.frombuffer(w, np.uint64) for _, w in items]
         size = np.array([len(w) for w in self.words])
         self.sizes = [int(n) for n in np.unique(size) if n]
-        self.known = {}
-        for width in {min(WIDTH, n) for n in self.sizes}:
-            self.known[width] = np.unique(np.concatenate(
-                [runs(w, width) for w in self.words if min(WIDTH, len(w)) == width]))
+        # Shingles of the items of each size, and of all sizes with the same width of shingle.
+        self.own = {n: np.unique(np.concatenate([shingles(w) for w in self.words if len(w) == n])) for n in self.sizes}
+        self.known = {width: np.unique(np.concatenate([v for n, v in self.own.items() if min(WIDTH, n) == width]))
+                      for width in {min(WIDTH, n) for n in self.sizes}}
         self.prints = np.stack([fingerprints(w, np.zeros(1, int), np.array([len(w)]))[0] for w in self.words])
         self.tables = []
         for block in range(BLOCKS):
@@ -111,23 +116,21 @@ class Index:
         return window[far <= RADIUS], item[far <= RADIUS]
 
     def windows(self, words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Size, starts and lengths of the windows whose shingles occur often enough in the items."""
+        """Size, starts and lengths of the windows whose shingles occur often enough in the items of that size."""
         known = {}
         for width, values in self.known.items():
             found = runs(words.hash, width)
             mask = np.zeros(1 << 16, bool)
             mask[values >> np.uint64(48)] = True
             hit = np.flatnonzero(mask[found >> np.uint64(48)])
-            at = np.searchsorted(values, found[hit])
-            hit = hit[values[np.minimum(at, len(values) - 1)] == found[hit]]
+            hit = hit[among(found[hit], values)]
             # A run must not leave its document.
             hit = hit[hit + width <= words.first[words.row[hit] + 1]]
-            total = np.zeros(len(words.hash) + 1, np.int32)
-            total[hit + 1] = 1
-            known[width] = hit, np.cumsum(total, dtype=np.int32)
+            known[width] = hit, found[hit]
         for size in self.sizes:
             width = min(WIDTH, size)
-            hit, total = known[width]
+            hit, value = known[width]
+            hit = hit[among(value, self.own[size])]
             if not len(hit):
                 continue
             need = -(-self.percent * (size - width + 1) // 100)
@@ -137,7 +140,8 @@ class Index:
             start = np.maximum(np.minimum(hit[:, None] - np.arange(slack + 1), (high - size)[:, None]), low[:, None])
             start = np.unique(start)
             length = np.minimum(size, words.first[words.row[start] + 1] - start)
-            good = (length >= width) & (total[start + np.maximum(length - width + 1, 0)] - total[start] >= need)
+            many = np.searchsorted(hit, start + np.maximum(length - width + 1, 0)) - np.searchsorted(hit, start)
+            good = (length >= width) & (many >= need)
             if good.any():
                 yield size, start[good], length[good]
 
