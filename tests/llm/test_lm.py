@@ -1,0 +1,145 @@
+import math
+import tempfile
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from cases import clashing, collected, documents, passage, rows, words
+
+from daytally.llm import lm
+
+
+def held(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+
+
+def hashed(token):
+    if token is None:
+        return lm.END
+    return lm.START if token == 0 else lm.tokens_of(pa.array([token]))[0][0]
+
+
+class Plain:
+    """The same figures by counting, one token after the other."""
+
+    def __init__(self, pairs, frequent):
+        self.one, self.two, self.docs = Counter(), Counter(), 0
+        for i, text in pairs:
+            if not held(i):
+                tokens = [*words(text), None]
+                self.one.update(tokens)
+                self.two.update(zip([0, *tokens], tokens))
+                self.docs += 1
+        self.total = sum(self.one.values())
+        self.scale = self.total + 0.5 * (len(self.one) + 1)
+        self.frequent = frequent
+
+    def weight(self, context):
+        count = self.docs if context == 0 else self.one[context]
+        often = context == 0 or int(hashed(context)) in self.frequent
+        return float(lm.weight_of(lm.grade(np.array([count if often else -1])))[0])
+
+    def row(self, i, text):
+        tokens = [*words(text), None]
+        base = sum(math.log10((self.one[t] + 0.5) / self.scale) for t in tokens)
+        score = 0.0
+        for c, t in zip([0, *tokens], tokens):
+            count, weight = self.docs if c == 0 else self.one[c], self.weight(c)
+            score += math.log10((self.two[c, t] + weight * (self.one[t] + 0.5) / self.scale) / (count + weight))
+        return i, held(i), len(tokens), sum(self.one[t] > 0 for t in tokens), self.total, base, score
+
+
+def check(spark, docs, pairs):
+    got = lm.scores(docs)
+    rows_ = docs.selectExpr("doc_id as id", "text")
+    from pyspark.sql import functions as F
+
+    frequent = lm.totals(rows_.select(lm.held_out(F.col("id"), 5).alias("held_out"), lm.text_of().alias("text"))).frequent
+    plain = Plain(pairs, {int(w) for w in frequent})
+    want = sorted((plain.row(i, t) for i, t in pairs), key=lambda r: (repr(r[0]), r[-1]))
+    found = sorted((tuple(r) for r in got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()),
+                   key=lambda r: (repr(r[0]), r[-1]))
+    assert [r[:5] for r in found] == [r[:5] for r in want]
+    for a, b in zip(found, want):
+        assert a[5] == pytest.approx(b[5], rel=1e-9)
+        # Each token's logarithm is rounded to a step.
+        assert abs(a[6] - b[6]) <= a[2] * 0.6 / lm.STEPS + 1e-6
+
+
+def corpus(count):
+    """Documents of frequent and rare words, with copies."""
+    return [(k, " ".join(f"{w}{(k * 7 + n) % 40 if n % 3 else ''}" for n, w in enumerate(passage(k % 25, 5 + k % 60).split()))) for k in range(count)]
+
+
+def test_equals_counting(spark):
+    pairs = corpus(150)
+    check(spark, documents(spark, pairs), pairs)
+
+
+def test_many_small_shards_and_packets_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(lm, "PACK_BYTES", 2000)
+    monkeypatch.setattr(lm, "FREQUENT", 16)
+    pairs = corpus(120)
+    check(spark, documents(spark, pairs).repartition(3), pairs)
+
+
+def test_edge_cases_and_extra_columns(spark):
+    pairs = [r[:2] for r in rows()]
+    check(spark, documents(spark), pairs)
+    check(spark, clashing(spark), pairs)
+
+
+def test_without_documents_or_training_documents(spark):
+    assert lm.scores(documents(spark, [])).count() == 0
+    only = [(i, "a b a") for i in range(200) if held(i)][:3]
+    got = lm.scores(documents(spark, only)).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens) for r in got} == {(4, 0, 0)}
+    assert all(r.base_score == pytest.approx(0.0) and math.isfinite(r.score) for r in got)
+
+
+def test_repeated_rows_share_their_score(spark):
+    pairs = [(1, "x y z"), (1, "x y z"), (1, "other words"), (2, "x y")]
+    got = defaultdict(list)
+    for r in lm.scores(documents(spark, pairs)).collect():
+        got[r.doc_id].append((r.n_tokens, round(r.score, 6)))
+    assert len(got[1]) == 3 and len(set(got[1])) == 2
+
+
+def test_a_held_out_copy_scores_better_than_its_words_alone(spark):
+    text = passage(3, 400)
+    inside, outside = [i for i in range(100) if not held(i)], [i for i in range(100) if held(i)]
+    pairs = [(i, passage(i + 50, 200)) for i in inside[:40]] + [(inside[50], text), (outside[0], text)]
+    row = lm.scores(documents(spark, pairs)).filter(f"doc_id = {outside[0]}").first()
+    assert row.held_out and row.score > row.base_score
+
+
+@pytest.mark.parametrize("low_bytes", [0, 1, 3, 4, 7])
+def test_elias_fano_round_trip_and_search(low_bytes):
+    rng = np.random.default_rng(low_bytes)
+    top = min(8 * low_bytes + 9, 63)
+    values = np.unique(rng.integers(0, 2**top, 2000, dtype=np.uint64))
+    with tempfile.TemporaryFile() as file:
+        coded = lm.EliasFano(values, low_bytes, file)
+        assert np.array_equal(coded.values(), values)
+        shift = np.uint64(8 * low_bytes)
+        asked = np.concatenate([values, rng.integers(0, 2**(top + 1), 2000, dtype=np.uint64)])
+        place = coded.find(asked >> shift, asked & ((np.uint64(1) << shift) - np.uint64(1)), coded.ranges())
+        known = {int(v): k for k, v in enumerate(values)}
+        assert [known.get(int(v), -1) for v in asked] == place.tolist()
+        empty = lm.EliasFano(values[:0], low_bytes, file)
+        assert empty.find(asked[:5] >> shift, asked[:5], empty.ranges()).tolist() == [-1] * 5
+
+
+def test_the_stored_trie_is_compact():
+    rng = np.random.default_rng(1)
+    word = np.unique(rng.integers(1, 2**63, 5000, dtype=np.uint64))
+    times = np.full(len(word), 20)
+    context = rng.integers(0, 2**32, times.sum(), dtype=np.uint32)
+    known = lm.Totals(100_000, 5000, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    with tempfile.TemporaryFile() as file:
+        lm.Trie(word, times, context, np.zeros(len(context), np.uint8), known, file)
+        # A pair takes four bytes of context, two of probability and a few bits; a word some eight bytes more.
+        assert file.seek(0, 2) < 6.5 * len(context) + 12 * len(word)
