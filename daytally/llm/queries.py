@@ -10,10 +10,10 @@ from daytally.session import shared_folder
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the shards, and returns where each sequence is, read from them."""
+    """Writes the shards, and returns where each sequence is in them."""
     numbered = training_order.sequences(read_table(spark, sf_dir, "documents"))
     layout = training_order.write(numbered, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
-    return training_order.read(spark, layout).drop("tokens")
+    return training_order.index(numbered, layout)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

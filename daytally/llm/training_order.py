@@ -109,14 +109,18 @@ def sequences(docs: DataFrame, path: str | None = None, tokens: int = TOKENS, id
     return stored(cut.withColumn("number", F.monotonically_increasing_id()))
 
 
+def _slots(batch: pa.RecordBatch, sent, layout: Layout, key: int) -> np.ndarray:
+    """Slots of stored sequences: their number in the order of tasks and places, permuted."""
+    task, base = sent.value
+    number = batch.column("number").to_numpy()
+    return permuted(base[np.searchsorted(task, number >> 33)] + (number & ((1 << 33) - 1)), layout.sequences, key)
+
+
 def _records(sent, layout: Layout, key: int, low: int, high: int):
     """Records of the slots from ``low`` up to ``high``, from stored sequences."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, base = sent.value
         for batch in batches:
-            number = batch.column("number").to_numpy()
-            number = base[np.searchsorted(task, number >> 33)] + (number & ((1 << 33) - 1))
-            slot = permuted(number, layout.sequences, key)
+            slot = _slots(batch, sent, layout, key)
             mine = np.flatnonzero((slot >= low) & (slot < high))
             if not len(mine):
                 continue
@@ -160,15 +164,19 @@ def wave_of(layout: Layout, waves: int, wave: int) -> range:
     return range(layout.shards * wave // waves, layout.shards * (wave + 1) // waves)
 
 
+def _numbering(numbered: DataFrame, folder: str, tokens: int, slots: int) -> tuple:
+    """The layout, and where each storing task's numbers begin: one row for each of these tasks."""
+    tasks = numbered.groupBy(F.shiftright("number", 33).alias("task")).agg(F.count("*").alias("n")).orderBy("task").collect()
+    task, count = np.array([r.task for r in tasks], np.int64), np.array([r.n for r in tasks], np.int64)
+    sent = numbered.sparkSession.sparkContext.broadcast((task, np.cumsum(count) - count))
+    return Layout(folder, int(count.sum()), tokens, slots), sent
+
+
 def write(numbered: DataFrame, folder: str, key: int = KEY, tokens: int = TOKENS, slots: int = SHARD_SLOTS,
           waves: int = WAVES) -> Layout:
     """Write the shards of stored sequences to ``folder``; waves that are there in full are left as they are."""
     spark = numbered.sparkSession
-    # One row for each task that stored sequences.
-    tasks = numbered.groupBy(F.shiftright("number", 33).alias("task")).agg(F.count("*").alias("n")).orderBy("task").collect()
-    task, count = np.array([r.task for r in tasks], np.int64), np.array([r.n for r in tasks], np.int64)
-    layout = Layout(folder, int(count.sum()), tokens, slots)
-    sent = spark.sparkContext.broadcast((task, np.cumsum(count) - count))
+    layout, sent = _numbering(numbered, folder, tokens, slots)
     for k in range(waves):
         wave, there = wave_of(layout, waves, k), _present(spark, layout)
         if there.issuperset(wave):
@@ -183,37 +191,45 @@ def write(numbered: DataFrame, folder: str, key: int = KEY, tokens: int = TOKENS
         value = F.expr(f"cast(substring(record, 1, {layout.stride - 1}) as string)").alias("value")
         (placed.sortWithinPartitions("shard", "slot").select("shard", value)
          .write.mode("append").partitionBy("shard").text(folder))
+    missing = set(range(layout.shards)) - _present(spark, layout)
+    if missing:
+        raise RuntimeError(f"shards of another size than their slots: {sorted(missing)[:10]}")
     return layout
 
 
+def index(numbered: DataFrame, layout: Layout, key: int = KEY) -> DataFrame:
+    """``slot, shard, byte, doc_id, seq_no, n_tokens``: where each stored sequence is written."""
+    _, sent = _numbering(numbered, layout.folder, layout.tokens, layout.slots)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slots(batch, sent, layout, key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot), pa.array(slot // layout.slots), pa.array(slot % layout.slots * layout.stride),
+                 *(batch.column(n) for n in ("doc_id", "seq_no", "n_tokens"))],
+                ["slot", "shard", "byte", "doc_id", "seq_no", "n_tokens"])
+
+    size = (F.octet_length("tokens") / 2).cast("int").alias("n_tokens")
+    return numbered.select("number", "doc_id", "seq_no", size).mapInArrow(
+        work, "slot long, shard long, byte long, doc_id long, seq_no int, n_tokens int")
+
+
 def read(spark: SparkSession, layout: Layout, first: int = 0, stop: int | None = None) -> DataFrame:
-    """``slot, shard, byte, doc_id, seq_no, n_tokens, tokens`` of the slots from ``first`` up to ``stop``, from the files."""
-    schema = "slot long, shard long, byte long, doc_id long, seq_no int, n_tokens int, tokens binary"
+    """``slot, doc_id, seq_no, n_tokens, tokens`` of the slots from ``first`` up to ``stop``, from the files.
+
+    Spark's reader of records of equal length splits the files between records.
+    """
+    schema = "slot long, doc_id long, seq_no int, n_tokens int, tokens binary"
     stop = layout.sequences if stop is None else stop
-    shards = range(first // layout.slots, -(-stop // layout.slots))
-    if not layout.sequences or first >= stop:
+    if first >= min(stop, layout.sequences):
         return spark.createDataFrame([], schema)
-    names = ",".join(str(k) for k in shards)
-    every = len(shards) == layout.shards
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(
-        f"{layout.folder}/shard=*" if every else f"{layout.folder}/shard={{{names}}}")
-    stride, head = layout.stride, _HEADER.itemsize
-    number = F.regexp_extract("path", r"shard=(\d+)", 1).cast("long")
-
-    def record(i):
-        at = (i * stride).cast("int")
-
-        def whole(begin: int, length: int, kind: str):
-            return F.conv(F.hex(F.substring(F.col("content"), at + begin + 1, F.lit(length))), 16, -10).cast(kind)
-
-        n = whole(20, 4, "int")
-        return F.struct(
-            whole(0, 8, "long").alias("slot"), i.alias("place"), whole(8, 8, "long").alias("doc_id"),
-            whole(16, 4, "int").alias("seq_no"), n.alias("n_tokens"),
-            F.substring(F.col("content"), at + head + 1, n * 2).alias("tokens"))
-
-    last = (F.col("length") / stride).cast("long") - 1
-    rows = files.select(number.alias("shard"), F.transform(F.sequence(F.lit(0), last), record).alias("r"))
-    return rows.select("shard", F.inline("r")).filter(F.col("slot").between(first, stop - 1)).select(
-        "slot", "shard", (F.col("place") * stride).alias("byte"),
-        F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "seq_no", "n_tokens", "tokens")
+    shards = range(first // layout.slots, -(-stop // layout.slots))
+    path = f"{layout.folder}/shard=*" if len(shards) == layout.shards else f"{layout.folder}/shard={{{','.join(map(str, shards))}}}"
+    size = _HEADER.itemsize
+
+    def parsed(record: bytes) -> tuple:
+        slot, doc, seq, n = np.frombuffer(record, _HEADER, 1)[0].item()
+        return slot, None if doc == _NO_ID else doc, seq, n, bytes(record[size:size + 2 * n])
+
+    records = spark.sparkContext.binaryRecords(f"{path}/part-*", layout.stride)
+    return spark.createDataFrame(records.map(parsed), schema).filter(F.col("slot").between(first, stop - 1))
