@@ -36,6 +36,7 @@ LEAF = 1 << 12
 # Halves from this many bytes on are encoded at the same time.
 PARALLEL = 1 << 20
 _CUT = re.compile(r"(?<=\S)(?=\s)")
+_LETTERS = re.compile("[A-Za-z]*")
 
 
 def byte_letters() -> dict[str, int]:
@@ -70,11 +71,9 @@ class Bpe:
             rf"(?:(?<![\s'A-Za-z{other}])|(?<= )|^) ?([A-Za-z]{{{leaf + 1},}})(?![A-Za-z{other}])")
 
     def encode(self, text: str) -> np.ndarray:
-        if len(text) <= self.part and len(text) <= self.leaf:
+        if len(text) <= self.part and not self._long_run(text) or any(token in text for token in self.special):
             return self._plain(text)
         stops, at = [], 0
-        if any(token in text for token in self.special):
-            return self._plain(text)
         while len(text) - at > self.part and (cut := _CUT.search(text, at + self.part)):
             stops.append(at := cut.start())
         parts = [text[a:b] for a, b in zip([0, *stops], [*stops, len(text)])]
@@ -86,9 +85,17 @@ class Bpe:
     def _plain(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encoding._core_bpe.encode_to_tiktoken_buffer(text, self.special), np.uint32)
 
+    def _long_run(self, text: str) -> bool:
+        """Whether more than a leaf of ASCII letters follow each other: such a run covers a multiple of the leaf."""
+        for k in range(self.leaf, len(text), self.leaf):
+            ahead = _LETTERS.match(text, k).end() - k
+            if ahead and ahead + _LETTERS.match(text[k - self.leaf:k][::-1]).end() > self.leaf:
+                return True
+        return False
+
     def _part(self, text: str) -> np.ndarray:
         out, at = [], 0
-        if len(text) > self.leaf:
+        if self._long_run(text):
             for run in self._run.finditer(text):
                 start = run.start(1) - (run.start(1) > at and text[run.start(1) - 1] == " ")
                 out += [self._plain(text[at:start]), np.array(self.tree(text[start:run.end(1)].encode()), np.uint32)]
