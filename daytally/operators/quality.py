@@ -57,9 +57,7 @@ def quality_vs_source(stored: DataFrame, documents: DataFrame) -> DataFrame:
     keys = ["exchange", "Symbol"]
     latest = latest_rows(stored.select(*keys, "Date", "TotalVolume", "ShortVolume", "ShortExemptVolume"), keys)
     latest = latest.select(*keys, F.col("Date").alias("stored_date"), F.col("ShortVolume").alias("stored_volume"))
-    answered = documents.join(document_status(documents).where("status = 'data'").select(*keys).distinct(), keys, "left_semi")
-    dated = answered.join(latest.select(*keys, "stored_date"), keys, "left")
-    pairs = offered_at(dated, "stored_date").join(latest, keys, "left")
+    pairs = offered_at(documents.join(latest, keys, "left"), "stored_date", "stored_volume")
     freshness = F.struct(
         F.lit("freshness").alias("check"), (F.col("stored_date") == F.col("newest_date")).alias("passed"),
         iso_text(F.col("newest_date")).alias("expected"), iso_text(F.col("stored_date")).alias("actual"),

@@ -1,5 +1,6 @@
 """Rows of several venues: union, one row per key, totals per day and symbol."""
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,10 +57,10 @@ def _variant(symbol: Column, fixes: dict[str, str]) -> Column:
     return rank
 
 
-def kept_rows(venues: tuple[str, ...] = VENUES, fixes: dict[str, str] = SYMBOL_FIXES) -> list[str]:
+def kept_rows(venues: tuple[str, ...] = VENUES, fixes: dict[str, str] = SYMBOL_FIXES) -> dict[str, tuple[str, int]]:
     """Columns of :func:`one_row_per_venue`: one per venue and stored symbol that a corrected symbol can have."""
     most = max((list(fixes.values()).count(right) for right in fixes.values()), default=0)
-    return [f"{v}_{k}" for v in venues for k in range(most + 1)]
+    return {f"{v}_{k}": (v, k) for v in venues for k in range(most + 1)}
 
 
 def one_row_per_venue(
@@ -77,14 +78,17 @@ def one_row_per_venue(
         F.raise_error(F.concat(F.lit("unlisted venue: "), F.coalesce("exchange", F.lit("null"))))
     )
     rows = df.select(
-        F.concat_ws("_", checked, _variant(F.col("Symbol"), fixes)).alias("kept"), "Date",
+        checked.alias("exchange"), _variant(F.col("Symbol"), fixes).alias("variant"), "Date",
         remap_symbol(F.col("Symbol"), fixes).alias("Symbol"), *KEEP_ORDER,
     )
-    best = [F.max(F.when(F.col("kept") == name, F.struct(*KEEP_ORDER))).alias(name) for name in kept_rows(venues, fixes)]
+    best = [
+        F.max(F.when((F.col("exchange") == v) & (F.col("variant") == k), F.struct(*KEEP_ORDER))).alias(name)
+        for name, (v, k) in kept_rows(venues, fixes).items()
+    ]
     return rows.groupBy("Date", "Symbol").agg(*best)
 
 
-def sum_over(kept: list[str], column: str) -> Column:
+def sum_over(kept: Iterable[str], column: str) -> Column:
     """Sum over the kept rows that have a value; null if none does."""
     return exact_total(*[F.col(f"{name}.{column}") for name in kept])
 

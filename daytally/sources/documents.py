@@ -87,17 +87,18 @@ def newest_offered(documents: DataFrame) -> DataFrame:
     return offered.select("exchange", "Symbol", "newest_date", F.col("best.ShortVolume").alias("source_volume"))
 
 
-def offered_at(documents: DataFrame, date: str) -> DataFrame:
+def offered_at(documents: DataFrame, date: str, *keep: str) -> DataFrame:
     """Newest date the source states, and its short volume on the day in a column ``date`` of the documents.
 
-    One row per venue and symbol. ``has_row`` says whether the source sent a good row for that day.
+    One row per venue and symbol the source sent rows for, with ``date`` and the columns in ``keep``, which hold one
+    value per symbol. ``has_row`` says whether the source sent a good row for that day.
     """
     row = F.struct("TotalVolume", "ShortVolume", "ShortExemptVolume")
     same = F.col("row").isNotNull() & F.col("reason").isNull() & (F.col("Date") == F.col(date))
-    offered = _source_rows(documents, True, date).groupBy("exchange", "Symbol").agg(
-        F.max("newest").alias("newest_date"), F.max(F.when(same, row)).alias("best"))
-    return offered.select(
-        "exchange", "Symbol", "newest_date", F.col("best").isNotNull().alias("has_row"),
+    offered = _source_rows(documents, True, date, *keep).groupBy("exchange", "Symbol", date, *keep).agg(
+        F.max("newest").alias("newest_date"), F.count("row").alias("n_rows"), F.max(F.when(same, row)).alias("best"))
+    return offered.where("n_rows > 0").select(
+        "exchange", "Symbol", date, *keep, "newest_date", F.col("best").isNotNull().alias("has_row"),
         F.col("best.ShortVolume").alias("source_volume"))
 
 
