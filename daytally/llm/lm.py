@@ -5,8 +5,9 @@ Each text is its lower-cased words and one end. The probability of a token t aft
 context and grows with n(c) for a frequent one. These sum to one over the vocabulary and one unknown word.
 
 The model grows with the corpus, so it is never sent around. Every token of every document goes once to the shard of its
-word, with its context; there the counts of the training documents become a trie, and the tokens of all documents
-are looked up in it. The numerator needs n(c, t) and n(t), the denominator of a token's successor needs n(t) alone,
+word, with its context, packed together with the other tokens of some megabytes of text that go there; there
+the counts of the training documents become a trie, and the tokens of all documents are looked up in it. What comes
+back is one number per document and shard. The numerator needs n(c, t) and n(t), the denominator of a token's successor needs n(t) alone,
 so each token's part of the score is known in its own shard and a document's score is a sum. A frequent word would
 make its shard too large: its tokens are spread over all shards by their context, and its count is sent around; the
 frequent words are bounded in number, because each holds a stated share of all tokens.
@@ -17,7 +18,7 @@ a monotone sequence of their sums; numerators are quantised logarithms. A query
 first level, and its context as a successor within the range that the pointers give.
 
 Rows and edge cases: one row comes out per row that goes in. Null text counts as empty; an empty text is one end. Rows
-with equal ids and equal words share their score, and each is returned. A null id counts as empty text for the fold,
+are scored each by itself, so ids may repeat. A null id counts as empty text for the fold,
 and stays null. Without training documents every count is 0 and P(t) is the same for all. Words are told apart by 64-bit
 hashes, contexts of one word by 32 bits. Other columns are not read.
 """
@@ -28,10 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.shared import chunks, group_starts, held_out, stored, task_count, text_of, whole_groups
+from daytally.llm.shared import chunks, group_starts, held_out, task_count, text_of, whole_groups
 from daytally.llm.words import Words, mix
 
 FOLDS = 5
@@ -39,8 +41,9 @@ FOLDS = 5
 FREQUENT = 1 << 16
 # Weight of P(t): of a rare context, and for each occurrence of a frequent one.
 RARE_WEIGHT, FREQUENT_WEIGHT = 50.0, 0.3
-# Tokens of a shard, and bytes of text whose tokens are packed together.
-SHARD_TOKENS = 4_000_000
+# Tokens of a shard, tokens looked up at once, and bytes of text whose tokens are packed together.
+SHARD_TOKENS = 3_000_000
+SLICE = 1 << 19
 PACK_BYTES = 8 << 20
 # Steps of a quantised logarithm in one decade, and the least one kept.
 STEPS, FLOOR = 2048, -14.0
@@ -84,9 +87,11 @@ class EliasFano:
         high = np.repeat(np.arange(self.top, dtype=np.uint64), np.diff(self.ranges()))
         return high << np.uint64(8 * self.low_bytes) | self.low(np.arange(self.count))
 
-    def find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """Place of each number, -1 if it isn't there: the successor of ``low`` in the range of ``high``."""
-        first = self.ranges()
+    def find(self, high: np.ndarray, low: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Place of each number, -1 if it isn't there: the successor of ``low`` in the range of ``high``.
+
+        ``first`` is what :meth:`ranges` returns.
+        """
         inside = high < self.top
         part = np.where(inside, high, 0).astype(np.int64)
         a, end = (np.where(inside, first[part + k], 0) for k in (0, 1)) if self.top else (np.zeros(len(high), np.int64),) * 2
@@ -178,7 +183,13 @@ def _counted(parts: int):
 
 
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in column), dtype)
+    """All bytes of a binary column, read as numbers."""
+    parts = [np.zeros(0, dtype)]
+    for chunk in column.chunks:
+        ends = np.frombuffer(chunk.buffers()[1], np.int32, len(chunk) + 1, 4 * chunk.offset)
+        if ends[-1] > ends[0]:
+            parts.append(np.frombuffer(chunk.buffers()[2], dtype, (ends[-1] - ends[0]) // np.dtype(dtype).itemsize, ends[0]))
+    return np.concatenate(parts)
 
 
 def _summed(parts: int):
@@ -190,8 +201,8 @@ def _summed(parts: int):
                 group = table.slice(a, b - a)
                 word, place = np.unique(_joined(group.column("word"), np.uint64), return_inverse=True)
                 count = np.bincount(place, _joined(group.column("n"), np.uint32)).astype(np.int64)
-                # At most FREQUENT / parts words hold so large a share of the part.
-                often = count * FREQUENT >= count.sum() * parts
+                # At most FREQUENT / parts words hold so large a share of the part. The end counts documents.
+                often = (count * FREQUENT >= count.sum() * parts) | (word == END)
                 word, total = word[often].view(np.int64), len(word)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([None, *word.tolist()], pa.int64()), pa.array([int(count.sum()), *count[often].tolist()]),
@@ -213,40 +224,50 @@ def totals(rows: DataFrame) -> Totals:
         np.array([w for w, _ in words], np.uint64), np.array([n for _, n in words], np.int64))
 
 
-_PACKET = ("ids", "marks", "held", "words", "times", "contexts", "grades", "docs")
-_TYPES = (np.int64, np.int64, np.bool_, np.uint64, np.uint32, np.uint32, np.uint8, np.uint32)
+# What a packet holds: words with how often each occurs; for each token its context, the context's grade, whether it is
+# taught, and its document; and for the documents that end here their id, fold and number of tokens.
+_PACKET = {
+    "words": np.uint64, "times": np.uint32, "contexts": np.uint32, "grades": np.uint8, "taught": np.uint8, "docs": np.uint32,
+    "ended": np.uint32, "ids": np.int64, "held": np.bool_, "tokens": np.uint32,
+}
+# What a shard answers: for each document of the packet its parts of the sums; the rest as it came.
+_ANSWER = {"docs": np.uint32, "score": np.float32, "base": np.float64, "known": np.uint32}
+_ENDED = ("ended", "ids", "held", "tokens")
 
 
 def _packed(sent, shards: int):
-    """All tokens, packed by shard: documents, words with how often they occur, and for each token context and document."""
+    """All tokens, packed by shard."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        for batch in chunks(batches, limit=PACK_BYTES):
+        known, task = sent.value, TaskContext.get().partitionId()
+        for number, batch in enumerate(chunks(batches, limit=PACK_BYTES)):
             token, row, first = tokens_of(batch.column("text"))
-            place = np.arange(len(token)) - first[row]
-            # Rows with equal ids and equal tokens are one document for the sums.
-            mark = np.add.reduceat(mix(token + (place.astype(np.uint64) << np.uint64(20))), first).view(np.int64)
             often = known.count_of(token)
             before = np.concatenate([[START], token[:-1]])
             before[first] = START
             grades = np.concatenate([[0], grade(often)[:-1]]).astype(np.uint8)
             grades[first] = grade(np.array([known.docs]))[0]
             shard = mix(np.where(often > 0, token ^ mix(before), token)) % np.uint64(shards)
-            order = np.lexsort((token, shard))
-            cut = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
             ids = batch.column("id").fill_null(_NO_ID).to_numpy()
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
+            size = np.diff(np.append(first, len(token)))
+            # A pack is known by its task, its number and its content.
+            mark = int(np.bitwise_xor.reduce(mix(token + mix(ids[row].view(np.uint64) + row.astype(np.uint64))))) >> 1
+            order = np.lexsort((token, shard))
+            cut = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
             out = {name: [] for name in ("shard", *_PACKET)}
             for s in np.flatnonzero(np.diff(cut)).tolist():
                 own = order[cut[s]:cut[s + 1]]
                 word, times = np.unique(token[own], return_counts=True)
-                doc, at = np.unique(row[own], return_inverse=True)
-                values = (ids[doc], mark[doc], held[doc], word, times, before[own] >> np.uint64(32), grades[own], at)
+                ended = row[own[token[own] == END]]
+                values = (word, times, before[own] >> np.uint64(32), grades[own], np.packbits(~held[row[own]]), row[own],
+                          ended, ids[ended], held[ended], size[ended])
                 out["shard"].append(s)
-                for name, kind, value in zip(_PACKET, _TYPES, values):
+                for (name, kind), value in zip(_PACKET.items(), values):
                     out[name].append(value.astype(kind).tobytes())
+            count = len(out["shard"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["shard"], pa.int32()), *(pa.array(out[n], pa.binary()) for n in _PACKET)], ["shard", *_PACKET])
+                [pa.array(np.full(count, task << 32 | number)), pa.array(np.full(count, mark)), pa.array(out["shard"], pa.int32()),
+                 *(pa.array(out[n], pa.binary()) for n in _PACKET)], ["pack", "mark", "shard", *_PACKET])
 
     return work
 
@@ -257,71 +278,82 @@ class Trie:
     def __init__(self, word: np.ndarray, times: np.ndarray, context: np.ndarray, grades: np.ndarray, known: Totals, file):
         # ``word`` and ``times``: words of the shard and their tokens, which follow in the same order.
         unique, rank = np.unique(word, return_inverse=True)
-        rank = np.repeat(rank, times)
-        key = rank.astype(np.uint64) << np.uint64(32) | context
-        order = np.argsort(key)
-        key = key[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        begin = np.flatnonzero(new)
+        own = np.bincount(rank, times, len(unique)).astype(np.int64)
+        key = np.repeat(rank.astype(np.uint64) << np.uint64(32), times)
+        key |= context
+        order = np.argsort(key).astype(np.int32)
+        key, graded = key[order], grades[order]
+        del order
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
         pairs = np.diff(np.append(begin, len(key)))
-        own = np.bincount(rank, minlength=len(unique))
+        key, graded = key[begin], graded[begin]
         sent = known.count_of(unique)
         count = np.where(sent > 0, sent, own)
         chance = (count + 0.5) / known.scale
-        at = (key[begin] >> np.uint64(32)).astype(np.int64)
-        value = np.log10(pairs + weight_of(grades[order][begin]) * chance[at])
+        at = (key >> np.uint64(32)).astype(np.int64)
+        value = np.log10(pairs + weight_of(graded) * chance[at])
         self.low = low_bytes_for(len(unique), 64)
         self.words = EliasFano(unique, self.low, file)
-        self.contexts = EliasFano(key[begin], 4, file)
+        self.contexts = EliasFano(key, 4, file)
         self.sums = EliasFano(np.cumsum(count).astype(np.uint64), low_bytes_for(len(unique), int(count.sum()).bit_length()), file)
         quantised = np.rint((np.maximum(value, FLOOR) - FLOOR) * STEPS).astype(np.uint16)
         self.numerator = EliasFano._mapped(file, quantised)
 
     def word_place(self, word: np.ndarray) -> np.ndarray:
         shift = np.uint64(8 * self.low)
-        return self.words.find(word >> shift, word & ((np.uint64(1) << shift) - np.uint64(1)))
+        return self.words.find(word >> shift, word & ((np.uint64(1) << shift) - np.uint64(1)), self.words.ranges())
 
     def counts(self) -> np.ndarray:
         return np.diff(np.concatenate([[0], self.sums.values().astype(np.int64)]))
 
     def numerators(self, place: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Quantised logarithm for a word's place and a context; NaN if they don't occur together."""
-        found = np.full(len(place), -1)
-        known = np.flatnonzero(place >= 0)
-        found[known] = self.contexts.find(place[known].astype(np.uint64), context[known].astype(np.uint64))
-        out = np.full(len(place), np.nan)
-        there = found >= 0
-        out[there] = self.numerator[found[there]] / STEPS + FLOOR
+        out, first = np.full(len(place), np.nan), self.contexts.ranges()
+        for a in range(0, len(place), SLICE):
+            known = a + np.flatnonzero(place[a:a + SLICE] >= 0)
+            found = self.contexts.find(place[known].astype(np.uint64), context[known].astype(np.uint64), first)
+            there = found >= 0
+            out[known[there]] = self.numerator[found[there]] / STEPS + FLOOR
         return out
 
 
+def _lengths(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.array([len(x.as_py()) for x in column]) // np.dtype(dtype).itemsize
+
+
 def _score_shard(group: pa.Table, known: Totals) -> pa.RecordBatch:
-    ids, marks, held, word, times, context, grades, doc = (_joined(group.column(n), t) for n, t in zip(_PACKET, _TYPES))
-    per_packet = {n: np.array([len(x.as_py()) for x in group.column(n)]) // np.dtype(t).itemsize for n, t in zip(_PACKET, _TYPES)}
-    doc = doc + np.repeat(np.cumsum(per_packet["ids"]) - per_packet["ids"], per_packet["docs"])
-    taught = ~held[doc]
-    of = np.repeat(np.arange(len(word)), times)
+    word, times, context, grades, doc = (
+        _joined(group.column(n), _PACKET[n]) for n in ("words", "times", "contexts", "grades", "docs"))
+    size = _lengths(group.column("docs"), np.uint32)
+    taught = np.concatenate([
+        np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n) for x, n in zip(group.column("taught"), size)]).astype(bool)
+    of = np.repeat(np.arange(len(word), dtype=np.int32), times)
     lessons = np.bincount(of[taught], minlength=len(word))
     with tempfile.TemporaryFile() as file:
         used = lessons > 0
         trie = Trie(word[used], lessons[used], context[taught], grades[taught], known, file)
         unique, back = np.unique(word, return_inverse=True)
-        place = trie.word_place(unique)
+        place, back = trie.word_place(unique).astype(np.int32), back.astype(np.int32)
         sent, own = known.count_of(unique), trie.counts()
         count = np.where(sent > 0, sent, np.where(place >= 0, own[place] if len(own) else 0, 0))
         of = back[of]
         numerator = trie.numerators(place[of], context)
-    unseen = np.log10(weight_of(grades)) + np.log10((count[of] + 0.5) / known.scale)
+    # What a word adds wherever it stands, and what an unseen pair adds by the grade of its context.
+    half = np.log10(count + 0.5)
     after = np.log10(count + weight_of(grade(sent)))
     after[unique == END] = 0
-    score = np.where(np.isnan(numerator), unseen, numerator) - after[of]
-    size = len(ids)
-    sums = [np.bincount(doc, v, size) for v in (score, np.log10(count[of] + 0.5))]
-    counts = [np.bincount(doc, v, size).astype(np.int64) for v in (np.ones(len(doc)), count[of] > 0, unique[of] == END)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(marks), pa.array(held), *map(pa.array, sums), *map(pa.array, counts)],
-        ["id", "mark", "held_out", "score", "base", "tokens", "known", "copies"])
+    weight = np.log10(weight_of(np.arange(256)))
+    numerator = np.where(np.isnan(numerator), weight[grades] + half[of] - np.log10(known.scale), numerator)
+    numerator -= after[of]
+    out = {name: [] for name in _ANSWER}
+    for z, n in zip(np.cumsum(size), size):
+        part = slice(z - n, z)
+        docs, at = np.unique(doc[part], return_inverse=True)
+        values = (docs, np.bincount(at, numerator[part]), np.bincount(at, half[of[part]]), np.bincount(at, count[of[part]] > 0))
+        for (name, kind), value in zip(_ANSWER.items(), values):
+            out[name].append(value.astype(kind).tobytes())
+    columns = {n: group.column(n) for n in ("pack", "mark", *_ENDED)} | {n: pa.array(v, pa.binary()) for n, v in out.items()}
+    return pa.table(columns).combine_chunks().to_batches()[0]
 
 
 def _scored(sent):
@@ -334,6 +366,23 @@ def _scored(sent):
     return work
 
 
+def _summed_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each pack, with the sums over all shards."""
+    for table in whole_groups(batches, ["pack", "mark"]):
+        starts = group_starts(table, ["pack", "mark"])
+        for a, b in zip(starts, np.append(starts[1:], table.num_rows)):
+            group = table.slice(a, b - a)
+            docs, score, base, known = (_joined(group.column(n), t) for n, t in _ANSWER.items())
+            ended, ids, held, tokens = (_joined(group.column(n), _PACKET[n]) for n in _ENDED)
+            # Every document has one end, so each is named once.
+            order = np.argsort(ended)
+            sums = [np.bincount(docs, v, len(ended)) for v in (known, base, score)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[order]), pa.array(held[order]), pa.array(tokens[order].astype(np.int64)),
+                 pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+                ["id", "held_out", "tokens", "known", "base", "score"])
+
+
 def scores(docs: DataFrame, folds: int = FOLDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``.
 
@@ -346,18 +395,18 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_column: str = "doc_id", text_
     known = totals(rows)
     sent = spark.sparkContext.broadcast(known)
     shards = max(1, -(-known.tokens // SHARD_TOKENS))
-    packed = rows.mapInArrow(_packed(sent, shards), "shard int, " + ", ".join(f"{n} binary" for n in _PACKET))
+    binary = ", ".join(f"{n} binary" for n in _PACKET)
+    packed = rows.mapInArrow(_packed(sent, shards), f"pack long, mark long, shard int, {binary}")
     parts = min(shards, task_count(spark))
     placed = packed.repartitionById(parts, F.col("shard") % parts).sortWithinPartitions("shard")
-    parted = placed.mapInArrow(_scored(sent), "id long, mark long, held_out boolean, score double, base double, "
-                               "tokens long, known long, copies long")
-    summed = parted.groupBy("id", "mark").agg(F.first("held_out").alias("held_out"), *[
-        F.sum(c).alias(c) for c in ("score", "base", "tokens", "known", "copies")])
+    binary = ", ".join(f"{n} binary" for n in (*_ENDED, *_ANSWER))
+    answered = placed.mapInArrow(_scored(sent), f"pack long, mark long, {binary}")
+    gathered = answered.repartition(task_count(spark), "pack", "mark").sortWithinPartitions("pack", "mark")
+    each = gathered.mapInArrow(
+        _summed_up, "id long, held_out boolean, tokens long, known long, base double, score double")
     start = float(np.log10(known.docs + weight_of(grade(np.array([known.docs])))[0]))
-    each = stored(summed).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    tokens = F.expr("tokens div copies")
     return each.select(
         F.when(F.col("id") != int(_NO_ID), F.col("id")).alias("doc_id"), "held_out",
-        tokens.alias("n_tokens"), F.expr("known div copies").alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("copies") - tokens * float(np.log10(known.scale))).alias("base_score"),
-        (F.col("score") / F.col("copies") - start).alias("score"))
+        F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("tokens") * float(np.log10(known.scale))).alias("base_score"),
+        (F.col("score") - start).alias("score"))

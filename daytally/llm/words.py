@@ -20,7 +20,7 @@ _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) *
 _SPAN = 1 << 16
 _POWERS = np.cumprod(np.full(_SPAN, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 # Bytes hashed at once.
-_PIECE = 4 << 20
+_PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
