@@ -35,7 +35,8 @@ PART = 1 << 16
 LEAF = 1 << 12
 # Halves from this many bytes on are encoded at the same time.
 PARALLEL = 1 << 20
-_CUT = re.compile(r"(?<=\S)(?=\s)")
+# White space for every reading of Unicode, after what is none for any.
+_CUT = re.compile(r"(?<=\S)(?=[ \t\r\n])")
 _LETTERS = re.compile("[A-Za-z]*")
 
 

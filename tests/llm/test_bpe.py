@@ -65,7 +65,7 @@ def test_joined_trees_equal_the_whole(small, library):
 
 def test_long_texts_are_cut_where_it_is_safe(small, library):
     draw = random.Random(6)
-    pieces = ["word", " ", "  ", "\n", "\t", "'s", "'", "thisisalongrunofletters", "é", "ß", "123", "!!", "漢", "A" * 30, "  ", "🙂", "'lleee" + "x" * 12]
+    pieces = ["word", " ", "  ", "\n", "\t", "'s", "'", "thisisalongrunofletters", "é", "ß", "123", "!!", "漢", "\x1c", "\x85", "!\x1d", "\u3000", "A" * 30, "  ", "🙂", "'lleee" + "x" * 12]
     for _ in range(400):
         text = "".join(draw.choice(pieces) for _ in range(draw.randint(1, 60)))
         assert small.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
