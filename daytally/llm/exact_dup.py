@@ -19,8 +19,6 @@ from daytally.llm.shared import small, stored, text_of
 
 FIRST_BYTES = 128
 GROWTH = 8
-# Broadcast of first bytes stays below about 50 MB.
-GROUP_ROWS = 200_000
 _LEVEL = ["part", "digit", "ended"]
 
 
@@ -50,7 +48,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         if open_groups.isEmpty():
             break
         state = stored(
-            dealt.select(*_LEVEL, "id", sha, "body").join(small(open_groups, GROUP_ROWS), _LEVEL)
+            dealt.select(*_LEVEL, "id", sha, "body").join(small(open_groups), _LEVEL)
             .select(F.col("number").alias("part"), "id",
                     F.substring("body", width + 1, 2**31 - 1).alias("body"), "sha"))
         width *= GROWTH

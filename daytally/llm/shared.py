@@ -9,12 +9,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.operators.sizes import broadcast_if_small
 from daytally.session import shared_folder
 
 # Bytes of text that a task works on at once, unless one text alone is longer.
 CHUNK_BYTES = 2 << 20
-# A side of a join is broadcast up to this many rows of a few numbers each (about 30 MB).
-BROADCAST_ROWS = 500_000
+# A side of a join is broadcast up to this size.
+BROADCAST_BYTES = 16 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,9 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast if a count shows that it has at most ``rows`` rows; else the join stays with Spark."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it measures at most ``BROADCAST_BYTES``; else the join stays with Spark."""
+    return broadcast_if_small(df, BROADCAST_BYTES)
 
 
 def text_of(column: str = "text") -> Column:
@@ -86,7 +87,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: every neighbour larger than the node goes to the smallest neighbour.
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Stored, so that both sides of the join are shuffled for it and Spark can split a hub's neighbours.
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the node and its smaller neighbours go to the smallest of them.
         large = large.filter("a <> b").distinct()
