@@ -1,8 +1,8 @@
 """Language-model scores of texts by a bigram model in Elias-Fano tries.
 
 Each text is its lower-cased words and one end. The probability of a token t after c is
-(n(c, t) + m(c) P(t)) / (n(c) + m(c)), where P(t) = (n(t) + 0.5) / (N + 0.5 (V + 1)) and m(c) is fixed for a rare
-context and grows with n(c) for a frequent one. These sum to one over the vocabulary and one unknown word.
+(n(c, t) + m P(t)) / (n(c) + m), where P(t) = (n(t) + 0.5) / (N + 0.5 (V + 1)) and m is the same for every context.
+These sum to one over the vocabulary and one unknown word.
 
 The model grows with the corpus, so it is never sent around. Every token of every document goes once to the shard of its
 word, with its context, packed together with the other tokens of some megabytes of text that go there; there
@@ -10,7 +10,8 @@ the counts of the training documents become a trie, and the tokens of all docume
 back is one number per document and shard. The numerator needs n(c, t) and n(t), the denominator of a token's successor needs n(t) alone,
 so each token's part of the score is known in its own shard and a document's score is a sum. A frequent word would
 make its shard too large: its tokens are spread over all shards by their context, and its count is sent around; the
-frequent words are bounded in number, because each holds a stated share of all tokens.
+frequent words are bounded in number, because each holds a stated share of all tokens. Which words are frequent decides
+only where tokens go, not what they score.
 
 A trie has two levels, both Elias-Fano coded, in a memory-mapped file for as long as the shard is worked on: the words,
 and under each word its contexts, whose high bits are the pointers from word to contexts. Counts of words are
@@ -33,14 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.shared import chunks, group_starts, held_out, task_count, text_of, whole_groups
+from daytally.llm.shared import chunks, group_starts, held_out, stored, task_count, text_of, whole_groups
 from daytally.llm.words import Words, mix
 
 FOLDS = 5
 # Frequent words are at most this many.
 FREQUENT = 1 << 16
-# Weight of P(t): of a rare context, and for each occurrence of a frequent one.
-RARE_WEIGHT, FREQUENT_WEIGHT = 50.0, 0.3
+# Weight of P(t), after every context.
+RARE_WEIGHT = 50.0
 # Tokens of a shard, tokens looked up at once, and bytes of text whose tokens are packed together.
 SHARD_TOKENS = 3_000_000
 SLICE = 1 << 19
@@ -136,12 +137,12 @@ class Totals:
 
 
 def grade(count: np.ndarray) -> np.ndarray:
-    """A frequent word's count in quarters of an octave, from 1 on; 0 for all others."""
-    return np.where(count > 0, 1 + np.floor(4 * np.log2(np.maximum(count, 1))), 0).astype(np.uint8)
+    """The class of a context's weight: one for all, whether or not its count was sent around."""
+    return np.zeros(len(count), np.uint8)
 
 
 def weight_of(grade: np.ndarray) -> np.ndarray:
-    return np.where(grade > 0, FREQUENT_WEIGHT * 2.0 ** ((grade.astype(float) - 1) / 4), RARE_WEIGHT)
+    return np.full(len(grade), RARE_WEIGHT)
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,8 +193,8 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def _summed(parts: int):
-    """Of each part: the number of tokens and of words (with word null), and the words frequent enough."""
+def _summed():
+    """Of each part: the number of tokens and of words (with word null), and the words that may be frequent."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["part"]):
             starts = group_starts(table, ["part"])
@@ -201,8 +202,8 @@ def _summed(parts: int):
                 group = table.slice(a, b - a)
                 word, place = np.unique(_joined(group.column("word"), np.uint64), return_inverse=True)
                 count = np.bincount(place, _joined(group.column("n"), np.uint32)).astype(np.int64)
-                # At most FREQUENT / parts words hold so large a share of the part. The end counts documents.
-                often = (count * FREQUENT >= count.sum() * parts) | (word == END)
+                # A share of all tokens is no less a share of the part. The end counts documents.
+                often = (count * FREQUENT >= count.sum()) | (word == END)
                 word, total = word[often].view(np.int64), len(word)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([None, *word.tolist()], pa.int64()), pa.array([int(count.sum()), *count[often].tolist()]),
@@ -216,18 +217,22 @@ def totals(rows: DataFrame) -> Totals:
     parts = min(task_count(rows.sparkSession), FREQUENT)
     packed = rows.mapInArrow(_counted(parts), "part int, word binary, n binary")
     placed = packed.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
-    found = placed.mapInArrow(_summed(parts), "word long, n long, distinct long").collect()
-    words = sorted((r.word % 2**64, r.n) for r in found if r.word is not None)
+    found = stored(placed.mapInArrow(_summed(), "word long, n long, distinct long"))
+    none = F.col("word").isNull()
+    whole = found.filter(none).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("d")).first()
+    # The share is one of all tokens, so it doesn't depend on how words were dealt to parts.
+    often = found.filter(~none & ((F.col("n") >= F.lit(-(-whole.n // FREQUENT))) | (F.col("word") == int(END))))
+    words = sorted((r.word % 2**64, r.n) for r in often.collect())
     return Totals(
-        sum(r.n for r in found if r.word is None), sum(r.distinct for r in found),
+        whole.n, whole.d,
         next((n for word, n in words if word == int(END)), 0),
         np.array([w for w, _ in words], np.uint64), np.array([n for _, n in words], np.int64))
 
 
-# What a packet holds: words with how often each occurs; for each token its context, the context's grade, whether it is
-# taught, and its document; and for the documents that end here their id, fold and number of tokens.
+# What a packet holds: words with how often each occurs; for each token its context, whether it is taught, and its
+# document; and for the documents that end here their id, fold and number of tokens.
 _PACKET = {
-    "words": np.uint64, "times": np.uint32, "contexts": np.uint32, "grades": np.uint8, "taught": np.uint8, "docs": np.uint32,
+    "words": np.uint64, "times": np.uint32, "contexts": np.uint32, "taught": np.uint8, "docs": np.uint32,
     "ended": np.uint32, "ids": np.int64, "held": np.bool_, "tokens": np.uint32,
 }
 # What a shard answers: for each document of the packet its parts of the sums; the rest as it came.
@@ -244,8 +249,6 @@ def _packed(sent, shards: int):
             often = known.count_of(token)
             before = np.concatenate([[START], token[:-1]])
             before[first] = START
-            grades = np.concatenate([[0], grade(often)[:-1]]).astype(np.uint8)
-            grades[first] = grade(np.array([known.docs]))[0]
             shard = mix(np.where(often > 0, token ^ mix(before), token)) % np.uint64(shards)
             ids = batch.column("id").fill_null(_NO_ID).to_numpy()
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -259,7 +262,7 @@ def _packed(sent, shards: int):
                 own = order[cut[s]:cut[s + 1]]
                 word, times = np.unique(token[own], return_counts=True)
                 ended = row[own[token[own] == END]]
-                values = (word, times, before[own] >> np.uint64(32), grades[own], np.packbits(~held[row[own]]), row[own],
+                values = (word, times, before[own] >> np.uint64(32), np.packbits(~held[row[own]]), row[own],
                           ended, ids[ended], held[ended], size[ended])
                 out["shard"].append(s)
                 for (name, kind), value in zip(_PACKET.items(), values):
@@ -322,8 +325,7 @@ def _lengths(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 
 def _score_shard(group: pa.Table, known: Totals) -> pa.RecordBatch:
-    word, times, context, grades, doc = (
-        _joined(group.column(n), _PACKET[n]) for n in ("words", "times", "contexts", "grades", "docs"))
+    word, times, context, doc = (_joined(group.column(n), _PACKET[n]) for n in ("words", "times", "contexts", "docs"))
     size = _lengths(group.column("docs"), np.uint32)
     taught = np.concatenate([
         np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n) for x, n in zip(group.column("taught"), size)]).astype(bool)
@@ -331,19 +333,19 @@ def _score_shard(group: pa.Table, known: Totals) -> pa.RecordBatch:
     lessons = np.bincount(of[taught], minlength=len(word))
     with tempfile.TemporaryFile() as file:
         used = lessons > 0
-        trie = Trie(word[used], lessons[used], context[taught], grades[taught], known, file)
+        trie = Trie(word[used], lessons[used], context[taught], grade(context[taught]), known, file)
         unique, back = np.unique(word, return_inverse=True)
         place, back = trie.word_place(unique).astype(np.int32), back.astype(np.int32)
         sent, own = known.count_of(unique), trie.counts()
         count = np.where(sent > 0, sent, np.where(place >= 0, own[place] if len(own) else 0, 0))
         of = back[of]
         numerator = trie.numerators(place[of], context)
-    # What a word adds wherever it stands, and what an unseen pair adds by the grade of its context.
+    # What a word adds wherever it stands.
     half = np.log10(count + 0.5)
-    after = np.log10(count + weight_of(grade(sent)))
+    after = np.log10(count + RARE_WEIGHT)
     after[unique == END] = 0
-    weight = np.log10(weight_of(np.arange(256)))
-    numerator = np.where(np.isnan(numerator), weight[grades] + half[of] - np.log10(known.scale), numerator)
+    unseen = half + float(np.log10(RARE_WEIGHT) - np.log10(known.scale))
+    numerator = np.where(np.isnan(numerator), unseen[of], numerator)
     numerator -= after[of]
     out = {name: [] for name in _ANSWER}
     for z, n in zip(np.cumsum(size), size):
@@ -404,7 +406,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_column: str = "doc_id", text_
     gathered = answered.repartition(task_count(spark), "pack", "mark").sortWithinPartitions("pack", "mark")
     each = gathered.mapInArrow(
         _summed_up, "id long, held_out boolean, tokens long, known long, base double, score double")
-    start = float(np.log10(known.docs + weight_of(grade(np.array([known.docs])))[0]))
+    start = float(np.log10(known.docs + RARE_WEIGHT))
     return each.select(
         F.when(F.col("id") != int(_NO_ID), F.col("id")).alias("doc_id"), "held_out",
         F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),

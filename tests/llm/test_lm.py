@@ -143,3 +143,28 @@ def test_the_stored_trie_is_compact():
         lm.Trie(word, times, context, np.zeros(len(context), np.uint8), known, file)
         # A pair takes four bytes of context, two of probability and a few bits; a word some eight bytes more.
         assert file.seek(0, 2) < 6.5 * len(context) + 12 * len(word)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 64)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1000)
+    # A word with a third of all tokens, and thirty about as frequent as the list asks for.
+    texts = [(k, " ".join(w for n in range(10) for w in ("the", f"w{(k + n) % 30}", f"w{(k * n) % 30}"))) for k in range(120)]
+    docs, was, got = documents(spark, texts), spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for parts in (1, 3, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got[parts] = {r.doc_id: (r.base_score, r.score) for r in lm.scores(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    for parts in (3, 32):
+        for k, scores in got[1].items():
+            assert got[parts][k] == pytest.approx(scores, rel=1e-6)
+
+
+def test_words_on_and_off_the_frequent_list_score_alike(spark, monkeypatch):
+    docs, got = documents(spark, corpus(150)), []
+    for frequent in (4, 1 << 16):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        got.append({r.doc_id: r.score for r in lm.scores(docs).collect()})
+    assert got[0] == pytest.approx(got[1], rel=1e-6)
