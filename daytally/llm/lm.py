@@ -11,7 +11,9 @@ back is one number per document and shard. The numerator needs n(c, t) and n(t),
 so each token's part of the score is known in its own shard and a document's score is a sum. A frequent word would
 make its shard too large: its tokens are spread over all shards by their context, and its count is sent around; the
 frequent words are bounded in number, because each holds a stated share of all tokens. Which words are frequent decides
-only where tokens go, not what they score.
+only where tokens go, not what they score. A pair of words that is common in a pack is sent to its shard once, with the
+number of its training tokens, and looked up once; how often each document holds it goes with the pack to any shard and on
+to where the pack's sums are added up. So no shard gets more of one pair than a bounded number of tokens a pack.
 
 A trie has two levels, both Elias-Fano coded, in a memory-mapped file for as long as the shard is worked on: the words,
 and under each word its contexts, whose high bits are the pointers from word to contexts. Counts of words are
@@ -46,6 +48,10 @@ RARE_WEIGHT = 50.0
 SHARD_TOKENS = 3_000_000
 SLICE = 1 << 19
 PACK_BYTES = 8 << 20
+# Of one pair, a pack sends single tokens only up to this share of a shard, over all packs.
+PAIR_SHARE = 0.25
+# Numbers from here on stand for a pack's common pairs, not for documents.
+PAIR = 1 << 31
 # Steps of a quantised logarithm in one decade, and the least one kept.
 STEPS, FLOOR = 2048, -14.0
 END, START = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -230,14 +236,27 @@ def totals(rows: DataFrame) -> Totals:
 
 
 # What a packet holds: words with how often each occurs; for each token its context, whether it is taught, and its
-# document; and for the documents that end here their id, fold and number of tokens.
+# document; for each common pair, which counts as a token of a document of its own, its training tokens. One packet of
+# a pack also holds the id, fold and number of tokens of all its documents, and the pairs' tokens in each.
 _PACKET = {
     "words": np.uint64, "times": np.uint32, "contexts": np.uint32, "taught": np.uint8, "docs": np.uint32,
-    "ended": np.uint32, "ids": np.int64, "held": np.bool_, "tokens": np.uint32,
+    "lessons": np.uint32, "ids": np.int64, "held": np.bool_, "tokens": np.uint32,
+    "pair": np.uint32, "pair_docs": np.uint32, "pair_times": np.uint32,
 }
 # What a shard answers: for each document of the packet its parts of the sums; the rest as it came.
 _ANSWER = {"docs": np.uint32, "score": np.float32, "base": np.float64, "known": np.uint32}
-_ENDED = ("ended", "ids", "held", "tokens")
+_PASSED = ("ids", "held", "tokens", "pair", "pair_docs", "pair_times")
+
+
+def _common(pair: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each token, the number of its pair if more than ``limit`` tokens have it, else -1; a token of each such pair."""
+    number = np.full(len(pair), -1)
+    bucket = (pair >> np.uint64(48)).astype(np.int64)
+    near = np.flatnonzero((np.bincount(bucket, minlength=1 << 16) > limit)[bucket])
+    _, one, back, times = np.unique(pair[near], return_index=True, return_inverse=True, return_counts=True)
+    often = times > limit
+    number[near] = np.where(often, np.cumsum(often) - 1, -1)[back]
+    return number, near[one[often]]
 
 
 def _packed(sent, shards: int):
@@ -249,21 +268,35 @@ def _packed(sent, shards: int):
             often = known.count_of(token)
             before = np.concatenate([[START], token[:-1]])
             before[first] = START
-            shard = mix(np.where(often > 0, token ^ mix(before), token)) % np.uint64(shards)
+            pair = mix(token ^ mix(before))
+            shard = np.where(often > 0, pair, mix(token)) % np.uint64(shards)
             ids = batch.column("id").fill_null(_NO_ID).to_numpy()
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             size = np.diff(np.append(first, len(token)))
             # A pack is known by its task, its number and its content.
             mark = int(np.bitwise_xor.reduce(mix(token + mix(ids[row].view(np.uint64) + row.astype(np.uint64))))) >> 1
+            # Common pairs: their training tokens, and their tokens in each document.
+            which, one = _common(pair, int(max(1, PAIR_SHARE * SHARD_TOKENS * len(token) / max(known.tokens, 1))))
+            common, single = np.flatnonzero(which >= 0), np.flatnonzero(which < 0)
+            lessons = np.bincount(which[common][~held[row[common]]], minlength=len(one))
+            each, times_each = np.unique(which[common] << 32 | row[common], return_counts=True)
+            passed = (ids, held, size, each >> 32, each & 0xFFFFFFFF, times_each)
+            # What is sent: single tokens, then one of each common pair.
+            of = np.concatenate([single, one])
+            token, before, shard, doc = token[of], before[of], shard[of], np.concatenate([row[single], PAIR + np.arange(len(one))])
+            taught = np.concatenate([~held[row[single]], lessons > 0])
             order = np.lexsort((token, shard))
             cut = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
             out = {name: [] for name in ("shard", *_PACKET)}
-            for s in np.flatnonzero(np.diff(cut)).tolist():
+            some = np.flatnonzero(np.diff(cut))
+            # What passes through goes with any packet.
+            carrier = some[mark % len(some)]
+            for s in some.tolist():
                 own = order[cut[s]:cut[s + 1]]
                 word, times = np.unique(token[own], return_counts=True)
-                ended = row[own[token[own] == END]]
-                values = (word, times, before[own] >> np.uint64(32), np.packbits(~held[row[own]]), row[own],
-                          ended, ids[ended], held[ended], size[ended])
+                values = (word, times, before[own] >> np.uint64(32), np.packbits(taught[own]), doc[own],
+                          lessons[own[own >= len(single)] - len(single)],
+                          *(passed if s == carrier else (v[:0] for v in passed)))
                 out["shard"].append(s)
                 for (name, kind), value in zip(_PACKET.items(), values):
                     out[name].append(value.astype(kind).tobytes())
@@ -278,17 +311,20 @@ def _packed(sent, shards: int):
 class Trie:
     """The training tokens of one shard: word (a hash), context (32 bits of one) and grade of the context."""
 
-    def __init__(self, word: np.ndarray, times: np.ndarray, context: np.ndarray, grades: np.ndarray, known: Totals, file):
-        # ``word`` and ``times``: words of the shard and their tokens, which follow in the same order.
+    def __init__(self, word: np.ndarray, times: np.ndarray, context: np.ndarray, grades: np.ndarray, known: Totals, file,
+                 lessons: np.ndarray | None = None):
+        # ``word`` and ``times``: words of the shard and their tokens, which follow in the same order. Each token
+        # stands for as many as ``lessons`` says, or for one.
         unique, rank = np.unique(word, return_inverse=True)
-        own = np.bincount(rank, times, len(unique)).astype(np.int64)
+        lessons = np.ones(len(context), np.uint32) if lessons is None else lessons
+        own = np.bincount(np.repeat(rank, times), lessons, len(unique)).astype(np.int64)
         key = np.repeat(rank.astype(np.uint64) << np.uint64(32), times)
         key |= context
         order = np.argsort(key).astype(np.int32)
-        key, graded = key[order], grades[order]
+        key, graded, lessons = key[order], grades[order], lessons[order]
         del order
         begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
-        pairs = np.diff(np.append(begin, len(key)))
+        pairs = np.add.reduceat(lessons, begin, dtype=np.int64) if len(begin) else begin
         key, graded = key[begin], graded[begin]
         sent = known.count_of(unique)
         count = np.where(sent > 0, sent, own)
@@ -331,9 +367,11 @@ def _score_shard(group: pa.Table, known: Totals) -> pa.RecordBatch:
         np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n) for x, n in zip(group.column("taught"), size)]).astype(bool)
     of = np.repeat(np.arange(len(word), dtype=np.int32), times)
     lessons = np.bincount(of[taught], minlength=len(word))
+    weight = np.ones(len(doc), np.uint32)
+    weight[doc >= PAIR] = _joined(group.column("lessons"), np.uint32)
     with tempfile.TemporaryFile() as file:
         used = lessons > 0
-        trie = Trie(word[used], lessons[used], context[taught], grade(context[taught]), known, file)
+        trie = Trie(word[used], lessons[used], context[taught], grade(context[taught]), known, file, weight[taught])
         unique, back = np.unique(word, return_inverse=True)
         place, back = trie.word_place(unique).astype(np.int32), back.astype(np.int32)
         sent, own = known.count_of(unique), trie.counts()
@@ -354,7 +392,7 @@ def _score_shard(group: pa.Table, known: Totals) -> pa.RecordBatch:
         values = (docs, np.bincount(at, numerator[part]), np.bincount(at, half[of[part]]), np.bincount(at, count[of[part]] > 0))
         for (name, kind), value in zip(_ANSWER.items(), values):
             out[name].append(value.astype(kind).tobytes())
-    columns = {n: group.column(n) for n in ("pack", "mark", *_ENDED)} | {n: pa.array(v, pa.binary()) for n, v in out.items()}
+    columns = {n: group.column(n) for n in ("pack", "mark", *_PASSED)} | {n: pa.array(v, pa.binary()) for n, v in out.items()}
     return pa.table(columns).combine_chunks().to_batches()[0]
 
 
@@ -375,12 +413,15 @@ def _summed_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(starts, np.append(starts[1:], table.num_rows)):
             group = table.slice(a, b - a)
             docs, score, base, known = (_joined(group.column(n), t) for n, t in _ANSWER.items())
-            ended, ids, held, tokens = (_joined(group.column(n), _PACKET[n]) for n in _ENDED)
-            # Every document has one end, so each is named once.
-            order = np.argsort(ended)
-            sums = [np.bincount(docs, v, len(ended)) for v in (known, base, score)]
+            ids, held, tokens, pair, pair_docs, pair_times = (_joined(group.column(n), _PACKET[n]) for n in _PASSED)
+            single = docs < PAIR
+            place = np.zeros(len(docs) - np.count_nonzero(single), np.int64)
+            place[docs[~single] - PAIR] = np.flatnonzero(~single)
+            # What a common pair adds counts for each of its tokens.
+            sums = [np.bincount(docs[single], v[single], len(ids)) + np.bincount(pair_docs, v[place[pair]] * pair_times, len(ids))
+                    for v in (known.astype(np.int64), base, score.astype(np.float64))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[order]), pa.array(held[order]), pa.array(tokens[order].astype(np.int64)),
+                [pa.array(ids), pa.array(held), pa.array(tokens.astype(np.int64)),
                  pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
                 ["id", "held_out", "tokens", "known", "base", "score"])
 
@@ -401,7 +442,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_column: str = "doc_id", text_
     packed = rows.mapInArrow(_packed(sent, shards), f"pack long, mark long, shard int, {binary}")
     parts = min(shards, task_count(spark))
     placed = packed.repartitionById(parts, F.col("shard") % parts).sortWithinPartitions("shard")
-    binary = ", ".join(f"{n} binary" for n in (*_ENDED, *_ANSWER))
+    binary = ", ".join(f"{n} binary" for n in (*_PASSED, *_ANSWER))
     answered = placed.mapInArrow(_scored(sent), f"pack long, mark long, {binary}")
     gathered = answered.repartition(task_count(spark), "pack", "mark").sortWithinPartitions("pack", "mark")
     each = gathered.mapInArrow(

@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 from cases import clashing, collected, documents, passage, rows, words
 
+from pyspark.sql import functions as F
+
 from daytally.llm import lm
 
 
@@ -168,3 +170,20 @@ def test_words_on_and_off_the_frequent_list_score_alike(spark, monkeypatch):
         monkeypatch.setattr(lm, "FREQUENT", frequent)
         got.append({r.doc_id: r.score for r in lm.scores(docs).collect()})
     assert got[0] == pytest.approx(got[1], rel=1e-6)
+
+
+def test_a_pair_with_a_third_of_all_tokens_does_not_meet_in_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 2000)
+    monkeypatch.setattr(lm, "PACK_BYTES", 20_000)
+    # In every document, and again and again in some.
+    pairs = [(k, "yes yes " * (40 if k % 3 else 400) + text + " yes") for k, text in corpus(120)]
+    docs = documents(spark, pairs).repartition(4)
+    rows_ = docs.select(F.col("doc_id").alias("id"), lm.held_out(F.col("doc_id"), 5).alias("held_out"), "text")
+    known = lm.totals(rows_)
+    shards = -(-known.tokens // lm.SHARD_TOKENS)
+    columns = ", ".join(f"{n} binary" for n in lm._PACKET)
+    packed = rows_.mapInArrow(
+        lm._packed(spark.sparkContext.broadcast(known), shards), f"pack long, mark long, shard int, {columns}")
+    sizes = [r.n for r in packed.groupBy("shard").agg((F.sum(F.length("contexts")) / 4).alias("n")).collect()]
+    assert known.tokens > 15_000 and max(sizes) < 1.5 * lm.SHARD_TOKENS
+    check(spark, docs, pairs)
