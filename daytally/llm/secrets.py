@@ -4,12 +4,14 @@ Two character Markov models, one of random strings and one of ordinary identifie
 samples. Random: what the fixed patterns find in the corpus, and strings drawn with a fixed seed from the usual
 alphabets. Ordinary: every other run of identifier characters of all documents, and identifiers put together of
 common words. A candidate is a long run of such
-characters; it is a secret if the log-likelihood ratio of the models is high enough, as a whole and per character.
+characters; it is a secret if the log-likelihood ratio of the models is high enough, as a whole and per character. Of a
+run that isn't, its parts are candidates: the pieces between separators, and the segments whose characters exceed the
+ratio asked for by most.
 The models are counts of neighbouring characters, so their size is fixed whatever the corpus.
 
 Rows and edge cases: one row comes out per row that goes in. Null text counts as empty and has no spans. Rows are
-independent of each other but for the models, so ids may be null or repeat. A candidate that overlaps a pattern's
-span is left to the pattern. Equal starts are told apart by kind, in the order assign, access, hex, random. Without
+independent of each other but for the models, so ids may be null or repeat. What a pattern's span covers is left to the
+pattern, and cut out of a run. Numbers are no secrets; letters alone must be more certain. Equal starts are told apart by kind, in the order assign, access, hex, random. Without
 documents the models know the drawn strings only. Other columns are not read.
 """
 
@@ -46,6 +48,10 @@ _SYMBOL[np.frombuffer(_MEMBERS.encode(), np.uint8)] = np.arange(_END)
 CANDIDATE_LEAST = 16
 # Least log-likelihood ratio of a secret, in nats: as a whole, and for each character.
 LEAST_TOTAL, LEAST_EACH = 15.0, 0.7
+# The same for each character of a string of letters alone.
+LETTERS_EACH = 1.0
+# Separators between the pieces of a run, from few to all.
+_SEPARATORS = tuple(byte_class(x) for x in ("/", "/_", "/_+-"))
 # Labelled strings drawn for each alphabet, and for each way to write an identifier.
 DRAWN = 500
 # Words of which ordinary identifiers are put together.
@@ -90,9 +96,13 @@ class Batch:
             if at >= 0 and b - a - at >= ACCESS_LEAST:
                 yield int(a) + at, int(b)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of identifier characters (start, end), neighbouring symbols, and where each run's pairs begin."""
-        start, end = maximal_runs(_IS_MEMBER[self.data], self.offsets)
+    def pairs(self, cut: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of identifier characters (start, end), neighbouring symbols, and where each run's pairs begin.
+
+        With ``cut``, what pattern spans cover belongs to no run.
+        """
+        member = _IS_MEMBER[self.data]
+        start, end = maximal_runs(member & ~self.covered[:-1] if cut else member, self.offsets)
         symbol = _SYMBOL[self.data]
         # Each run of n characters has n + 1 pairs, its ends included.
         first = np.cumsum(end - start + 1) - (end - start + 1)
@@ -162,24 +172,94 @@ def train(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     return (p[1] - p[0]).reshape(-1)
 
 
+def _likely(piece: np.ndarray, score: float) -> bool:
+    """Whether a piece with a log-likelihood ratio is a secret."""
+    # Numbers are no secrets, however they read.
+    if len(piece) < CANDIDATE_LEAST or not _IS_LETTER[piece].any():
+        return False
+    each = LEAST_EACH if _IS_DIGIT[piece].any() else LETTERS_EACH
+    return score >= max(LEAST_TOTAL, each * len(piece))
+
+
+def _hopeful(value: np.ndarray, first: np.ndarray, size: np.ndarray, least: float) -> np.ndarray:
+    """Which runs of values, from ``first`` on, have a segment whose sum is at least this."""
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    total = np.concatenate([[0.0], np.cumsum(value[place + np.repeat(first, size)])])
+    begin = np.cumsum(size) - size
+    # Each run from zero, and below all runs before it.
+    before, after = total[:-1] - np.repeat(total[begin], size), total[1:] - np.repeat(total[begin], size)
+    down = np.repeat(np.arange(len(size)) * (np.ptp(np.append(before, after)) + 1), size)
+    rise = after - (np.minimum.accumulate(before - down) + down)
+    return np.maximum.reduceat(rise, begin) >= least - 1e-3
+
+
+def _segments(value: list[float]) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first, one past the last, sum), by Ruzzo and Tompa."""
+    # Of each segment: its ends, and the sums before it and up to its end.
+    kept: list[tuple[int, int, float, float]] = []
+    # Of each segment, the last one before it that begins lower.
+    lower: list[int] = []
+    total = 0.0
+    for k, v in enumerate(value):
+        if v > 0:
+            a, left = k, total
+            j = len(kept) - 1
+            while True:
+                while j >= 0 and kept[j][2] >= left:
+                    j = lower[j]
+                if j < 0 or kept[j][3] >= total + v:
+                    break
+                a, left = kept[j][0], kept[j][2]
+                del kept[j:], lower[j:]
+                j = len(kept) - 1
+            lower.append(j)
+            kept.append((a, k + 1, left, total + v))
+        total += v
+    return [(a, b, right - left) for a, b, left, right in kept]
+
+
+def _parts(data: np.ndarray, ratio: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of a run that are secrets: pieces between separators first, then segments, none over another."""
+    symbol, taken = _SYMBOL[data], np.zeros(len(data), bool)
+    for separators in _SEPARATORS:
+        for a, z in zip(*maximal_runs(~separators[data], np.array([0, len(data)]), CANDIDATE_LEAST)):
+            own = np.concatenate([[_END], symbol[a:z], [_END]])
+            if not taken[a:z].any() and _likely(data[a:z], ratio[own[:-1] * SYMBOLS + own[1:]].sum()):
+                taken[a:z] = True
+                yield int(a), int(z)
+    inner = ratio[symbol[:-1] * SYMBOLS + symbol[1:]]
+    for a, z in zip(*maximal_runs(~taken, np.array([0, len(data)]), CANDIDATE_LEAST)):
+        for b, y, over in _segments((inner[a:z - 1] - LEAST_EACH).tolist()):
+            # A segment of so many pairs has one character more.
+            low, high = int(a) + b, int(a) + y + 1
+            if _likely(data[low:high], over + LEAST_EACH * (y - b)) and not taken[low:high].any():
+                taken[low:high] = True
+                yield low, high
+
+
 def _scan(sent):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = sent.value
         nothing = hashlib.sha256(b"").hexdigest()
+        square = ratio.reshape(SYMBOLS, SYMBOLS)
+        ends = max(0.0, square[_END].max()) + max(0.0, square[:, _END].max())
         for batch in chunks(batches):
             b = Batch(batch.column("text"))
             spans = list(b.spans)
-            start, end, pair, first = b.pairs()
-            if len(start):
-                length = end - start
-                score = np.add.reduceat(ratio[pair], first)
-                inside = np.concatenate([[0], np.cumsum(b.covered)])
-                good = (length >= CANDIDATE_LEAST) & (score >= LEAST_TOTAL) & (score >= LEAST_EACH * length)
-                for a, z in zip(start[good & (inside[end] == inside[start])], end[good & (inside[end] == inside[start])]):
-                    # Numbers and plain words are no secrets, however they read.
-                    piece = b.data[a:z]
-                    if _IS_LETTER[piece].any() and _IS_DIGIT[piece].any():
-                        spans.append((int(a), int(z), 3))
+            start, end, pair, first = b.pairs(cut=True)
+            long = np.flatnonzero(end - start >= CANDIDATE_LEAST)
+            if len(long):
+                value = ratio[pair]
+                score = np.add.reduceat(value, first)
+                # No part of a run can do better than its best segment and two ends.
+                some = _hopeful(value, first[long] + 1, (end - start)[long] - 1, LEAST_TOTAL - ends)
+                some |= score[long] >= LEAST_TOTAL
+                for k in long[some].tolist():
+                    a, z = int(start[k]), int(end[k])
+                    if _likely(b.data[a:z], score[k]):
+                        spans.append((a, z, 3))
+                    else:
+                        spans += [(a + c, a + d, 3) for c, d in _parts(b.data[a:z], ratio)]
             count = np.zeros((len(KINDS), batch.num_rows), np.int64)
             base, every = [nothing] * batch.num_rows, [""] * batch.num_rows
             by_row = {}

@@ -82,3 +82,53 @@ def test_the_method_adds_spans(spark, model):
     assert [(k, text[int(a):int(b)]) for k, a, b in spans] == [
         ("random", "xJ9fQ2mLpZ7vRt4KwB8s"), ("assign", "token=xJ9fQ2mLpZ7vRt4KwB8s")]
     assert row.n_random == 1
+
+
+def keys(count, alphabet=None):
+    rng = np.random.default_rng(12)
+    return ["".join(rng.choice(list(alphabet or module._LETTERS + module._DIGITS), 24)) for _ in range(count)]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("config/", ""), ("api/v1/config/client/", ""), ("document/filter/config/connection/", ""), ("data_connection_account_config_", ""),
+    ("document/filter/", "/config/connection/index"), ("getConnectionFromDatabase", "")])
+def test_keys_inside_paths_and_names(spark, model, before, after):
+    each = keys(60)
+    got = {r.doc_id: r.spans for r in secrets(documents(spark, [(k, before + key + after) for k, key in enumerate(each)]), model).collect()}
+    covered = 0
+    for k in range(len(each)):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[k].split(",") if s.startswith("random")]
+        covered += any(min(b, len(before) + 24) - max(a, len(before)) >= 20 for a, b in spans)
+    # Without a separator a segment may begin or end some characters off.
+    assert covered >= (0.95 if before[-1] in "/_" else 0.9) * len(each)
+
+
+def test_two_keys_in_one_run_and_beside_a_pattern(spark, model):
+    one, two = "xJ9fQ2mLpZ7vRt4KwB8s", "Q7dKz3VbN8xYw5RtGm2H"
+    base_span = "0123456789abcdef" * 2
+    texts = [(1, f"document/filter/config/{one}/connection/account/{two}/index"), (2, f"{base_span}/{one}")]
+    got = {r.doc_id: r.spans.split(",") for r in secrets(documents(spark, texts), model).collect()}
+    want = {1: [one, two], 2: [base_span, one]}
+    for k, text in texts:
+        parts = [text[int(s.split(":")[1]):int(s.split(":")[2])].strip("/") for s in got[k]]
+        assert parts == want[k]
+
+
+def test_letters_alone_and_ordinary_parts(spark, model):
+    strings = keys(200, module._LETTERS)
+    rows_ = secrets(documents(spark, list(enumerate(strings))), model).collect()
+    assert np.mean([r.n_random > 0 for r in rows_]) > 0.9
+    names = [s for s in module.identifiers(97) if len(s) >= module.CANDIDATE_LEAST]
+    assert np.mean([r.n_random > 0 for r in secrets(documents(spark, list(enumerate(names))), model).collect()]) < 0.001
+
+
+def test_segments_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        v = rng.normal(-0.2, 1, 40)
+        best = max(v[i:j].sum() for i in range(40) for j in range(i + 1, 41))
+        assert max(s for *_, s in module._segments(v.tolist())) == pytest.approx(best)
+        runs = np.concatenate([v, v, v - 9])
+        first, size = np.array([0, 40, 80]), np.array([40, 40, 40])
+        assert module._hopeful(runs, first, size, best - 0.1).tolist() == [True, True, False]
+        assert not module._hopeful(runs, first, size, best + 0.1).any()
