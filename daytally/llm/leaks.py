@@ -6,7 +6,9 @@ they occur. The items' fingerprints are indexed by eight blocks of 16 bits: two
 apart differ in at most three bits of some block, so looking up every block with up to two bits flipped, in an index
 that holds every block with up to one bit flipped, meets each item within the radius. What is met and within the
 radius is verified: the shingles of window and item, weighted by how often they occur, must overlap in at least
-``percent`` percent. Windows that cannot be that similar, because too few of their shingles occur in the items of
+``percent`` percent. A similar window may lie beyond the radius, if one word is repeated in it, so windows are also met
+directly, by the rarest shingles of an item: as many as a similar window can lack, and one more, of which it must have
+one. Windows that cannot be that similar, because too few of their shingles occur in the items of
 their size, are not fingerprinted; that test loses nothing.
 
 Items travel to the tasks in portions of bounded size, one pass over the documents for each portion.
@@ -37,6 +39,8 @@ PORTION_WORDS = 500_000
 PORTION_ITEMS = 20_000
 # Windows handled at once.
 _SLAB = 4096
+# Meetings of windows with rare shingles handled at once, unless one window alone has more.
+_MET = 1 << 20
 _SALTS = (np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -94,6 +98,7 @@ class Index:
         self.own = {n: np.unique(np.concatenate([shingles(w) for w in self.words if len(w) == n])) for n in self.sizes}
         self.known = {width: np.unique(np.concatenate([v for n, v in self.own.items() if min(WIDTH, n) == width]))
                       for width in {min(WIDTH, n) for n in self.sizes}}
+        self.rare = {n: self._rarest(n) for n in self.sizes}
         self.prints = np.stack([fingerprints(w, np.zeros(1, int), np.array([len(w)]))[0] for w in self.words])
         self.tables = []
         for block in range(BLOCKS):
@@ -101,6 +106,45 @@ class Index:
             order = np.argsort(key, kind="stable")
             self.tables.append((key[order], order // len(_INDEXED)))
 
+    def need(self, size: int) -> int:
+        """Shingles that a window and an item of ``size`` words must have in common."""
+        return -(-self.percent * (size - min(WIDTH, size) + 1) // 100)
+
+    def _rarest(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of the items of ``size`` words, sorted, and their items: of each item one more than may be lacking."""
+        items = [k for k, w in enumerate(self.words) if len(w) == size]
+        each = [np.unique(shingles(self.words[k]), return_counts=True) for k in items]
+        every, often = np.unique(np.concatenate([value for value, _ in each]), return_counts=True)
+        keys, of = [], []
+        for k, (value, times) in zip(items, each):
+            order = np.argsort(often[np.searchsorted(every, value)], kind="stable")
+            slack = size - min(WIDTH, size) + 1 - self.need(size)
+            # A shingle that repeats may be lacking as often.
+            count = int(np.searchsorted(np.cumsum(times[order]), slack + 1)) + 1
+            keys.append(value[order[:count]])
+            of.append(np.full(len(keys[-1]), k, np.int32))
+        keys, of = np.concatenate(keys), np.concatenate(of)
+        order = np.argsort(keys, kind="stable")
+        return keys[order], of[order]
+
+    def direct(self, size: int, words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Numbers of windows and items that share one of the item's rarest shingles, as one number each."""
+        width = min(WIDTH, size)
+        (keys, item), value = self.rare[size], runs(words, width)
+        low = np.searchsorted(keys, value)
+        many = np.searchsorted(keys, value, side="right") - low
+        total = np.concatenate([[0], np.cumsum(many)])
+        met = item[np.repeat(low - total[:-1], many) + np.arange(total[-1])]
+        first, count = total[start], total[start + length - width + 1] - total[start]
+        out, done = [np.zeros(0, np.int64)], np.concatenate([[0], np.cumsum(count)])
+        a = 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(done, done[a] + _MET, side="right")) - 1)
+            at = np.repeat(first[a:b] - done[a:b], count[a:b]) + np.arange(done[a], done[b])
+            out.append(np.unique(np.repeat(np.arange(a, b), count[a:b]) * len(self.ids) + met[at]))
+            a = b
+        return np.concatenate(out)
+
     def lookup(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Windows and items of ``size`` words at most ``RADIUS`` bits apart."""
         met = []
@@ -133,7 +177,7 @@ class Index:
             hit = hit[among(value, self.own[size])]
             if not len(hit):
                 continue
-            need = -(-self.percent * (size - width + 1) // 100)
+            need = self.need(size)
             slack = size - width + 1 - need
             # Such a window has a known shingle among its first ones.
             low, high = words.first[words.row[hit]], words.first[words.row[hit] + 1]
@@ -156,7 +200,8 @@ class Index:
                     base = int(s[use].min())
                     span = words.hash[base:int((s[use] + n[use]).max())]
                     window, item = self.lookup(size, fingerprints(span, s[use] - base, n[use]))
-                    for w, i in zip(window.tolist(), item.tolist()):
+                    pair = np.union1d(window * len(self.ids) + item, self.direct(size, span, s[use] - base, n[use]))
+                    for w, i in zip((pair // len(self.ids)).tolist(), (pair % len(self.ids)).tolist()):
                         a, b = int(s[use][w]), int(n[use][w])
                         over, union = similar(shingles(words.hash[a:a + b]), shingles(self.words[i]))
                         if 100 * over >= self.percent * union:

@@ -84,3 +84,15 @@ def test_empty_tables(spark):
     assert leaks(documents(spark), table(spark, [])).count() == 0
     with pytest.raises(ValueError):
         leaks(documents(spark), table(spark, []), percent=50)
+
+
+def test_windows_that_end_in_one_repeated_word(spark):
+    rng, items, pairs = random.Random(6), [], []
+    for k, (n, replaced) in enumerate([(60, 6), (100, 10), (200, 21)] * 4):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        items.append((k, " ".join(w)))
+        # Without words before it, no window of other words around it is as similar.
+        pairs.append((k, " ".join([*w[:n - replaced], *["again"] * (replaced + 20)])))
+    want = expected(pairs, items)
+    assert len(want) == len(pairs)
+    assert found(leaks(documents(spark, pairs), table(spark, items))) == want
