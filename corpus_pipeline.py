@@ -3,15 +3,31 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daytally.llm import bpe, exact_dup, leaks, near_dup, quality
 from daytally.llm.shared import read_table, small, stored
 
 
-def _without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Documents that no verdict drops. A document without an id can't be named by one, so it stays."""
-    dropped = stored(verdicts.select("doc_id").distinct())
-    return docs.join(small(dropped), "doc_id", "left_anti").select(*docs.columns)
+# A row's own number, by which operators name it. No table has such a column.
+ROW = "daytally_row"
+
+
+def _numbered(docs: DataFrame, nulls_first: bool = False) -> DataFrame:
+    """``docs`` with a number of each row, in the order of the ids: the id itself if no row lacks one or repeats it."""
+    number = F.col("doc_id").cast("long")
+    if docs.groupBy(number.alias("id")).count().filter("id is null or count > 1").isEmpty():
+        return docs.withColumn(ROW, number)
+    # Rows with one id may be many, so their place splits them too. Stored, so that numbers stay as they are.
+    order = number.asc_nulls_first() if nulls_first else number.asc_nulls_last()
+    placed = docs.withColumn(ROW, F.monotonically_increasing_id()).orderBy(order, ROW)
+    return stored(placed.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _without(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The numbered rows that no verdict drops, without their numbers."""
+    dropped = stored(verdicts.select(F.col("doc_id").alias(ROW)).distinct())
+    return rows.join(small(dropped), ROW, "left_anti").select(*(c for c in rows.columns if c != ROW))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,15 +36,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dup.exact_duplicates(docs).filter("not kept"))
+    # Of equal texts the largest number stays, so a row with an id is preferred.
+    rows = _numbered(docs, nulls_first=True)
+    return _without(rows, exact_dup.exact_duplicates(rows, id_column=ROW).filter("not kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_dup.near_duplicates(docs).filter("not kept"))
+    rows = _numbered(docs)
+    return _without(rows, near_dup.near_duplicates(rows, id_column=ROW).filter("not kept"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, leaks.leaks(docs, read_table(spark, sf_dir, "benchmark")))
+    rows = _numbered(docs)
+    return _without(rows, leaks.leaks(rows, read_table(spark, sf_dir, "benchmark"), id_column=ROW))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,32 @@ def test_stages_get_through_edge_cases(spark, tables, tmp_path):
             found.write.parquet(path)
             docs = spark.read.parquet(path)
         assert pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
+def test_exactly_the_judged_rows_go(spark, tables):
+    folder, _ = tables
+    one, two, three, four = (passage(5000 + k, 80) for k in range(4))
+    leak = passage(6000, 30) + " " + ITEMS[0][1] + " " + passage(6001, 30)
+    near_one = " ".join([*one.split()[:-1], "changed"])
+    given = [
+        # Ids on rows with different texts: one a copy, a near copy or a leak, the other clean.
+        (1, one), (2, one), (1, two), (3, near_one), (3, three), (4, leak), (4, four),
+        # Rows without an id: copies of one text and of a row with an id, a leak; rows that repeat both.
+        (None, passage(7000, 80)), (None, passage(7000, 80)), (None, two), (None, leak + " more"), (5, passage(7001, 80)), (5, passage(7001, 80)),
+    ]
+    docs, stages = documents(spark, given), dict(pipeline.STAGES)
+
+    def left():
+        return sorted(((r.doc_id, r.text) for r in docs.collect()), key=repr)
+
+    docs = stages["exact_dedup"](spark, docs, folder)
+    want = [(2, one), (1, two), (3, near_one), (3, three), (4, leak), (4, four), (None, passage(7000, 80)), (None, leak + " more"),
+            (5, passage(7001, 80))]
+    assert left() == sorted(want, key=repr)
+    docs = stages["near_dedup"](spark, docs, folder)
+    want.remove((3, near_one))
+    want.remove((None, leak + " more"))
+    assert left() == sorted(want, key=repr)
+    docs = stages["decontamination"](spark, documents(spark, [*want, (None, leak + " more")]), folder)
+    want.remove((4, leak))
+    assert left() == sorted(want, key=repr)
