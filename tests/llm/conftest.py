@@ -2,3 +2,11 @@ import sys
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+def pytest_configure():
+    """Test files have no package, so two of one name would keep each other from running."""
+    names = [p.name for p in Path(__file__).resolve().parents[1].rglob("test_*.py")]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise RuntimeError(f"test files of one name: {twice}")
