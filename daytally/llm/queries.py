@@ -4,8 +4,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, exact_dup, leaks, licences, lm, near_dup, pii, quality, secrets, training_order
-from daytally.llm.shared import read_table
+from daytally.llm import bpe, exact_dup, leaks, licences, lm, near_dup, pii, quality, secrets, training_order, warc
+from daytally.llm.shared import read_table, stored
+from daytally.llm.warc import BASE32
 from daytally.session import shared_folder
 
 
@@ -52,9 +53,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives, and returns what reading them back tells of each page."""
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(read_table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    records = stored(warc.read(spark, folder, with_payload=False))
+    found = warc.pages(warc.captures(records))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_training_order, op2_exact_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_quality,
-    op7_minhash_near_dup, op8_licence_scan, op9_lm_score, op10_bpe)}
+    op7_minhash_near_dup, op8_licence_scan, op9_lm_score, op10_bpe, op11_warc)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -87,4 +97,13 @@ ORACLE = {
         SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
         FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
     """,
+    "op11_warc": f"""
+        WITH p AS (SELECT *, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+        d AS (SELECT *, array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', 1 + CAST(
+            (CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31
+            AS BIGINT), 1)), '') AS digest, min(page_id) OVER (PARTITION BY body) AS original FROM p)
+        SELECT page_id, strlen(body) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> original THEN original END AS refers_to FROM d
+    """,
 }

@@ -11,7 +11,7 @@ TABLES = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(entry.queries()) >= {*QUERIES, "pipeline"}
     assert set(entry.oracle_sql()) >= set(ORACLE)
 
@@ -19,16 +19,16 @@ def test_one_query_for_each_operator_and_the_pipeline():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "labels", "benchmark"):
+    for table in ("documents", "labels", "benchmark", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     found = QUERIES[name](spark, TABLES)
     cursor = connection.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(found.columns)
-    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(cursor.fetchall())
+    assert sorted(map(tuple, found.select(*columns).collect()), key=repr) == sorted(cursor.fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - {"op12_whitening"}))
 def test_query_returns_a_row_per_document(spark, name):
     documents = spark.read.parquet(f"{TABLES}/documents.parquet").count()
     found = QUERIES[name](spark, TABLES)
