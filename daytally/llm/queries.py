@@ -4,7 +4,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, exact_dup, leaks, licences, lm, near_dup, pii, quality, secrets, training_order, warc
+from daytally.llm import (
+    bpe, clusters, exact_dup, leaks, licences, lm, near_dup, pii, quality, secrets, training_order, warc, whitening,
+)
 from daytally.llm.shared import read_table, stored
 from daytally.llm.warc import BASE32
 from daytally.session import shared_folder
@@ -62,9 +64,34 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(read_table(spark, sf_dir, "embeddings"), clusters=16, rounds=3, seed="1")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_training_order, op2_exact_dedup, op3_secret_scan, op4_decontamination, op5_pii, op6_quality,
-    op7_minhash_near_dup, op8_licence_scan, op9_lm_score, op10_bpe, op11_warc)}
+    op7_minhash_near_dup, op8_licence_scan, op9_lm_score, op10_bpe, op11_warc,
+    op12_whitening, op13_clusters)}
+
+def _rounds(rounds: int) -> str:
+    """Common tables of the clustering: ``c0, a0, c1, a1, ...``, centroids and assignments in turn."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS (
+            SELECT k, vec_id, x, c, list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+            FROM v, c{r} QUALIFY row_number() OVER (PARTITION BY k ORDER BY d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS (
+            SELECT c, list(f ORDER BY place) AS y FROM (
+                SELECT c, place, CAST(floor(sum(e) / count(*)) AS BIGINT) AS f
+                FROM (SELECT c, unnest(x) AS e, generate_subscripts(x, 1) AS place FROM a{r}) GROUP BY c, place) GROUP BY c
+            UNION ALL SELECT c, y FROM c{r} WHERE c NOT IN (SELECT c FROM a{r}))""")
+    return ", ".join(parts)
+
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -106,4 +133,17 @@ ORACLE = {
                CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> original THEN original END AS refers_to FROM d
     """,
+    "op13_clusters": f"""
+        WITH v AS (
+            SELECT row_number() OVER () AS k, vec_id,
+                   list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings WHERE len(embedding) = 64
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), x) - 1 AS c, x AS y
+               FROM v QUALIFY c < 16),
+        {_rounds(3)}
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(y, ',')) AS centroid_sha256 FROM a3 JOIN c3 USING (c)
+    """,
 }
