@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from daytally.functions import exact_sum
 from daytally.operators.quantiles import brackets, order_statistics
 
+# Bits of a limb where a whole column is summed, which may have more rows than any group.
+WHOLE_COLUMN = 13
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -61,7 +63,7 @@ def tail_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
 def _moments(column: str) -> Column:
     value = F.col(column)
     return F.struct(
-        F.lit(column).alias("column"), F.count(value).alias("n"), (exact_sum(value) / F.count(value)).alias("mean"),
+        F.lit(column).alias("column"), F.count(value).alias("n"), (exact_sum(value, WHOLE_COLUMN) / F.count(value)).alias("mean"),
         F.round(F.stddev_samp(value), 4).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
     )
 

@@ -1,9 +1,12 @@
 """Writes and rewrites of tables."""
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daytally.schemas import RAW_COLUMNS
+from daytally.sources.tables import table_exists
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
@@ -54,15 +57,100 @@ def replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
+# The characters that Spark writes as percent codes in the names of partition folders.
+_CODED = "\"#%'*/:=?\\{[]^"
+
+
+def clear_partition(spark: SparkSession, path: str, schema: StructType, partition: dict[str, str]) -> None:
+    """Leave a partition without rows. Dynamic overwriting does not touch partitions for which there are no new rows."""
+    coded = ["".join(f"%{ord(c):02X}" if c in _CODED or ord(c) < 32 else c for c in v) for v in partition.values()]
+    folder = "/".join([path.rstrip("/"), *[f"{k}={v}" for k, v in zip(partition, coded, strict=True)]])
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+
+
 # The batch of a daily load; a stream's batches have names of their own.
 DAILY = "daily"
+STORE_PARTITIONS = ["exchange", "pull_date", "batch"]
+
+# The index of a store: which dates each batch has rows of, per venue. ``stored`` is false for dates that an earlier run
+# of the batch had rows of and the last one has not. A row without a date says that a batch is being written (``stored``),
+# so that it may have rows of any date, or that it has none.
+INDEX_SCHEMA = "exchange string, Date date, stored boolean, pull_date date, batch string"
+_BATCH = ["pull_date", "batch"]
+
+
+def index_path(store: str) -> str:
+    return store.rstrip("/") + "_dates"
+
+
+def read_index(spark: SparkSession, store: str) -> DataFrame | None:
+    """The index of a store, or None for a store from before it had one."""
+    path = index_path(store)
+    return spark.read.schema(INDEX_SCHEMA).parquet(path) if table_exists(spark, path) else None
+
+
+def _entries(spark: SparkSession, store: str, pull_date: str, batch: str) -> set[tuple]:
+    """Venues and dates of a batch, as stored: no more than the venues have calendar days."""
+    rows = spark.read.parquet(store).where(
+        (F.col("pull_date") == F.lit(pull_date).cast("date")) & (F.col("batch") == F.lit(batch)))
+    return {tuple(r) for r in rows.select("exchange", "Date").distinct().collect()}
+
+
+def _write_entries(spark: SparkSession, store: str, pull_date: str, batch: str, entries: list[tuple]) -> None:
+    rows = spark.createDataFrame(entries, "exchange string, Date date, stored boolean").coalesce(1)
+    rows = rows.select("*", F.lit(pull_date).cast("date").alias("pull_date"), F.lit(batch).alias("batch"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_BATCH).parquet(index_path(store))
+
+
+def _metrics(seen: Observation) -> dict:
+    """What was observed; nothing if the plan was known to be empty, which leaves out the observation too."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+def build_index(spark: SparkSession, store: str) -> None:
+    """Index every stored row: once, for a store from before it had an index."""
+    entries = spark.read.parquet(store).select("exchange", "Date", F.lit(True).alias("stored"), *_BATCH).distinct()
+    replace_partitions(entries, index_path(store), _BATCH)
 
 
 def append_batch(rows: DataFrame, path: str, pull_date: str, batch: str = DAILY) -> None:
-    """Store a load under ``exchange``, ``pull_date`` and ``batch``. The same batch of the same day replaces itself."""
+    """Store a load under ``exchange``, ``pull_date`` and ``batch``, and index the dates it has rows of.
+
+    The same batch of the same day replaces itself, also at venues for which it has no rows any more. The index says
+    before the write that the batch may have any date, and after it which dates those are: a run that stops in between
+    makes readers look at the whole batch, never past it.
+    """
+    spark = rows.sparkSession
+    index = read_index(spark, path)
+    if index is None and table_exists(spark, path):
+        build_index(spark, path)
+        index = read_index(spark, path)
+    former: set[tuple] = set()
+    if index is not None:
+        own = (F.col("pull_date") == F.lit(pull_date).cast("date")) & (F.col("batch") == F.lit(batch))
+        former = {tuple(r) for r in index.where(own).select("exchange", "Date").distinct().collect()} - {(None, None)}
+        if index.where(own & F.col("stored") & F.col("Date").isNull()).head(1):
+            former |= _entries(spark, path, pull_date, batch) if table_exists(spark, path) else set()
+    known = sorted(former, key=repr)
+    _write_entries(spark, path, pull_date, batch, [(None, None, True), *[(e, d, False) for e, d in known]])
+
     named = rows.select(
         "exchange", *RAW_COLUMNS, F.lit(pull_date).cast("date").alias("pull_date"), F.lit(batch).alias("batch"))
-    replace_partitions(named, path, ["exchange", "pull_date", "batch"])
+    venues = sorted({e for e, _ in known if e is not None})
+    seen = Observation()
+    counts = [F.count_if(F.col("exchange") == F.lit(v)).alias(f"n{k}") for k, v in enumerate(venues)]
+    replace_partitions(named.observe(seen, F.count(F.lit(1)).alias("n"), *counts), path, STORE_PARTITIONS)
+    inner = StructType([f for f in named.schema.fields if f.name not in STORE_PARTITIONS])
+    counted = _metrics(seen)
+    for k, venue in enumerate(venues):
+        if not counted.get(f"n{k}"):
+            clear_partition(spark, path, inner, {"exchange": venue, "pull_date": pull_date, "batch": batch})
+    now = _entries(spark, path, pull_date, batch) if table_exists(spark, path) else set()
+    entries = [(e, d, True) for e, d in now] + [(e, d, False) for e, d in former - now]
+    _write_entries(spark, path, pull_date, batch, sorted(entries, key=repr) or [(None, None, False)])
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -83,13 +171,20 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-def publish_csv_days(combined: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Publish days of the combined table, each in a folder of CSV files of its own, and leave all other days."""
+def publish_csv_days(combined: DataFrame, path: str, rows_per_file: int = 1_000_000, days: list | None = None) -> None:
+    """Publish days of the combined table, each in a folder of CSV files of its own, and leave all other days.
+
+    Of ``days``, those without rows are left without files but for one that has the header alone.
+    """
     (
         combined.withColumn("day", F.col("date")).hint("rebalance", "day").sortWithinPartitions("day", "symbol")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
         .partitionBy("day").csv(path, header=True)
     )
+    if days:
+        found = {r["date"] for r in combined.select("date").distinct().collect()}
+        for day in [d for d in days if d not in found]:
+            combined.limit(0).write.mode("overwrite").csv(f"{path.rstrip('/')}/day={day}", header=True)
 
 
 def publish_csv(combined: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

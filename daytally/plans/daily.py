@@ -7,11 +7,15 @@ partitions the day touches rather than the whole history.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daytally.operators.analysis import analysis_rows, sampled_correlation, sector_correlation
 from daytally.operators.ingest import advance_last_dates, incremental_plan, last_dates, load
-from daytally.operators.maintenance import append_batch, publish_csv_days, replace_partitions
+from daytally.operators.maintenance import (
+    append_batch, clear_partition, publish_csv_days, read_index, replace_partitions,
+)
 from daytally.operators.quality import answers, basic_quality, enforce, no_bad_rows, quality_vs_source, reconcile
+from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
 from daytally.session import cut_lineage
@@ -83,30 +87,52 @@ def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str,
 
 
 def changed_dates(spark: SparkSession, store: str, pull: str) -> list:
-    """The dates that the run of ``pull`` brought rows for: one for each calendar day at most."""
-    rows = spark.read.parquet(store).where(F.col("pull_date") == _day(pull)).select("Date").distinct()
-    return sorted(r["Date"] for r in rows.collect())
+    """The dates that the runs of ``pull`` brought rows for, or took rows of: one for each calendar day at most."""
+    index = read_index(spark, store)
+    stored = spark.read.parquet(store).where(F.col("pull_date") == _day(pull)).select("Date")
+    if index is None:
+        rows = stored
+    else:
+        entries = index.where(F.col("pull_date") == _day(pull))
+        # A batch that is being written may have rows of dates that are not indexed yet.
+        open_batch = entries.where(F.col("stored") & F.col("Date").isNull()).head(1)
+        rows = entries.select("Date").union(stored) if open_batch else entries.select("Date")
+    return sorted(r["Date"] for r in rows.where("Date IS NOT NULL").distinct().collect())
 
 
 def rows_of(spark: SparkSession, store: str, dates: list) -> DataFrame:
-    """Stored rows of some dates.
+    """Stored rows of some dates, whichever batch brought them.
 
-    A row is never pulled before its date, so partitions pulled before the oldest date are not read; of the others,
-    row groups without any of the dates are skipped by their statistics.
+    Batches that the index names for none of the dates are not read; of the others, row groups without any of the dates
+    are skipped by their statistics.
     """
     stored = spark.read.parquet(store)
     if not dates:
         return stored.limit(0)
-    return stored.where((F.col("pull_date") >= F.lit(dates[0])) & F.col("Date").isin(dates))
+    stored, index = stored.where(F.col("Date").isin(dates)), read_index(spark, store)
+    if index is None:
+        return stored
+    wanted = F.col("stored") & (F.col("Date").isin(dates) | F.col("Date").isNull())
+    batches = index.where(wanted).select("pull_date", "batch").distinct()
+    return stored.join(broadcast_if_small(batches), ["pull_date", "batch"], "left_semi")
 
 
 def publish_changes(
     spark: SparkSession, store: str, combined: str, pull: str, fixes: dict[str, str] = SYMBOL_FIXES
 ) -> list:
-    """Combine again the dates that the run of ``pull`` brought rows for, and name them."""
+    """Combine again the dates that the runs of ``pull`` brought rows for or took rows of, and name them.
+
+    A date that has no stored row left is published without rows.
+    """
     dates = changed_dates(spark, store, pull)
     if dates:
-        replace_partitions(combine(rows_of(spark, store, dates), fixes), combined, ["date"])
+        totals = combine(rows_of(spark, store, dates), fixes)
+        replace_partitions(totals, combined, ["date"])
+        left = {r["Date"] for r in rows_of(spark, store, dates).select("Date").distinct().collect()}
+        inner = StructType([f for f in totals.schema.fields if f.name != "date"])
+        for date in dates:
+            if date not in left:
+                clear_partition(spark, combined, inner, {"date": str(date)})
     return dates
 
 
@@ -123,7 +149,9 @@ def check_published(spark: SparkSession, store: str, combined: str, dates: list
         return presence
     if dates is None:
         return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store)))
-    return presence.unionByName(reconcile(published(spark, combined, dates), rows_of(spark, store, dates)))
+    # Not by the index: a batch that it lacks is missing from the totals, and must not be missing here too.
+    stored = spark.read.parquet(store).where(F.col("Date").isin(dates))
+    return presence.unionByName(reconcile(published(spark, combined, dates), stored))
 
 
 def run_day(
@@ -144,7 +172,7 @@ def run_day(
     dates = publish_changes(spark, store, combined, pull)
     if dates:
         enforce(check_published(spark, store, combined, dates), f"{folders['checks']}/pull_date={pull}/stage=published")
-        publish_csv_days(published(spark, combined, dates), folders["export"])
+        publish_csv_days(published(spark, combined, dates), folders["export"], days=dates)
 
 
 def study(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> dict[str, DataFrame]:

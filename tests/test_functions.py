@@ -1,4 +1,5 @@
 from datetime import date
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +89,27 @@ def test_request_url(spark):
                                   "e string, s string, a date, b date")
     urls = [r[0] for r in frame.select(fn.request_url("https://h/d/", F.col("e"), F.col("s"), F.col("a"), F.col("b"))).collect()]
     assert urls == ["https://h/d/FNYX_FB?start_date=2020-01-01&end_date=2020-01-09", None]
+
+
+def test_exact_sum_has_room_for_the_largest_volumes(spark):
+    rows = spark.range(20_000)
+    for bits in (25, 13):
+        for value, wanted in ((9e14, 1.8e19), (-9e14, -1.8e19), (-999999999999999.0, -1.999999999999998e19)):
+            assert rows.agg(fn.exact_sum(F.lit(value) + F.col("id") * 0, bits)).first()[0] == wanted
+
+
+def test_exact_sum_equals_decimal_sums(spark):
+    random = Random(1)
+    values = [random.choice([-1, 1]) * round(10 ** random.uniform(-6, 15), 6) for _ in range(5000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").where(fn.fits(F.col("v")))
+    wanted = rows.agg(F.sum(F.col("v").cast("decimal(38,6)")).cast("double")).first()[0]
+    assert [rows.agg(fn.exact_sum(F.col("v"), bits)).first()[0] for bits in (25, 13)] == [wanted, wanted]
+    assert rows.where("v > 1e300").agg(fn.exact_sum(F.col("v"))).first()[0] is None
+
+
+def test_six_decimals_fit_and_seven_do_not(spark):
+    near = [2**51 / 1e6, 2e9, 9e9, 1e10, 1234.0, 5e14]
+    good = [round(a + k / 1e6, 6) for a in near[:2] + near[4:5] for k in range(-50, 50)] + [1e14 + 0.25, 9007199254.740993]
+    bad = [1234.0000001, 1e-7, 2e9 - 1.0000005, float("nan"), float("inf"), 1e15, -1e15]
+    rows = spark.createDataFrame([(v, True) for v in good] + [(v, False) for v in bad], "v double, fits boolean")
+    assert rows.where(fn.fits(F.col("v")) != F.col("fits")).count() == 0
