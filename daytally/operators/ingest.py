@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import dedupe
-from daytally.sources.documents import parse_documents
+from daytally.sources.documents import good_rows, parse_documents
 
 # The columns that carry a symbol's request along with its documents and rows.
 WINDOW = ["last_date", "start_date", "end_date"]
@@ -75,6 +75,11 @@ def new_rows(windowed: DataFrame) -> DataFrame:
 
 
 def load(documents: DataFrame, plan: DataFrame) -> DataFrame:
-    """New rows of landed documents. The plan meets whole documents, so skipped ones are never parsed and
+    """New rows of documents. The plan meets whole documents, so skipped ones are never parsed and
     rows are not joined."""
     return new_rows(parse_documents(wanted(documents, plan), *WINDOW))
+
+
+def load_landed_rows(landed: DataFrame, plan: DataFrame) -> DataFrame:
+    """New rows of documents that have been parsed (``sources.landed_rows``)."""
+    return new_rows(good_rows(wanted(landed, plan), *WINDOW))

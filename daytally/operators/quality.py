@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions import exact_sum, is_close, iso_text, volume_text
+from daytally.operators.ingest import last_dates
+from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import kept_rows, largest_row, one_row_per_venue, sum_over
 from daytally.schemas import CHECK_COLUMNS, SYMBOL_FIXES, VENUES
-from daytally.sources.documents import document_status, offered_at
+from daytally.session import stored as stored_once
+from daytally.sources.documents import landed_rows, offered_at
 from daytally.sources.tables import table_exists
 
 
@@ -48,16 +51,25 @@ def latest_rows(stored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quality_vs_source(stored: DataFrame, documents: DataFrame) -> DataFrame:
+    """:func:`landed_vs_stored` for documents that have not been parsed."""
+    return landed_vs_stored(stored, landed_rows(documents))
+
+
+def landed_vs_stored(stored: DataFrame, landed: DataFrame) -> DataFrame:
     """Freshness and accuracy of the newest stored row, for every venue and symbol the source sent rows for.
 
     A symbol that was not requested, or that the source had nothing for, has nothing to be compared with. Accuracy is
-    compared on the newest stored day, and only if the source sent that day: an incremental answer may not. Both
-    sides come down to one row per venue and symbol; the stored one travels with the documents.
+    compared on the newest stored day, and only if the source sent that day: an incremental answer may not. The stored
+    side is one row per venue and symbol, found first; it meets the landed rows where they are, which come down to one row
+    per venue and symbol before anything is shuffled.
     """
     keys = ["exchange", "Symbol"]
-    latest = latest_rows(stored.select(*keys, "Date", "TotalVolume", "ShortVolume", "ShortExemptVolume"), keys)
-    latest = latest.select(*keys, F.col("Date").alias("stored_date"), F.col("ShortVolume").alias("stored_volume"))
-    pairs = offered_at(documents.join(latest, keys, "left"), "stored_date", "stored_volume")
+    # Dates come down by hash; whole rows, which would be sorted, are compared on the newest day alone.
+    newest = broadcast_if_small(stored_once(last_dates(stored, tuple(keys)).withColumnRenamed("last_date", "Date")))
+    on_day = stored.select(*keys, "Date", "TotalVolume", "ShortVolume", "ShortExemptVolume").join(newest, [*keys, "Date"])
+    latest = latest_rows(on_day, keys)
+    latest = stored_once(latest.select(*keys, F.col("Date").alias("stored_date"), F.col("ShortVolume").alias("stored_volume")))
+    pairs = offered_at(landed.join(broadcast_if_small(latest), keys, "left"), "stored_date", "stored_volume")
     freshness = F.struct(
         F.lit("freshness").alias("check"), (F.col("stored_date") == F.col("newest_date")).alias("passed"),
         iso_text(F.col("newest_date")).alias("expected"), iso_text(F.col("stored_date")).alias("actual"),
@@ -67,15 +79,15 @@ def quality_vs_source(stored: DataFrame, documents: DataFrame) -> DataFrame:
         F.lit("accuracy").alias("check"), (no_volume | is_close(F.col("stored_volume"), F.col("source_volume"))).alias("passed"),
         volume_text(F.col("source_volume")).alias("expected"), volume_text(F.col("stored_volume")).alias("actual"),
     )
-    checks = F.array_compact(F.array(freshness, F.when(F.col("has_row"), accuracy)))
+    checks = F.array_compact(F.array(freshness, F.when(F.col("sent_day"), accuracy)))
     rows = pairs.select(F.concat_ws("/", *keys).alias("subject"), F.explode(checks).alias("c"))
     return rows.select("c.check", "subject", _verdict(F.col("c.passed")), "c.expected", "c.actual")
 
 
-def answers(documents: DataFrame) -> DataFrame:
-    """Whether every request was answered. A quiet symbol has answered; a failed or malformed one has not."""
+def answers(landed: DataFrame) -> DataFrame:
+    """Whether every request was answered, from landed rows. A quiet symbol has answered; a failed or malformed one has not."""
     worst = F.max(F.struct(F.col("status").isin("failed", "malformed").alias("bad"), "status"))
-    found = document_status(documents).groupBy("exchange", "Symbol").agg(worst.alias("worst"))
+    found = landed.groupBy("exchange", "Symbol").agg(worst.alias("worst"))
     return found.select(
         F.lit("answered").alias("check"), F.concat_ws("/", "exchange", "Symbol").alias("subject"),
         _verdict(~F.col("worst.bad")), F.lit("data or no data").alias("expected"), F.col("worst.status").alias("actual"),

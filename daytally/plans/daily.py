@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daytally.operators.analysis import analysis_rows, sampled_correlation, sector_correlation
-from daytally.operators.ingest import advance_last_dates, incremental_plan, last_dates, load
+from daytally.operators.ingest import advance_last_dates, incremental_plan, last_dates, load, load_landed_rows
 from daytally.operators.maintenance import (
     append_batch, clear_partition, publish_csv_days, read_index, replace_partitions,
 )
-from daytally.operators.quality import answers, basic_quality, enforce, no_bad_rows, quality_vs_source, reconcile
+from daytally.operators.quality import answers, basic_quality, enforce, landed_vs_stored, no_bad_rows, reconcile
 from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
-from daytally.session import cut_lineage
-from daytally.sources.documents import bad_document_rows
+from daytally.session import stored
+from daytally.sources.documents import bad_rows, landed_rows
 from daytally.sources.tables import table_exists
 
 VENUE_SYMBOL = ("exchange", "Symbol")
@@ -53,32 +53,54 @@ def save_dates(spark: SparkSession, store: str, marks: str, pull: str) -> None:
     replace_partitions(dates.withColumn("pull_date", _day(pull)), marks, ["pull_date"])
 
 
-def load_day(
-    spark: SparkSession, documents: DataFrame, symbols: DataFrame, store: str, marks: str, start: str, pull: str
-) -> None:
-    """Add the rows not stored yet. ``symbols`` has ``exchange`` and ``Symbol``."""
+def land_day(documents: DataFrame, folder: str, pull: str) -> DataFrame:
+    """Parse the day's documents into rows, once, and give these back as stored. The same day replaces itself."""
+    path = f"{folder}/pull_date={pull}"
+    landed_rows(documents).write.mode("overwrite").parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
+def _plan(spark: SparkSession, symbols: DataFrame, store: str, marks: str, start: str, pull: str) -> DataFrame:
     known = known_dates(spark, store, marks, pull) if table_exists(spark, store) else None
-    append_batch(load(documents, incremental_plan(symbols, known, start, pull)), store, pull)
+    return incremental_plan(symbols, known, start, pull)
+
+
+def _store_day(spark: SparkSession, rows: DataFrame, store: str, marks: str, pull: str) -> None:
+    append_batch(rows, store, pull)
     if table_exists(spark, store):
         save_dates(spark, store, marks, pull)
 
 
-def quarantine_day(documents: DataFrame, folder: str, pull: str) -> DataFrame:
+def load_day(
+    spark: SparkSession, documents: DataFrame, symbols: DataFrame, store: str, marks: str, start: str, pull: str
+) -> None:
+    """Add the rows of documents that are not stored yet. ``symbols`` has ``exchange`` and ``Symbol``."""
+    _store_day(spark, load(documents, _plan(spark, symbols, store, marks, start, pull)), store, marks, pull)
+
+
+def load_landed_day(
+    spark: SparkSession, landed: DataFrame, symbols: DataFrame, store: str, marks: str, start: str, pull: str
+) -> None:
+    """As :func:`load_day`, from landed rows."""
+    _store_day(spark, load_landed_rows(landed, _plan(spark, symbols, store, marks, start, pull)), store, marks, pull)
+
+
+def quarantine_day(landed: DataFrame, folder: str, pull: str) -> DataFrame:
     """Set aside the day's data rows that can't be read, and give them back. The same day replaces itself."""
     path = f"{folder}/pull_date={pull}"
-    bad_document_rows(documents).write.mode("overwrite").parquet(path)
-    return documents.sparkSession.read.parquet(path)
+    bad_rows(landed).write.mode("overwrite").parquet(path)
+    return landed.sparkSession.read.parquet(path)
 
 
-def check_store(spark: SparkSession, documents: DataFrame, store: str, bad: DataFrame | None = None) -> DataFrame:
+def check_store(spark: SparkSession, landed: DataFrame, store: str, bad: DataFrame | None = None) -> DataFrame:
     """Presence; whether every request was answered; freshness and accuracy of the symbols the source sent rows
     for; and whether all rows could be read."""
-    checks = basic_quality(spark, {"short_interests": store}).unionByName(answers(documents))
+    checks = basic_quality(spark, {"short_interests": store}).unionByName(answers(landed))
     if bad is not None:
         checks = checks.unionByName(no_bad_rows(bad, "documents"))
     if not table_exists(spark, store):
         return checks
-    return checks.unionByName(quality_vs_source(spark.read.parquet(store), documents))
+    return checks.unionByName(landed_vs_stored(spark.read.parquet(store), landed))
 
 
 def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str, str] = SYMBOL_FIXES) -> None:
@@ -159,14 +181,16 @@ def run_day(
 ) -> None:
     """One day from landed documents to the published table. Stops at the first set of checks with a failure.
 
-    ``folders`` names the shared folders ``store``, ``marks``, ``combined``, ``export``, ``checks`` and
-    ``quarantine``. All checks of a day are in ``checks`` whether it stops or not. Checks, combined table and export
+    ``folders`` names the shared folders ``store``, ``marks``, ``combined``, ``export``, ``checks``, ``quarantine`` and
+    ``landed`` (beside the quarantine if it is not named). All checks of a day are in ``checks`` whether it stops or not.
+    Documents are parsed once, into ``landed``; load, quarantine and checks read that. Checks, combined table and export
     read and write what the day touched.
     """
     store, combined = folders["store"], folders["combined"]
-    bad = quarantine_day(documents, folders["quarantine"], pull)
-    load_day(spark, documents, symbols, store, folders["marks"], start, pull)
-    enforce(check_store(spark, documents, store, bad), f"{folders['checks']}/pull_date={pull}/stage=store")
+    landed = land_day(documents, folders.get("landed", folders["quarantine"].rstrip("/") + "_landed"), pull)
+    bad = quarantine_day(landed, folders["quarantine"], pull)
+    load_landed_day(spark, landed, symbols, store, folders["marks"], start, pull)
+    enforce(check_store(spark, landed, store, bad), f"{folders['checks']}/pull_date={pull}/stage=store")
     if not table_exists(spark, store):
         return
     dates = publish_changes(spark, store, combined, pull)
@@ -175,12 +199,15 @@ def run_day(
         publish_csv_days(published(spark, combined, dates), folders["export"], days=dates)
 
 
-def study(combined: DataFrame, prices: DataFrame, sectors: DataFrame) -> dict[str, DataFrame]:
+def study(
+    combined: DataFrame, prices: DataFrame, sectors: DataFrame, calendar: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Correlations over all rows, per year, and over the sampled middle band.
 
-    The joined rows are checkpointed: all three need them, and they come out of several shuffles.
+    With a calendar (``analysis.trading_calendar``) horizons are counted in its days, else in the days a symbol has prices
+    for. The joined rows are stored: all three need some of their columns, and they come out of several shuffles.
     """
-    rows = cut_lineage(analysis_rows(combined, prices, sectors))
+    rows = stored(analysis_rows(combined, prices, sectors, calendar))
     return {
         "by_sector": sector_correlation(rows),
         "by_sector_and_year": sector_correlation(rows, per_year=True),

@@ -49,6 +49,16 @@ STUDY = f"""study AS (
   SELECT date, symbol, sector, short_volume / total_volume AS ratio, {', '.join(f'ret_{n}' for n in RETURN_HORIZONS)}
   FROM combined JOIN returns USING (date, symbol) JOIN sectors USING (symbol))"""
 
+GAPPED = """gapped AS (
+  SELECT * FROM prices WHERE NOT (CAST(right(date, 2) AS INTEGER) % 7 = 0 AND length(symbol) = 4)),
+calendar AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS number FROM (SELECT DISTINCT date FROM gapped)),
+numbered AS (SELECT gapped.*, number FROM gapped JOIN calendar USING (date))"""
+
+WORKING = "returns AS (SELECT p.date, p.symbol, p.close, " + ", ".join(
+    f"p{n}.close / p.close - 1 AS ret_{n}" for n in RETURN_HORIZONS
+) + " FROM numbered p " + " ".join(
+    f"LEFT JOIN numbered p{n} ON p{n}.symbol = p.symbol AND p{n}.number = p.number + {n}" for n in RETURN_HORIZONS) + ")"
+
 STUDY_TABLES = ", ".join([RAW, DEDUPED, COMBINED, PRICES, SECTORS, RETURNS, STUDY])
 
 SAMPLED = f"""sampled AS (
@@ -228,6 +238,12 @@ count(*) FILTER (status = 'FAIL') = 0 AS passed FROM checks GROUP BY "check" """
     "short_ratio": f"""WITH {RAW}, {DEDUPED}, {COMBINED}
 SELECT date, symbol, short_volume / total_volume AS ratio FROM combined""",
     "forward_returns": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
+    "trading_calendar": f"WITH {PRICES}, {GAPPED} SELECT * FROM calendar",
+    "working_day_returns": f"WITH {PRICES}, {GAPPED}, {WORKING} SELECT * FROM returns",
+    "working_day_correlation": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {PRICES}, {GAPPED}, {SECTORS}, {WORKING}, {STUDY}
+SELECT sector, {_CORRELATIONS} FROM study GROUP BY sector""",
+    "grouped_quantiles": f"""WITH {RAW} SELECT exchange, left(day, 7) AS month, round(quantile_cont(tv, 0.25), 6) AS q25,
+round(quantile_cont(tv, 0.5), 6) AS q50, round(quantile_cont(tv, 0.75), 6) AS q75 FROM raw GROUP BY 1, 2""",
     "join_prices": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {PRICES}, {SECTORS}
 SELECT combined.* EXCLUDE (d), close, sector FROM combined JOIN prices USING (date, symbol) JOIN sectors USING (symbol)""",
     "stratified_sample": f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {SECTORS}

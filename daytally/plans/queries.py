@@ -18,8 +18,9 @@ from daytally.functions import (
     to_volume,
 )
 from daytally.functions.dates import parse_iso
-from daytally.operators import analysis, counting, ingest, maintenance, quality, venues
+from daytally.operators import analysis, counting, ingest, maintenance, quality, quantiles, venues
 from daytally.schemas import RAW_COLUMNS
+from daytally.session import stored
 from daytally.sources import documents as docs
 from daytally.sources import listings, market_views, tables
 
@@ -403,6 +404,24 @@ def forward_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_date(analysis.forward_returns(market_views.prices(spark, sf_dir)), "date")
 
 
+def _gapped_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices without some symbols' days, as a halted symbol has them: each seventh day of the month, for a third of the symbols."""
+    prices = market_views.prices(spark, sf_dir)
+    halted = (F.dayofmonth("date") % 7 == 0) & (F.length("symbol") == 4)
+    return prices.where(~halted)
+
+
+@query
+def trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_date(analysis.trading_calendar(_gapped_prices(spark, sf_dir)), "date")
+
+
+@query
+def working_day_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = _gapped_prices(spark, sf_dir)
+    return _text_date(analysis.working_day_returns(prices, analysis.trading_calendar(prices)), "date")
+
+
 @query
 def join_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = analysis.join_prices(
@@ -426,7 +445,7 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def iqr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = analysis.stratified_sample(_analysis_rows(spark, sf_dir), "sector", ["date", "symbol"], SAMPLE_ROWS)
+    sample = stored(analysis.stratified_sample(_analysis_rows(spark, sf_dir), "sector", ["date", "symbol"], SAMPLE_ROWS))
     return _text_date(analysis.middle_band(analysis.long_returns(sample), "ret", ["sector", "horizon"]), "date")
 
 
@@ -440,6 +459,22 @@ def sector_period_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.sector_correlation(_analysis_rows(spark, sf_dir), per_year=True)
 
 
+@query
+def working_day_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = _gapped_prices(spark, sf_dir)
+    rows = analysis.analysis_rows(
+        _combined(spark, sf_dir), prices, market_views.sectors(spark, sf_dir), analysis.trading_calendar(prices))
+    return analysis.sector_correlation(rows)
+
+
+@query
+def grouped_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of the short volume per month and venue: many groups at once, with many ties."""
+    rows = _shorts(spark, sf_dir).withColumn("month", F.date_format("Date", "yyyy-MM"))
+    found = quantiles.grouped_quantiles(rows, "TotalVolume", ["exchange", "month"], counting.QUARTILES)
+    return found.withColumns({q: F.round(q, 6) for q in counting.QUARTILES})
+
+
 @query
 def sampled_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.sampled_correlation(_analysis_rows(spark, sf_dir), SAMPLE_ROWS)

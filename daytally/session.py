@@ -1,6 +1,7 @@
 """Session defaults, and the one place that decides where cut lineage is stored."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, for what several passes read in part: each pass
+    then reads its own columns alone, and survives lost executors. The folder is for the session to clear."""
+    path = f"{shared_folder(df.sparkSession)}/daytally-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions import bad_volume, parse_iso, strip_key, to_volume
+from daytally.functions import fits, parse_iso, strip_key
 from daytally.schemas import DOCUMENT_SCHEMA, RAW_COLUMNS, VOLUME_COLUMNS
 
 
@@ -35,37 +35,66 @@ def _cell(name: str) -> Column:
     return F.get("row", F.col(f"at_{name}"))
 
 
-def _source_rows(documents: DataFrame, keep_empty: bool, *keep: str) -> DataFrame:
-    """Typed rows with the newest date their document states; ``keep_empty`` keeps documents without rows.
+def landed_rows(documents: DataFrame, *keep: str) -> DataFrame:
+    """The columnar form of documents: one typed row per data row, and one for a document without data rows.
 
-    Values are found by column name, so the order of the columns and extra ones do not matter.
+    ``exchange, Symbol, SourceURL`` (without the key), ``status`` and ``newest`` of the document, ``Date`` and the volumes, the
+    ``reason`` why the row can't be used (the first column at fault, null for a good row), the faulty ``row`` as it came,
+    ``has_row``, and the columns in ``keep``. Store it where several jobs need the documents: the body is
+    parsed here and nowhere else. Values are found by column name, so the order of the columns and extra ones do not
+    matter.
     """
     # Whatever belongs to the document is worked out before it is split into rows.
     parsed = _with_dataset(documents).select(
-        *keep, "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"),
+        *keep, "exchange", "Symbol", strip_key(F.col("SourceURL")).alias("SourceURL"), _status().alias("status"),
         parse_iso(F.col("dataset.newest_available_date")).alias("newest"),
         *[_place(name) for name in ("Date", *VOLUME_COLUMNS)], F.col("dataset.data").alias("data"),
     )
     # An inner explode would have its non-empty test, and so the parsing, repeated below any earlier join.
     rows = parsed.select(*[c for c in parsed.columns if c != "data"], F.explode_outer("data").alias("row"))
-    if not keep_empty:
-        rows = rows.where(F.col("row").isNotNull())
-    date = parse_iso(_cell("Date"))
-    reason = F.when(date.isNull(), "Date")
-    for name in VOLUME_COLUMNS:
-        reason = reason.when(bad_volume(_cell(name)), name)
-    return rows.select(
-        *keep, "exchange", "newest", "SourceURL", "Symbol", date.alias("Date"),
-        *[to_volume(_cell(name)).alias(name) for name in VOLUME_COLUMNS],
-        "row", F.when(F.col("row").isNotNull(), reason).alias("reason"),
+    # Each cell is read once: its number here, and what is to be said of the number after that.
+    head = [*keep, "exchange", "Symbol", "SourceURL", "status", "newest"]
+    read = rows.select(
+        *head, "row", F.col("row").isNotNull().alias("has_row"), parse_iso(_cell("Date")).alias("Date"),
+        *[_cell(n).isNotNull().alias(f"has_{n}") for n in VOLUME_COLUMNS],
+        *[_cell(n).try_cast("double").alias(n) for n in VOLUME_COLUMNS],
     )
+    told = read.withColumns({n: F.when(fits(F.col(n)), F.col(n)) for n in VOLUME_COLUMNS})
+    reason = F.when(~F.col("has_row"), F.lit(None).cast("string")).when(F.col("Date").isNull(), "Date")
+    for name in VOLUME_COLUMNS:
+        reason = reason.when(F.col(f"has_{name}") & F.col(name).isNull(), name)
+    return told.select(
+        *head, "has_row", "Date", *VOLUME_COLUMNS, reason.alias("reason"),
+        F.when(reason.isNotNull(), F.to_json("row")).alias("row"))
+
+
+def _good() -> Column:
+    return F.col("has_row") & F.col("reason").isNull()
+
+
+def good_rows(landed: DataFrame, *keep: str) -> DataFrame:
+    """The rows of :func:`landed_rows` that can be stored."""
+    return landed.where(_good()).select("exchange", *RAW_COLUMNS, *keep)
+
+
+def bad_rows(landed: DataFrame) -> DataFrame:
+    """The rows of :func:`landed_rows` that can't, with the reason."""
+    return landed.where(F.col("reason").isNotNull()).select("exchange", "Symbol", "SourceURL", "reason", "row")
+
+
+def _told_apart(landed: DataFrame, wanted: Column, columns: list[str]) -> DataFrame:
+    """The columns of the rows that are ``wanted``, where the rows are being parsed.
+
+    A plain filter would be moved below the parsing, which would then run once for the filter and once for the row.
+    """
+    found = landed.select(F.explode_outer(F.when(wanted, F.array(F.struct(*columns)))).alias("r"))
+    return found.where(F.col("r").isNotNull()).select("r.*")
 
 
 def parse_documents(documents: DataFrame, *keep: str) -> DataFrame:
     """One typed row per good data row, with the venue, the symbol, the key-free address and the columns in
     ``keep`` carried along. The other data rows are in :func:`bad_document_rows`; none is in neither."""
-    good = _source_rows(documents, False, *keep).where(F.col("reason").isNull())
-    return good.select("exchange", *RAW_COLUMNS, *keep)
+    return _told_apart(landed_rows(documents, *keep), _good(), ["exchange", *RAW_COLUMNS, *keep])
 
 
 def bad_document_rows(documents: DataFrame) -> DataFrame:
@@ -73,45 +102,50 @@ def bad_document_rows(documents: DataFrame) -> DataFrame:
 
     ``reason`` names the first column at fault. A missing volume is no fault.
     """
-    bad = _source_rows(documents, False).where(F.col("reason").isNotNull())
-    return bad.select("exchange", "Symbol", "SourceURL", "reason", F.to_json("row").alias("row"))
+    return _told_apart(landed_rows(documents), F.col("reason").isNotNull(), ["exchange", "Symbol", "SourceURL", "reason", "row"])
 
 
 def newest_offered(documents: DataFrame) -> DataFrame:
     """Newest date the source states, and the short volume of its newest row, per venue and symbol."""
     newest_row = F.struct("Date", "TotalVolume", "ShortVolume", "ShortExemptVolume")
-    good = F.col("row").isNotNull() & F.col("reason").isNull()
-    offered = _source_rows(documents, True).groupBy("exchange", "Symbol").agg(
-        F.max("newest").alias("newest_date"), F.max(F.when(good, newest_row)).alias("best")
+    offered = landed_rows(documents).groupBy("exchange", "Symbol").agg(
+        F.max("newest").alias("newest_date"), F.max(F.when(_good(), newest_row)).alias("best")
     )
     return offered.select("exchange", "Symbol", "newest_date", F.col("best.ShortVolume").alias("source_volume"))
 
 
-def offered_at(documents: DataFrame, date: str, *keep: str) -> DataFrame:
-    """Newest date the source states, and its short volume on the day in a column ``date`` of the documents.
+def offered_at(landed: DataFrame, date: str, *keep: str) -> DataFrame:
+    """Newest date the source states, and its short volume on the day in a column ``date`` of the landed rows.
 
     One row per venue and symbol the source sent rows for, with ``date`` and the columns in ``keep``, which hold one
-    value per symbol. ``has_row`` says whether the source sent a good row for that day.
+    value per symbol. ``sent_day`` says whether the source sent a good row for that day.
     """
-    row = F.struct("TotalVolume", "ShortVolume", "ShortExemptVolume")
-    same = F.col("row").isNotNull() & F.col("reason").isNull() & (F.col("Date") == F.col(date))
-    offered = _source_rows(documents, True, date, *keep).groupBy("exchange", "Symbol", date, *keep).agg(
-        F.max("newest").alias("newest_date"), F.count("row").alias("n_rows"), F.max(F.when(same, row)).alias("best"))
+    # Rows of other days come down to one per symbol by hash; only those of the day are compared as whole rows.
+    by, volumes = ["exchange", "Symbol", date, *keep], ["TotalVolume", "ShortVolume", "ShortExemptVolume"]
+    same = F.coalesce(_good() & (F.col("Date") == F.col(date)), F.lit(False))
+    marked = landed.select(*by, "newest", "has_row", same.alias("same"), *[F.when(same, F.col(c)).alias(c) for c in volumes])
+    told = marked.groupBy(*by, "same", *volumes).agg(F.max("newest").alias("newest"), F.count_if("has_row").alias("n"))
+    offered = told.groupBy(*by).agg(
+        F.max("newest").alias("newest_date"), F.sum("n").alias("n_rows"),
+        F.max(F.when(F.col("same"), F.struct(*volumes))).alias("best"))
     return offered.where("n_rows > 0").select(
-        "exchange", "Symbol", date, *keep, "newest_date", F.col("best").isNotNull().alias("has_row"),
+        "exchange", "Symbol", date, *keep, "newest_date", F.col("best").isNotNull().alias("sent_day"),
         F.col("best.ShortVolume").alias("source_volume"))
 
 
+def _status() -> Column:
+    return (
+        F.when(F.col("body").isNull(), "failed")
+        .when(F.col("dataset").isNull() | F.col("dataset.data").isNull(), "malformed")
+        .when(F.size("dataset.data") == 0, "no data").otherwise("data")
+    )
+
+
 def document_status(documents: DataFrame) -> DataFrame:
     """Every requested symbol with what came back, so a failed request is not taken for a quiet symbol."""
-    rows = F.size("dataset.data")
     return _with_dataset(documents).select(
-        "exchange", "Symbol",
-        F.when(F.col("body").isNull(), "failed")
-        .when(F.col("dataset").isNull() | F.col("dataset.data").isNull(), "malformed")
-        .when(rows == 0, "no data")
-        .otherwise("data").alias("status"),
-        F.when(F.col("dataset.data").isNotNull(), rows).otherwise(0).alias("n_rows"),
+        "exchange", "Symbol", _status().alias("status"),
+        F.when(F.col("dataset.data").isNotNull(), F.size("dataset.data")).otherwise(0).alias("n_rows"),
     )
 
 

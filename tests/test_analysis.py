@@ -10,7 +10,7 @@ from helpers import day, tuples
 from pyspark.sql import functions as F
 
 from daytally.operators import analysis as a
-from daytally.operators import counting
+from daytally.operators import counting, quantiles
 from daytally.session import cut_lineage
 
 
@@ -78,11 +78,43 @@ def test_null_is_a_stratum(spark):
     assert a.stratified_sample(rows, "sector", ["symbol"], 7).groupBy("sector").count().orderBy("sector").collect() == [(None, 7), ("a", 1)]
 
 
-def test_a_group_too_large_for_a_band_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(a, "BAND_ROWS", 10)
-    rows = spark.range(11).select(F.lit("x").alias("sector"), F.col("id").cast("double").alias("ret"))
-    with pytest.raises(ValueError, match="11 rows"):
-        a.middle_band(rows, "ret", ["sector"])
+def test_quantiles_of_groups_of_any_size_equal_the_percentile(spark, monkeypatch):
+    """Sketches so coarse that the values between the brackets have to decide; ties, outliers, null groups, tiny groups."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 50)
+    ids = spark.range(60_000)
+    rows = ids.select(
+        F.when(F.col("id") < 20_000, "hot").when(F.col("id") < 40_000, "ties").when(F.col("id") < 40_003, "tiny")
+        .when(F.col("id") < 50_000, F.lit(None)).otherwise("far").alias("sector"),
+        F.when(F.col("id") < 20_000, F.xxhash64("id") / 1e9).when(F.col("id") < 40_000, F.col("id") % 3)
+        .when(F.col("id") < 50_000, F.rand(5)).when(F.col("id") % 100 == 0, 1e300).otherwise(-F.col("id") / 7.0).cast("double").alias("v"),
+    ).unionByName(spark.createDataFrame([("empty", None), ("one", 1.5)], "sector string, v double"))
+    wanted = {"low": 0.25, "mid": 0.5, "high": 0.9}
+    found = quantiles.grouped_quantiles(rows, "v", ["sector"], wanted)
+    exact = rows.where("v IS NOT NULL").groupBy("sector").agg(*[F.percentile("v", p).alias(n) for n, p in wanted.items()])
+    assert [r["sector"] for r in exact.collect() if r["sector"] == "empty"] == []
+    for got, want in zip(tuples(found, "sector", *wanted), tuples(exact, "sector", *wanted), strict=True):
+        assert got[0] == want[0] and got[1:] == pytest.approx(want[1:], rel=1e-12)
+    assert found.count() == 6
+
+
+def test_a_band_has_no_largest_group(spark):
+    rows = spark.range(100_001).select(F.lit("x").alias("sector"), F.col("id").cast("double").alias("ret"))
+    band = a.middle_band(rows, "ret", ["sector"]).agg(F.min("ret"), F.max("ret"), F.count("*")).first()
+    assert tuple(band) == (25_000.0, 75_000.0, 50_001)
+
+
+def test_working_days_are_numbered_and_missing_ones_have_no_return(spark):
+    prices = spark.createDataFrame(
+        [("A", "2020-01-02", 100.0), ("A", "2020-01-03", 110.0), ("A", "2020-01-07", 121.0),
+         ("B", "2020-01-02", 10.0), ("B", "2020-01-06", 20.0), ("B", "2020-01-07", 40.0)], "symbol string, date string, close double")
+    prices = prices.withColumn("date", F.col("date").cast("date"))
+    calendar = a.trading_calendar(prices)
+    assert tuples(calendar, "number", "date") == [(k, day(d)) for k, d in enumerate(["2020-01-02", "2020-01-03", "2020-01-06", "2020-01-07"])]
+    rows = tuples(a.working_day_returns(prices, calendar, (1, 2, 3)), "symbol", "date", "ret_1", "ret_2", "ret_3")
+    assert [(s, str(d)[-2:], *[None if v is None else round(v, 6) for v in r]) for s, d, *r in rows] == [
+        ("A", "02", 0.1, None, 0.21), ("A", "03", None, 0.1, None), ("A", "07", None, None, None),
+        ("B", "02", None, 1.0, 3.0), ("B", "06", 1.0, None, None), ("B", "07", None, None, None)]
+    assert a.trading_calendar(prices.limit(0)).count() == 0
 
 
 def test_approximate_sample(spark):

@@ -202,3 +202,23 @@ def test_the_second_day_exports_and_checks_its_own_dates(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
     plan = daily.rows_of(spark, folders["store"], dates)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*pull_date", plan) and re.search(r"PushedFilters: \[[^\]]*Date", plan)
+
+
+def test_a_day_parses_its_documents_once(spark, tmp_path, monkeypatch):
+    from daytally.sources import documents as parser
+
+    plans, whole = [], parser.F.from_json
+
+    def counted(*given):
+        plans.append(given)
+        return whole(*given)
+
+    monkeypatch.setattr(parser.F, "from_json", counted)
+    folders = _folders(tmp_path) | {"landed": str(tmp_path / "landed")}
+    documents = _answer(spark, _document(spark, "FB", "2020-01-08", [("2020-01-08", 5, 1, 9)]), _document(spark, "QUIET", "2020-01-08", []))
+    daily.run_day(spark, documents, _symbols_of(spark, "FB", "QUIET"), folders, START, "2020-01-08")
+    assert len(plans) == 1
+    landed = spark.read.parquet(folders["landed"])
+    assert tuples(landed, "Symbol", "status", "has_row", "ShortVolume", "reason", "row") == [
+        ("FB", "data", True, 5.0, None, None), ("QUIET", "no data", False, None, None, None)]
+    assert "K" not in "".join(r["SourceURL"] for r in landed.collect())
