@@ -18,7 +18,7 @@ from daytally.operators.quality import answers, basic_quality, enforce, landed_v
 from daytally.operators.sizes import broadcast_if_small
 from daytally.operators.venues import combine
 from daytally.schemas import SYMBOL_FIXES
-from daytally.session import stored
+from daytally.session import cut_lineage
 from daytally.sources.documents import bad_rows, landed_rows
 from daytally.sources.tables import table_exists
 
@@ -207,7 +207,7 @@ def study(
     With a calendar (``analysis.trading_calendar``) horizons are counted in its days, else in the days a symbol has prices
     for. The joined rows are stored: all three need some of their columns, and they come out of several shuffles.
     """
-    rows = stored(analysis_rows(combined, prices, sectors, calendar))
+    rows = cut_lineage(analysis_rows(combined, prices, sectors, calendar))
     return {
         "by_sector": sector_correlation(rows),
         "by_sector_and_year": sector_correlation(rows, per_year=True),
