@@ -208,6 +208,7 @@ QUALIFY row_number() OVER (PARTITION BY s ORDER BY d DESC, {BEST}, exchange DESC
     "head_sorted": f"WITH {RAW} SELECT {ROW} FROM raw ORDER BY d, s, {BEST}, exchange LIMIT 5",
     "tail": f"WITH {RAW} SELECT {ROW} FROM raw ORDER BY d DESC, s DESC, {BEST}, exchange DESC LIMIT 5",
     "row_count_approx": "SELECT count(*) AS n_rows, true AS exact FROM lineitem",
+    "row_count_interval": "SELECT count(*) AS n_rows, count(*) AS low, count(*) AS high, true AS exact FROM lineitem",
     "document_bad_rows": f"""WITH {RAW}, judged AS (
 SELECT CASE WHEN ev = 0.01 THEN 'Date' WHEN ev IN (0.02, 0.03, 0.04) THEN 'ShortVolume' ELSE 'good' END AS reason,
        CASE WHEN ev <> 0.05 THEN sv END AS sv FROM raw)

@@ -1,5 +1,6 @@
 """One query per operator, over the test tables. Each takes the session and the folder of the tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from daytally.functions import (
 from daytally.functions.dates import parse_iso
 from daytally.operators import analysis, counting, ingest, maintenance, quality, quantiles, venues
 from daytally.schemas import RAW_COLUMNS
-from daytally.session import stored
+from daytally.session import shared_folder, stored
 from daytally.sources import documents as docs
 from daytally.sources import listings, market_views, tables
 
@@ -324,6 +325,15 @@ def row_count_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.row_count_approx(spark, f"{sf_dir}/lineitem.parquet").select("n_rows", "exact")
 
 
+@query
+def row_count_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over files of unequal size: one or more for each month."""
+    folder = f"{shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    rows = _shorts(spark, sf_dir).withColumn("month", F.date_format("Date", "yyyy-MM"))
+    rows.repartition("month").write.partitionBy("month").parquet(folder)
+    return counting.row_count_interval(spark, folder, files=10_000).select("n_rows", "low", "high", "exact")
+
+
 @query
 def count_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_matching(_shorts(spark, sf_dir), F.col("Symbol").contains("_9"), "Symbol")

@@ -199,6 +199,44 @@ def test_approximate_count_is_repeatable_and_exact_for_few_files(spark, tmp_path
     assert counting.row_count_approx(spark, str(tmp_path / "empty")).first()["n_rows"] == 0
 
 
+@pytest.mark.parametrize(("unequal", "short_by"), [(0.5, 0.04), (1.0, 0.07)])
+def test_intervals_cover_as_often_as_asked(unequal, short_by):
+    """Files of unequal size, with rows per byte that differ and lean on the size. Very unequal ones are covered a little less."""
+    rng = np.random.default_rng(8)
+    sizes = np.exp(rng.normal(12, unequal, 400)).astype(int)
+    rows = (sizes / 40 * np.exp(rng.normal(0, 0.2, 400)) + 200).astype(int)
+    for confidence in (0.8, 0.95):
+        covered, width = 0, []
+        for _ in range(1000):
+            at = rng.choice(400, 40, replace=False)
+            middle, low, high = counting.ratio_interval(list(zip(rows[at].tolist(), sizes[at].tolist())), 400, int(sizes.sum()), confidence)
+            covered += low <= rows.sum() <= high
+            width.append(high - low)
+            assert low <= middle <= high
+        assert confidence - short_by < covered / 1000 < confidence + 0.04
+        assert np.mean(width) < 0.3 * rows.sum()
+
+
+def test_student_quantiles():
+    for confidence, freedom, wanted in ((0.95, 10, 2.228), (0.95, 30, 2.042), (0.99, 20, 2.845), (0.8, 63, 1.295)):
+        assert counting._student(confidence, freedom) == pytest.approx(wanted, abs=0.003)
+
+
+def test_count_with_an_interval(spark, tmp_path):
+    path = str(tmp_path / "t:a b")
+    table = spark.range(30_000).select("id", F.floor(F.sqrt("id") / 3).cast("int").alias("part"))
+    table.repartition(4).write.partitionBy("part").parquet(path)
+    exact = counting.row_count_interval(spark, path, files=1000).first()
+    assert tuple(exact) == (30_000, 30_000, 30_000, exact["all_files"], exact["all_files"], True)
+    some = counting.row_count_interval(spark, path, files=40).first()
+    assert some["low"] <= some["n_rows"] <= some["high"] < 60_000 and not some["exact"] and some["n_files"] == 40
+    assert some["low"] < 30_000 * 1.3 and some["high"] > 30_000 * 0.7
+    narrow = counting.row_count_interval(spark, path, files=40, confidence=0.5).first()
+    assert narrow["high"] - narrow["low"] < some["high"] - some["low"]
+    with pytest.raises(ValueError, match="at least two"):
+        counting.row_count_interval(spark, path, files=1)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_tail_and_top(spark, parts):
     frame = spark.range(100).select("id", (F.col("id") % 10).alias("k")).repartition(parts)
