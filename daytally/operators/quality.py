@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions import exact_sum, is_close, iso_text, volume_text
+from daytally.operators.fixes import fix_symbols
 from daytally.operators.ingest import last_dates
 from daytally.operators.sizes import broadcast_if_small
-from daytally.operators.venues import kept_rows, largest_row, one_row_per_venue, sum_over
-from daytally.schemas import CHECK_COLUMNS, SYMBOL_FIXES, VENUES
+from daytally.operators.venues import KEEP_ORDER, dedupe, kept_rows, largest_row, one_row_per_venue, sum_over
+from daytally.schemas import CHECK_COLUMNS, DAY_KEY, SYMBOL_FIXES, VENUES
 from daytally.session import stored as stored_once
 from daytally.sources.documents import landed_rows, offered_at
 from daytally.sources.tables import table_exists
@@ -104,7 +105,8 @@ def no_bad_rows(bad: DataFrame, subject: str) -> DataFrame:
 
 
 def reconcile(
-    combined: DataFrame, stored: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES, venues: tuple[str, ...] = VENUES
+    combined: DataFrame, stored: DataFrame, fixes: dict[str, str] | DataFrame = SYMBOL_FIXES,
+    venues: tuple[str, ...] = VENUES,
 ) -> DataFrame:
     """Published short volume against the sum over the venues, for every date and symbol.
 
@@ -112,10 +114,16 @@ def reconcile(
     two totals would take two of each. A key on one side only fails.
     """
     nothing = F.lit(None).cast("double")
-    expected = one_row_per_venue(stored, venues, fixes).select(
-        F.col("Date").alias("date"), F.col("Symbol").alias("symbol"),
-        sum_over(kept_rows(venues, fixes), "ShortVolume").alias("venue_volume"), nothing.alias("short_volume"),
-        F.lit(True).alias("is_stored"),
+    if isinstance(fixes, DataFrame):
+        # One row per venue and stored symbol: what several are corrected to is added up below.
+        totals = fix_symbols(dedupe(stored.select(*DAY_KEY, *KEEP_ORDER)), fixes)
+        volume = F.col("ShortVolume")
+    else:
+        totals = one_row_per_venue(stored, venues, fixes)
+        volume = sum_over(kept_rows(venues, fixes), "ShortVolume")
+    expected = totals.select(
+        F.col("Date").alias("date"), F.col("Symbol").alias("symbol"), volume.alias("venue_volume"),
+        nothing.alias("short_volume"), F.lit(True).alias("is_stored"),
     )
     published = combined.select(
         "date", "symbol", nothing.alias("venue_volume"), "short_volume", F.lit(False).alias("is_stored")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.functions import exact_sum, exact_total, remap_symbol
+from daytally.operators.fixes import check_fixes, fix_symbols
 from daytally.schemas import COMBINED_COLUMNS, DAY_KEY, SYMBOL_FIXES, VENUES
 
 # Which of several rows for one key stays: the largest by these columns, in this order.
@@ -94,12 +95,16 @@ def sum_over(kept: Iterable[str], column: str) -> Column:
 
 
 def combine(
-    df: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES, venues: tuple[str, ...] = VENUES
+    df: DataFrame, fixes: dict[str, str] | DataFrame = SYMBOL_FIXES, venues: tuple[str, ...] = VENUES
 ) -> DataFrame:
     """Totals per date and corrected symbol, from one row per venue, date and symbol as stored.
 
-    Stored symbols that are corrected to the same one are added up, so a date and symbol never has two rows.
+    Stored symbols that are corrected to the same one are added up, so a date and symbol never has two rows. ``fixes`` are
+    a few that always hold, or a table of any number with dates (``operators.fixes``), which are then as in
+    :func:`combine_dated`.
     """
+    if isinstance(fixes, DataFrame):
+        return combine_dated(df, fixes)
     kept = kept_rows(venues, fixes)
     return one_row_per_venue(df, venues, fixes).select(
         F.col("Date").alias("date"), F.col("Symbol").alias("symbol"),
@@ -113,3 +118,14 @@ def combine_any_venue(df: DataFrame, fixes: dict[str, str] = SYMBOL_FIXES) -> Da
     """As :func:`combine`, for any set of venues, at the price of a second shuffle."""
     kept = dedupe(df.select(*DAY_KEY, *KEEP_ORDER))
     return _totals(kept.withColumn("Symbol", remap_symbol(F.col("Symbol"), fixes)))
+
+
+def combine_dated(df: DataFrame, fixes: DataFrame) -> DataFrame:
+    """As :func:`combine`, for any set of venues, with a table of corrections that hold for a time.
+
+    Duplicates are told by the symbol as stored, so they are settled first; the kept rows meet the corrections and are
+    added up. Both aggregates combine before their shuffles, and the corrections are no columns, so the plan is the same for
+    one and for thousands.
+    """
+    check_fixes(fixes)
+    return _totals(fix_symbols(dedupe(df.select(*DAY_KEY, *KEEP_ORDER)), fixes))

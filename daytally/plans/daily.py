@@ -22,6 +22,9 @@ from daytally.session import cut_lineage
 from daytally.sources.documents import bad_rows, landed_rows
 from daytally.sources.tables import table_exists
 
+# Corrections of symbols: a few that always hold, or a table of them with dates (operators.fixes).
+Fixes = dict[str, str] | DataFrame
+
 VENUE_SYMBOL = ("exchange", "Symbol")
 
 
@@ -103,7 +106,7 @@ def check_store(spark: SparkSession, landed: DataFrame, store: str, bad: DataFra
     return checks.unionByName(landed_vs_stored(spark.read.parquet(store), landed))
 
 
-def publish_all(spark: SparkSession, store: str, combined: str, fixes: dict[str, str] = SYMBOL_FIXES) -> None:
+def publish_all(spark: SparkSession, store: str, combined: str, fixes: Fixes = SYMBOL_FIXES) -> None:
     """Combine every stored row."""
     replace_partitions(combine(spark.read.parquet(store), fixes), combined, ["date"])
 
@@ -140,7 +143,7 @@ def rows_of(spark: SparkSession, store: str, dates: list) -> DataFrame:
 
 
 def publish_changes(
-    spark: SparkSession, store: str, combined: str, pull: str, fixes: dict[str, str] = SYMBOL_FIXES
+    spark: SparkSession, store: str, combined: str, pull: str, fixes: Fixes = SYMBOL_FIXES
 ) -> list:
     """Combine again the dates that the runs of ``pull`` brought rows for or took rows of, and name them.
 
@@ -164,20 +167,23 @@ def published(spark: SparkSession, combined: str, dates: list) -> DataFrame:
     return whole.where(F.col("date").isin(dates)) if dates else whole.limit(0)
 
 
-def check_published(spark: SparkSession, store: str, combined: str, dates: list | None = None) -> DataFrame:
+def check_published(
+    spark: SparkSession, store: str, combined: str, dates: list | None = None, fixes: Fixes = SYMBOL_FIXES
+) -> DataFrame:
     """Presence and reconciliation, of the given dates or of all."""
     presence = basic_quality(spark, {"short_analysis": combined})
     if not table_exists(spark, combined):
         return presence
     if dates is None:
-        return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store)))
+        return presence.unionByName(reconcile(spark.read.parquet(combined), spark.read.parquet(store), fixes))
     # Not by the index: a batch that it lacks is missing from the totals, and must not be missing here too.
     stored = spark.read.parquet(store).where(F.col("Date").isin(dates))
-    return presence.unionByName(reconcile(published(spark, combined, dates), stored))
+    return presence.unionByName(reconcile(published(spark, combined, dates), stored, fixes))
 
 
 def run_day(
-    spark: SparkSession, documents: DataFrame, symbols: DataFrame, folders: dict[str, str], start: str, pull: str
+    spark: SparkSession, documents: DataFrame, symbols: DataFrame, folders: dict[str, str], start: str, pull: str,
+    fixes: Fixes = SYMBOL_FIXES,
 ) -> None:
     """One day from landed documents to the published table. Stops at the first set of checks with a failure.
 
@@ -193,9 +199,9 @@ def run_day(
     enforce(check_store(spark, landed, store, bad), f"{folders['checks']}/pull_date={pull}/stage=store")
     if not table_exists(spark, store):
         return
-    dates = publish_changes(spark, store, combined, pull)
+    dates = publish_changes(spark, store, combined, pull, fixes)
     if dates:
-        enforce(check_published(spark, store, combined, dates), f"{folders['checks']}/pull_date={pull}/stage=published")
+        enforce(check_published(spark, store, combined, dates, fixes), f"{folders['checks']}/pull_date={pull}/stage=published")
         publish_csv_days(published(spark, combined, dates), folders["export"], days=dates)
 
 

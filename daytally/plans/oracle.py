@@ -49,6 +49,17 @@ STUDY = f"""study AS (
   SELECT date, symbol, sector, short_volume / total_volume AS ratio, {', '.join(f'ret_{n}' for n in RETURN_HORIZONS)}
   FROM combined JOIN returns USING (date, symbol) JOIN sectors USING (symbol))"""
 
+DATED = """fixes AS (
+  SELECT 'S_' || CAST(s_suppkey AS VARCHAR) AS wrong, 'S_' || CAST(s_suppkey AS VARCHAR) || '_OLD' AS right_,
+         DATE '0001-01-01' AS f, DATE '1998-06-30' AS t FROM supplier
+  UNION ALL SELECT 'S_' || CAST(s_suppkey AS VARCHAR), 'G_' || CAST(s_suppkey // 10 AS VARCHAR), DATE '1999-01-01', DATE '9999-12-31'
+  FROM supplier)"""
+
+
+def _dated(table: str) -> str:
+    return f"SELECT {table}.*, coalesce(right_, s) AS now FROM {table} LEFT JOIN fixes ON s = wrong AND d BETWEEN f AND t"
+
+
 GAPPED = """gapped AS (
   SELECT * FROM prices WHERE NOT (CAST(right(date, 2) AS INTEGER) % 7 = 0 AND length(symbol) = 4)),
 calendar AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS number FROM (SELECT DISTINCT date FROM gapped)),
@@ -183,6 +194,18 @@ count(*) FILTER (NOT contains(s, '_9')) AS n_after FROM raw""",
     "normalize_symbol": """SELECT p_partkey,
 replace('P.' || CAST(p_size AS VARCHAR) || '.' || CAST(p_partkey AS VARCHAR), '.', '_') AS symbol FROM part""",
     "symbol_remap": f"""WITH {RAW} SELECT day AS "Date", {FIXED} AS symbol, tv AS "TotalVolume" FROM raw""",
+    "symbol_remap_dated": f"""WITH {RAW}, {DATED}
+SELECT exchange, day AS "Date", s AS "Symbol", now AS symbol_now, tv AS "TotalVolume" FROM ({_dated('raw')})""",
+    "combine_dated": f"""WITH {RAW}, {DEDUPED}, {DATED}, dated AS ({_dated('deduped')}), t AS ({_totals('dated', 'now')})
+SELECT * EXCLUDE (d) FROM t""",
+    "reconcile_dated": f"""WITH {RAW}, {DEDUPED}, {DATED}, dated AS ({_dated('deduped')}),
+sums AS (SELECT day AS date, now AS symbol, {_sum('sv')} AS venue_volume FROM dated GROUP BY day, now),
+published AS (SELECT date, CASE WHEN date = '2000-01-03' AND symbol = 'G_1' THEN 'S_1_OLD' ELSE symbol END AS symbol,
+  venue_volume AS short_volume FROM sums)
+SELECT 'reconciliation' AS "check", date || '/' || symbol AS subject,
+  CASE WHEN {CLOSE.format(a='short_volume', b='venue_volume')} THEN 'SUCCESS' ELSE 'FAIL' END AS status,
+  {_text('venue_volume')} AS expected, {_text('short_volume')} AS actual
+FROM sums FULL JOIN published USING (date, symbol)""",
     "typed_cast": f"""WITH {RAW} SELECT exchange, s AS "Symbol", CASE WHEN ev = 0.03 THEN NULL ELSE day END AS "Date",
 CASE WHEN ev = 0.03 THEN NULL ELSE sv END AS "ShortVolume", tv AS "TotalVolume" FROM raw""",
     "date_before": f"""WITH {RAW} SELECT s AS "Symbol", CASE WHEN ev = 0.03 THEN 'not a day' ELSE day END AS date,

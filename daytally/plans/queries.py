@@ -19,7 +19,7 @@ from daytally.functions import (
     to_volume,
 )
 from daytally.functions.dates import parse_iso
-from daytally.operators import analysis, counting, ingest, maintenance, quality, quantiles, venues
+from daytally.operators import analysis, counting, fixes, ingest, maintenance, quality, quantiles, venues
 from daytally.schemas import RAW_COLUMNS
 from daytally.session import shared_folder, stored
 from daytally.sources import documents as docs
@@ -209,6 +209,38 @@ def symbol_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_date(rows.select("Date", remap_symbol(F.col("Symbol"), FIXES).alias("symbol"), "TotalVolume"))
 
 
+def _dated_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two corrections for every symbol, with a gap between them; ten symbols each share the second one."""
+    supplier = market_views.table(spark, sf_dir, "supplier")
+    wrong = normalize_symbol(market_views.dotted_symbol("s_suppkey"))
+    day = lambda text: F.lit(text).cast("date")
+    first = F.struct(F.concat(wrong, F.lit("_OLD")).alias("right"), day(None).alias("valid_from"), day("1998-06-30").alias("valid_to"))
+    second = F.struct(F.concat(F.lit("G_"), F.floor(F.col("s_suppkey") / 10).cast("string")).alias("right"),
+                      day("1999-01-01").alias("valid_from"), day(None).alias("valid_to"))
+    return supplier.select(wrong.alias("wrong"), F.explode(F.array(first, second)).alias("f")).select("wrong", "f.*")
+
+
+@query
+def symbol_remap_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixes.fix_symbols(_shorts(spark, sf_dir), _dated_fixes(spark, sf_dir), into="symbol_now")
+    return _text_date(rows.select("exchange", "Date", "Symbol", "symbol_now", "TotalVolume"))
+
+
+@query
+def combine_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_date(venues.combine(_shorts(spark, sf_dir), _dated_fixes(spark, sf_dir)), "date")
+
+
+@query
+def reconcile_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a fault: one day of one symbol is published with the correction of another time."""
+    table = _dated_fixes(spark, sf_dir)
+    published = venues.combine(_shorts(spark, sf_dir), table)
+    wrong = (iso_text(F.col("date")) == "2000-01-03") & (F.col("symbol") == "G_1")
+    faulty = published.withColumn("symbol", F.when(wrong, "S_1_OLD").otherwise(F.col("symbol")))
+    return quality.reconcile(faulty, _shorts(spark, sf_dir), table)
+
+
 @query
 def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = market_views.text_short_interests(spark, sf_dir)
