@@ -60,6 +60,16 @@ def _dated(table: str) -> str:
     return f"SELECT {table}.*, coalesce(right_, s) AS now FROM {table} LEFT JOIN fixes ON s = wrong AND d BETWEEN f AND t"
 
 
+_SV, _TV = "CAST(sv AS VARCHAR)", "CAST(tv AS VARCHAR)"
+CSV_RECORDS = f"""records AS (
+  SELECT exchange || ', "' || s || '"' || chr(10) AS name, sv AS volume, day,
+    CASE WHEN ev = 0.04 THEN 'fields: 4' WHEN ev = 0.03 THEN 'volume' ELSE 'good' END AS reason,
+    '"' || exchange || ', ""' || s || '""' || chr(10) || '",' || CASE WHEN ev = 0.03 THEN 'abc' ELSE {_SV} END || ',' || day
+      || CASE WHEN ev = 0.04 THEN ',x' ELSE '' END AS record FROM raw
+  UNION ALL
+  SELECT s, tv, day, CASE WHEN ev = 0.05 THEN 'fields: 2' ELSE 'good' END,
+    s || ',' || {_TV} || CASE WHEN ev = 0.05 THEN '' ELSE ',' || day END FROM raw)"""
+
 GAPPED = """gapped AS (
   SELECT * FROM prices WHERE NOT (CAST(right(date, 2) AS INTEGER) % 7 = 0 AND length(symbol) = 4)),
 calendar AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER) AS number FROM (SELECT DISTINCT date FROM gapped)),
@@ -178,6 +188,9 @@ SELECT {ROW} FROM raw WHERE exchange = 'NASDAQ' UNION ALL SELECT {ROW} FROM raw
     "clean_stock_info": f"WITH {LISTING} SELECT * FROM listing",
     "parse_csv_lines": f"""WITH {RAW}
 SELECT exchange, day AS "Date", sv AS "ShortVolume", s AS "Symbol", tv AS "TotalVolume" FROM raw""",
+    "parse_csv_records": f"""WITH {RAW}, {CSV_RECORDS}
+SELECT CASE WHEN reason = 'good' THEN name ELSE record END AS name, CASE WHEN reason = 'good' THEN volume END AS volume,
+  CASE WHEN reason = 'good' THEN day END AS day, reason FROM records""",
     "parse_dataset_json": f"WITH {RAW} SELECT {ROW} FROM raw",
     "explode_rows": f"""WITH {RAW} SELECT exchange, s AS "Symbol", day AS "Date", sv AS "ShortVolume" FROM raw""",
     "document_status": f"""WITH {RAW}

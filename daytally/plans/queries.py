@@ -23,7 +23,7 @@ from daytally.operators import analysis, counting, fixes, ingest, maintenance, q
 from daytally.schemas import RAW_COLUMNS
 from daytally.session import shared_folder, stored
 from daytally.sources import documents as docs
-from daytally.sources import listings, market_views, tables
+from daytally.sources import csv_payloads, listings, market_views, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +125,22 @@ def parse_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.parse_csv_lines(listings.csv_lines(payloads, "payload", "exchange"), schema, "exchange")
 
 
+@query
+def parse_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two records to a payload, one with a quoted comma, quote and line end; some records are faulty."""
+    rows = market_views.text_short_interests(spark, sf_dir)
+    exempt = F.col("ShortExemptVolume")
+    volume = F.when(exempt == "0.03", "abc").otherwise(F.col("ShortVolume"))
+    surplus = F.when(exempt == "0.04", ",x").otherwise("")
+    first = F.concat(F.lit('"'), "exchange", F.lit(', ""'), "Symbol", F.lit('""\n",'), volume, F.lit(","), "Date", surplus)
+    second = F.concat("Symbol", F.lit(","), F.col("TotalVolume"), F.when(exempt == "0.05", "").otherwise(F.concat(F.lit(","), "Date")))
+    payloads = rows.select(F.encode(F.concat(F.lit("name,volume,day\r\n"), first, F.lit("\r\n"), second), "UTF-8").alias("payload"))
+    read = csv_payloads.read_records(csv_payloads.csv_records(payloads, "payload"), "name STRING, volume DOUBLE, day DATE")
+    good = _text_date(csv_payloads.good_records(read), "day").withColumn("reason", F.lit("good"))
+    bad = csv_payloads.rejects(read).select("reason", F.col("record").alias("name"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query
 def parse_dataset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_date(docs.parse_documents(market_views.documents(spark, sf_dir)))
