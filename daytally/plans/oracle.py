@@ -296,3 +296,6 @@ SELECT sector, CAST(left(date, 4) AS INTEGER) AS year, {_CORRELATIONS} FROM stud
     "sampled_correlation": f"WITH {BAND_TABLES}, {_band('sector, horizon')} {_SAMPLED_CORRELATION}",
     "sampled_correlation_one_band": f"WITH {BAND_TABLES}, {_band('horizon')} {_SAMPLED_CORRELATION}",
 }
+# The same answers by another way.
+ORACLE["merged_correlation"] = ORACLE["sector_correlation"]
+ORACLE["merged_period_correlation"] = ORACLE["sector_period_correlation"]

@@ -19,7 +19,7 @@ from daytally.functions import (
     to_volume,
 )
 from daytally.functions.dates import parse_iso
-from daytally.operators import analysis, counting, fixes, ingest, maintenance, quality, quantiles, venues
+from daytally.operators import analysis, counting, fixes, ingest, maintenance, moments, quality, quantiles, venues
 from daytally.schemas import RAW_COLUMNS
 from daytally.session import shared_folder, stored
 from daytally.sources import documents as docs
@@ -525,6 +525,19 @@ def working_day_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.sector_correlation(rows)
 
 
+@query
+def merged_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``sector_correlation``, from moments per sector and date."""
+    return moments.correlations(moments.moments(_analysis_rows(spark, sf_dir), ["sector", "date"]), ["sector"])
+
+
+@query
+def merged_period_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``sector_period_correlation``, from moments per sector and date."""
+    parts = moments.moments(_analysis_rows(spark, sf_dir), ["sector", "date"])
+    return moments.correlations(parts.withColumn("year", F.year("date")), ["sector", "year"])
+
+
 @query
 def grouped_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quartiles of the short volume per month and venue: many groups at once, with many ties."""

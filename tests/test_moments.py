@@ -1,0 +1,62 @@
+from datetime import timedelta
+
+import numpy as np
+import pytest
+from helpers import day, tuples
+
+from daytally.operators import analysis as a
+from daytally.operators import moments as m
+
+HORIZONS = (1, 2)
+
+
+def _tables(spark, days):
+    """Prices and volumes of eight symbols in two sectors; one symbol has no price on every third day."""
+    random = np.random.default_rng(3)
+    dates = [day("2020-01-01") + timedelta(days=k) for k in range(days)]
+    prices = [(d, f"S{s}", float(100 * np.exp(random.normal(0, 0.1)))) for k, d in enumerate(dates) for s in range(8) if s or k % 3]
+    volumes = [(d, f"S{s}", None, float(random.integers(0, 50)), None if (k + s) % 7 == 0 else 50.0) for k, d in enumerate(dates) for s in range(8)]
+    return (spark.createDataFrame(volumes, "date date, symbol string, short_exempt_volume double, short_volume double, total_volume double"),
+            spark.createDataFrame(prices, "date date, symbol string, close double"),
+            spark.createDataFrame([(f"S{s}", "odd" if s % 2 else "even") for s in range(8)], "symbol string, sector string"), dates)
+
+
+def _study(monkeypatch):
+    monkeypatch.setattr(a, "RETURN_HORIZONS", HORIZONS)
+
+
+def _same(found, wanted, *columns):
+    for got, want in zip(tuples(found, *columns), tuples(wanted, *columns), strict=True):
+        assert got == pytest.approx(want, abs=2e-6)
+
+
+def test_days_added_one_by_one_equal_the_whole(spark, tmp_path, monkeypatch):
+    _study(monkeypatch)
+    monkeypatch.setattr(a.working_day_returns, "__defaults__", (HORIZONS,))
+    combined, prices, sectors, dates = _tables(spark, 9)
+    folder, columns = str(tmp_path / "moments"), ["sector", *[f"{k}_ret_{n}" for n in HORIZONS for k in ("n", "corr")]]
+    first = dates[:6]
+    for known, new in [(6, first), (7, dates[6:7]), (8, dates[7:8]), (9, dates[8:9])]:
+        seen = [t.where(t["date"] <= dates[known - 1]) for t in (combined, prices)]
+        stored = m.refresh(spark, *seen, sectors, folder, new, HORIZONS)
+    rows = a.analysis_rows(combined, prices, sectors, a.trading_calendar(prices))
+    _same(m.correlations(stored, ["sector"], HORIZONS), a.correlation(rows, ["sector"], "ratio", [f"ret_{n}" for n in HORIZONS]), *columns)
+
+
+def test_only_the_dates_concerned_are_worked_out_again(spark, tmp_path):
+    calendar = spark.createDataFrame([(day(f"2020-01-{k:02d}"), k) for k in range(1, 11)], "date date, number int")
+    found = m.affected_dates(calendar, [day("2020-01-10")], (1, 5, 22))
+    assert tuples(found, "date") == [(day("2020-01-05"),), (day("2020-01-09"),), (day("2020-01-10"),)]
+
+
+def test_parts_merge_to_the_whole_whatever_the_scale(spark):
+    random = np.random.default_rng(5)
+    x = 1e6 + random.normal(size=400)
+    rows = spark.createDataFrame([(k % 7, float(v), float(2 * v + e), None) for k, (v, e) in enumerate(zip(x, random.normal(size=400)))]
+                                 + [(1, None, 1.0, None), (2, 1.0, None, None)], "part int, ratio double, ret_1 double, ret_2 double")
+    parts = m.moments(rows, ["part"], horizons=HORIZONS).withColumn("all", m.F.lit(1))
+    whole = m.correlations(parts, ["all"], HORIZONS).first()
+    assert whole["n_ret_1"] == 400 and whole["n_ret_2"] == 0 and whole["corr_ret_2"] is None
+    assert whole["corr_ret_1"] == pytest.approx(a.correlation(rows.withColumn("all", m.F.lit(1)), ["all"], "ratio", ["ret_1"]).first()["corr_ret_1"], abs=2e-4)
+    same = spark.createDataFrame([(1, 1.0, 2.0, None), (1, 1.0, 3.0, None)], rows.schema)
+    assert m.correlations(m.moments(same, ["part"], horizons=HORIZONS), ["part"], HORIZONS).first()["corr_ret_1"] is None
