@@ -195,6 +195,9 @@ SELECT CASE WHEN reason = 'good' THEN name ELSE record END AS name, CASE WHEN re
     "explode_rows": f"""WITH {RAW} SELECT exchange, s AS "Symbol", day AS "Date", sv AS "ShortVolume" FROM raw""",
     "document_status": f"""WITH {RAW}
 SELECT exchange, s AS "Symbol", 'data' AS status, count(*) AS n_rows FROM raw GROUP BY exchange, s""",
+    "document_status_faulty": f"""WITH {RAW}, told AS (SELECT exchange, s, CASE right(s, 1) WHEN '9' THEN 'failed'
+WHEN '8' THEN 'malformed' WHEN '7' THEN 'no data' ELSE 'data' END AS status FROM raw)
+SELECT exchange, s AS "Symbol", status, count(*) FILTER (status = 'data') AS n_rows FROM told GROUP BY exchange, s, status""",
     "newest_offered": f"""WITH {RAW} SELECT exchange, s AS "Symbol", day AS newest_date, sv AS source_volume
 FROM ({_latest('raw', 'exchange, s')})""",
     "sql_view": f"WITH {RAW} SELECT {ROW} FROM raw",
@@ -296,6 +299,10 @@ SELECT sector, CAST(left(date, 4) AS INTEGER) AS year, {_CORRELATIONS} FROM stud
     "sampled_correlation": f"WITH {BAND_TABLES}, {_band('sector, horizon')} {_SAMPLED_CORRELATION}",
     "sampled_correlation_one_band": f"WITH {BAND_TABLES}, {_band('horizon')} {_SAMPLED_CORRELATION}",
 }
+ORACLE["quality_gate_faulty"] = f"""WITH {RAW}, {DEDUPED}, {COMBINED}, {STORED}, {SOURCE_CHECKS}, {_reconciled(FAULTY)},
+checks AS (SELECT * FROM reconciled UNION ALL SELECT * FROM source_checks)
+SELECT "check", count(*) AS n_checks, count(*) FILTER (status = 'FAIL') AS n_failed,
+count(*) FILTER (status = 'FAIL') = 0 AS passed FROM checks GROUP BY "check" """
 # The same answers by another way.
 ORACLE["merged_correlation"] = ORACLE["sector_correlation"]
 ORACLE["merged_period_correlation"] = ORACLE["sector_period_correlation"]

@@ -161,6 +161,16 @@ def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("exchange", "Symbol", "status").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query
+def document_status_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that failed, came back malformed, or had nothing, by the last digit of the symbol."""
+    sent = market_views.documents(spark, sf_dir)
+    body = (F.when(F.col("Symbol").endswith("9"), F.lit(None)).when(F.col("Symbol").endswith("8"), "<html>")
+            .when(F.col("Symbol").endswith("7"), '{"dataset":{"column_names":["Date"],"data":[]}}').otherwise(F.col("body")))
+    found = docs.document_status(sent.withColumn("body", body))
+    return found.groupBy("exchange", "Symbol", "status").agg(F.sum("n_rows").alias("n_rows"))
+
+
 @query
 def document_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows set aside, per cause, and what is left of the short volume."""
@@ -431,15 +441,23 @@ def quality_vs_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_checks(spark, sf_dir)
 
 
-@query
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With faults: one symbol's volumes are off by one in a month, another's rows are missing."""
-    shorts, published = _shorts(spark, sf_dir), _combined(spark, sf_dir)
+def _faulty(published: DataFrame) -> DataFrame:
+    """One symbol's volumes are off by one in a month, another's rows are missing."""
     in_month = iso_text(F.col("date")).startswith(FAULT_MONTH)
     off = F.when(in_month & (F.col("symbol") == "S_1"), F.col("short_volume") + 1).otherwise(F.col("short_volume"))
     missing = in_month & (F.col("symbol") == "S_2") & F.col("short_volume").isNotNull()
-    faulty = maintenance.delete_where(published, missing).withColumn("short_volume", off)
-    return quality.reconcile(faulty, shorts, FIXES)
+    return maintenance.delete_where(published, missing).withColumn("short_volume", off)
+
+
+@query
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.reconcile(_faulty(_combined(spark, sf_dir)), _shorts(spark, sf_dir), FIXES)
+
+
+@query
+def quality_gate_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.reconcile(_faulty(_combined(spark, sf_dir)), _shorts(spark, sf_dir), FIXES)
+    return quality.gate_summary(found.unionByName(_stored_checks(spark, sf_dir)))
 
 
 @query
