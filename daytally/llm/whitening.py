@@ -58,14 +58,22 @@ class Whitening:
         """Sum of the squares of ``n * x - sums``, exact; None beyond a long."""
         if not self.sums:
             return [0] * len(x)
-        # Where doubles say that all is far below the limit, longs are exact; elsewhere Python's whole numbers are.
+        # Doubles tell which sums fit a long for certain and which don't; whole numbers of any size decide the few between.
         sums = np.array(self.sums, dtype=object)
         rough = ((self.n * x.astype(np.float64) - sums.astype(np.float64)) ** 2).sum(axis=1)
-        if max(abs(s) for s in self.sums) < 2**61 and float(np.abs(x).max(initial=0)) * self.n < 2.0**61 and (rough < 2.0**61).all():
-            off = x.astype(np.int64) * self.n - sums.astype(np.int64)
-            return (off * off).sum(axis=1).tolist()
-        exact = [int(sum(v * v for v in (self.n * row.astype(object) - sums))) for row in x]
-        return [v if v < 2**63 else None for v in exact]
+        out: list[int | None] = [None] * len(x)
+        exact = rough < 9.3e18
+        if max(abs(s) for s in self.sums) < 2**63:
+            # Products may wrap around; their differences from the sums are small and right all the same.
+            off = x.astype(np.int64) * np.int64(self.n) - sums.astype(np.int64)
+            squares = (off * off).sum(axis=1)
+            for k in np.flatnonzero(rough < 9.2e18):
+                out[k] = int(squares[k])
+            exact &= rough >= 9.2e18
+        for k in np.flatnonzero(exact):
+            value = sum(int(v) ** 2 for v in self.n * x[k].astype(object) - sums)
+            out[k] = value if value < 2**63 else None
+        return out
 
 
 def _centred(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:

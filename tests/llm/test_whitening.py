@@ -107,3 +107,13 @@ def test_large_entries(spark):
     model, _ = fit(rows_of(spark.createDataFrame([(1, [2.0**33, 0.0]), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")), 1)
     assert model.deviations(np.array([[2**41, 0], [0, 0]])) == [None, None]
     assert model.deviations(np.array([[2**40 + 1000, 0], [2**40, 3]])) == [4000000, 36]
+
+
+def test_deviations_around_the_limit_of_a_long():
+    """Products beyond a long, differences within; squares just below, at and above the limit; sums beyond a long."""
+    n, edge = 10**6, 3037000499  # the root of the largest long
+    x = np.array([[2**52 - 1, 0], [2**52, 1], [2**52 + edge // n, 0], [2**52 + 4000, 0], [0, 0]], dtype=np.int64)
+    for sums in ((2**52 * n, 0), (2**52 * n + 17, -5), (edge, 0), (edge + 1, 0), (0, 2**63 + 5)):
+        model = whitening.Whitening(n, sums, np.zeros((2, 0)), np.zeros(0), np.zeros(0))
+        exact = [sum((n * int(v) - s) ** 2 for v, s in zip(row, sums, strict=True)) for row in x]
+        assert model.deviations(x) == [v if v < 2**63 else None for v in exact]
