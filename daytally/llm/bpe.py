@@ -1,12 +1,14 @@
 """Byte-level BPE encoding and decoding, long unsplit text by tree concatenation.
 
-A text is encoded by a public vocabulary as its own library encodes it. Long text is cut where every
-reading of the pattern that splits text must split (before white space that follows other characters), and the
-parts are encoded in parallel. A long run of letters has no such place: it is halved down to leaves, the halves
-are encoded apart, and at each join a window of tokens on both sides is encoded anew and grown until its first
-token is the left side's and its last token the right side's. The result is then the encoding of the whole:
-a sequence of tokens is an encoding exactly if every two neighbours are one, and each pair of neighbours lies
-in the left part, in the window or in the right part.
+A text is encoded by a public vocabulary as its own library encodes it. A long text is taken apart at special tokens,
+then cut where every reading of the pattern that splits text must split (before white space that follows other
+characters), and the parts are encoded in parallel. A part that holds a long run of characters of one kind (letters of any
+script, digits, white space, other marks) is split into pieces by the vocabulary's own pattern. A piece longer than a leaf
+is halved down to leaves, the halves are encoded apart, and at each join a window of tokens on both sides is encoded
+anew and grown until its first token is the left side's and its last token the right side's. The result is then the
+encoding of the whole: a sequence of tokens is an encoding exactly if every two neighbours are one, and each pair of
+neighbours lies in the left part, in the window or in the right part. Halves are cut between bytes, also within a
+character.
 
 Rows and edge cases: one row comes out per row that goes in, in any order. Null text counts as empty and has no
 tokens. A special token's text becomes its id, as in the library. Ids of rows may be null or repeat; rows are
@@ -23,21 +25,26 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from daytally.llm.shared import chunks, text_of
 
 TOKENIZER = "byte_bpe_50k.json"
-# Characters of a part of a long text, and bytes of a leaf of a long run of letters.
+# Characters of a part of a long text, and bytes of a leaf of a long piece.
 PART = 1 << 16
 LEAF = 1 << 12
 # Halves from this many bytes on are encoded at the same time.
 PARALLEL = 1 << 20
 # White space for every reading of Unicode, after what is none for any.
 _CUT = re.compile(r"(?<=\S)(?=[ \t\r\n])")
-_LETTERS = re.compile("[A-Za-z]*")
+# Characters of one kind, as the pattern tells them apart.
+_KIND = regex.compile(r"\p{L}++|\p{N}++|\s++|[^\s\p{L}\p{N}]++")
+# The pattern that splits text, with the character tables of the vocabulary's own library.
+_PIECES = ByteLevel(add_prefix_space=False, use_regex=True)
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,17 +70,25 @@ class Bpe:
                  for token, number in spec["model"]["vocab"].items() if token not in special}
         self.encoding = tiktoken.Encoding(
             "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special = set(special)
+        self.special = special
+        self._cut_special = re.compile("|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) or "(?!)")
         self.names = [str(k) for k in range(max(self.encoding.n_vocab, max(ranks.values()) + 1))]
         self.part, self.leaf = part, leaf
-        # A run of ASCII letters with nothing around it that could belong to its piece, but for a space before it.
-        other = "\x80-\U0010ffff"
-        self._run = re.compile(
-            rf"(?:(?<![\s'A-Za-z{other}])|(?<= )|^) ?([A-Za-z]{{{leaf + 1},}})(?![A-Za-z{other}])")
 
     def encode(self, text: str) -> np.ndarray:
-        if len(text) <= self.part and not self._long_run(text) or any(token in text for token in self.special):
+        if len(text) <= self.part and not self._long_run(text):
             return self._plain(text)
+        out, at = [], 0
+        for token in self._cut_special.finditer(text):
+            out += [self._stretch(text[at:token.start()]), np.array([self.special[token.group()]], np.uint32)]
+            at = token.end()
+        return np.concatenate([*out, self._stretch(text[at:])])
+
+    def _plain(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encoding._core_bpe.encode_to_tiktoken_buffer(text, set(self.special)), np.uint32)
+
+    def _stretch(self, text: str) -> np.ndarray:
+        """Tokens of text without special tokens."""
         stops, at = [], 0
         while len(text) - at > self.part and (cut := _CUT.search(text, at + self.part)):
             stops.append(at := cut.start())
@@ -83,25 +98,22 @@ class Bpe:
         with ThreadPoolExecutor(2) as pool:
             return np.concatenate(list(pool.map(self._part, parts)))
 
-    def _plain(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encoding._core_bpe.encode_to_tiktoken_buffer(text, self.special), np.uint32)
-
     def _long_run(self, text: str) -> bool:
-        """Whether more than a leaf of ASCII letters follow each other: such a run covers a multiple of the leaf."""
-        for k in range(self.leaf, len(text), self.leaf):
-            ahead = _LETTERS.match(text, k).end() - k
-            if ahead and ahead + _LETTERS.match(text[k - self.leaf:k][::-1]).end() > self.leaf:
+        """Whether a piece may be longer than a leaf: so many characters of one kind cover a multiple of their number."""
+        least = max(1, self.leaf // 4)
+        for k in range(0, len(text), least):
+            ahead = _KIND.match(text, k)
+            # The rest of the run lies before the probe, so it is read backwards from there.
+            behind = _KIND.match(text[max(0, k - least):k + 1][::-1])
+            if len(ahead.group()) + len(behind.group()) > least:
                 return True
         return False
 
     def _part(self, text: str) -> np.ndarray:
-        out, at = [], 0
-        if self._long_run(text):
-            for run in self._run.finditer(text):
-                start = run.start(1) - (run.start(1) > at and text[run.start(1) - 1] == " ")
-                out += [self._plain(text[at:start]), np.array(self.tree(text[start:run.end(1)].encode()), np.uint32)]
-                at = run.end(1)
-        return np.concatenate([*out, self._plain(text[at:])]) if out else self._plain(text)
+        if not self._long_run(text):
+            return self._plain(text)
+        pieces = (text[a:b].encode() for _, (a, b) in _PIECES.pre_tokenize_str(text))
+        return np.array([token for piece in pieces for token in self.tree(piece)], np.uint32)
 
     def tree(self, piece: bytes) -> list[int]:
         """Tokens of bytes that the pattern doesn't split."""

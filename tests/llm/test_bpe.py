@@ -65,12 +65,43 @@ def test_joined_trees_equal_the_whole(small, library):
 
 def test_long_texts_are_cut_where_it_is_safe(small, library):
     draw = random.Random(6)
-    pieces = ["word", " ", "  ", "\n", "\t", "'s", "'", "thisisalongrunofletters", "é", "ß", "123", "!!", "漢", "\x1c", "\x85", "!\x1d", "\u3000", "A" * 30, "  ", "🙂", "'lleee" + "x" * 12]
+    pieces = ["word", " ", "  ", "\n", "\t", "'s", "'", "thisisalongrunofletters", "é", "ß", "123", "!!", "漢", "\x1c", "\x85", "!\x1d", "\u3000", "A" * 30, "  ", "🙂", "'lleee" + "x" * 12, "<|endoftext|>", "7" * 25, "é" * 20, "字" * 9, " " * 15, "\n" * 11]
     for _ in range(400):
         text = "".join(draw.choice(pieces) for _ in range(draw.randint(1, 60)))
         assert small.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+KINDS = {
+    "ascii letters": "abcdefgh", "one letter": "a", "accents": "aéñü", "other script": "漢字日本語", "digits": "0123456789",
+    "white space": " \n\t", "marks": "!?-_=", "emoji": "🙂🚀", "combining": "e\u0301",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_long_pieces_of_every_kind_are_joined_from_halves(library, kind):
+    draw = random.Random(8)
+    long = "".join(draw.choice(KINDS[kind]) for _ in range(20_000))
+    if kind == "combining":
+        long = "e" * 10_000 + "\u0301" * 10_000
+    whole = bpe.load(PATH)
+    lengths, tree = [], whole.tree
+    try:
+        whole.tree = lambda piece: lengths.append(len(piece)) or tree(piece)
+        for text in (long, f"before {long} after", f"it's{long}<|endoftext|>{long} x  ", f"é{long}\n\n{long}"):
+            lengths.clear()
+            assert whole.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+            assert max(lengths) > bpe.LEAF
+    finally:
+        del whole.tree
+
+
+def test_pieces_are_those_of_the_library(small, library):
+    """Every character next to letters, digits, marks and space, with a vocabulary that takes all text for long."""
+    for low in range(0, 0x110000, 1 << 14):
+        text = "".join(f"x{chr(c)}\x01{chr(c)}1{chr(c)}  {chr(c)}" for c in range(low, low + (1 << 14)) if not 0xD800 <= c < 0xE000)
+        assert small.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(low)
+
+
 def test_a_window_grows_until_both_sides_agree(small):
     text = b"ab" * 3000
     whole = small.encoding._core_bpe.encode_single_piece(text)
