@@ -7,9 +7,12 @@ many groups as that takes are posted). Where documents meet, the collisions over
 lists of one document are skipped. Pairs at or above the match threshold gather documents into families, and
 the links of a family are confirmed on the full shingle sets. Components of the confirmed links are the groups.
 
-What meets in a task is bounded: equal sets are one class with one representative, and lists and families
-beyond a block are dealt out as pairs of blocks, which covers every pair. Only labels leave a block, never its
-pairs, so a large family gives as many rows as it has members.
+What meets in a task is bounded: equal sets are one class with one representative, and a list or family beyond a
+block is dealt out in two steps. First every block meets by itself, along with a few representatives of the whole group,
+which joins nearly all of a group of near copies into one component, with rows in proportion to its members. Only what
+then still lies apart meets across blocks: members outside the group's largest component meet all members, so every
+pair of different components is covered, and pairs within one component need not be looked at. Only labels leave a block, never
+its pairs.
 
 Rows and edge cases: one row comes out per row that goes in. Null text counts as empty; a text without words has
 no shingles, is linked with nothing and is kept. Fewer words than a shingle make one shingle of all of them.
@@ -18,11 +21,11 @@ links are joined. Ties do not arise: the component is the smallest id. Other col
 Sets are compared by 64-bit shingle hashes, equal sets by two sums of 64 bits over them.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.llm.shared import (
@@ -38,6 +41,8 @@ PLANS = ((85, 3, 65), (80, 2, 58))
 LIST_BLOCK = 1024
 FAMILY_BLOCK = 512
 FAMILY_SHINGLES = 4_000_000
+# Members of a list or family that meet every block of it.
+REPRESENTATIVES = 32
 # Columns of the membership matrix that are multiplied at once.
 _SLAB = 4096
 
@@ -95,17 +100,64 @@ def features(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
-def _deal(df: DataFrame, keys: list[str], node: str, blocks: str) -> DataFrame:
-    """Rows dealt to pairs of blocks ``i <= j``: one pair for a group of one block, else every pair of two."""
-    other = F.sequence(F.lit(0), F.col(blocks) - 1)
-    return (
-        df.withColumn("_block", F.pmod(F.xxhash64(node, F.lit(11)), F.col(blocks)).cast("int"))
-        .withColumn("_other", F.explode(F.when(F.col(blocks) == 1, F.array(F.lit(0)))
-                                        .otherwise(F.filter(other, lambda x: x != F.col("_block")))))
-        .withColumn("i", F.least("_block", "_other")).withColumn("j", F.greatest("_block", "_other"))
-        .drop("_block", "_other", blocks)
-        .repartition(task_count(df.sparkSession), *keys, "i", "j").sortWithinPartitions(*keys, "i", "j", node)
-    )
+def _block(node: str, blocks: Column, salt: int) -> Column:
+    return F.pmod(F.xxhash64(node, F.lit(salt)), blocks).cast("int")
+
+
+def _pairs(of: Column, to: Column) -> Column:
+    return F.struct(of.cast("int").alias("i"), to.cast("int").alias("j"))
+
+
+def _each(count: Column, pair: Callable[[Column], Column]) -> Column:
+    """An array of ``pair`` for the numbers below ``count``; empty for none."""
+    return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda x: x < count), pair)
+
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows at each place of their array ``at``, together with the other rows of the key at that place."""
+    rows = rows.withColumn("at", F.explode("at")).withColumn("i", F.col("at.i")).withColumn("j", F.col("at.j")).drop("at")
+    rows = rows.repartition(task_count(rows.sparkSession), key, "i", "j")
+    return rows.sortWithinPartitions(key, "i", "j", "node")
+
+
+def _met(roster: DataFrame, key: str, whole: Callable[[DataFrame], DataFrame], find: Callable) -> DataFrame:
+    """Links ``a, b`` that join members of each group as all links among its members would.
+
+    ``roster`` has ``node, blocks`` and the key of the group, ``whole`` adds to such rows what ``find`` compares.
+    """
+    own = _block("node", F.col("blocks"), 11)
+    hot = roster.filter("blocks > 1")
+    if hot.isEmpty():
+        alone = roster.withColumn("at", F.array(_pairs(F.lit(0), F.lit(0)))).drop("blocks")
+        return _dealt(whole(alone), key).mapInArrow(find, "a long, b long")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("node", F.lit(13)), "node"))
+    chosen = hot.withColumn("_place", place).filter(F.col("_place") <= REPRESENTATIVES).select(key, "node", F.lit(True).alias("_chosen"))
+    first = roster.join(small(stored(chosen)), [key, "node"], "left")
+    everywhere = _each(F.col("blocks"), lambda x: _pairs(x, x))
+    first = first.withColumn("at", F.when(F.col("_chosen"), everywhere).otherwise(F.array(_pairs(own, own))))
+    near = stored(_dealt(whole(first.drop("_chosen", "blocks")), key).mapInArrow(find, "a long, b long"))
+
+    # What still lies apart: members outside the largest component of their group meet all others.
+    labels = components(near).withColumnRenamed("component", "label")
+    placed = stored(hot.join(small(stored(labels)), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    parts = placed.groupBy(key, "label").agg(F.count("*").alias("n"))
+    parts = parts.groupBy(key).agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+    parts = stored(parts.filter("parts > 1").select(key, "top", (F.col("n") - F.col("top.n")).alias("rest"), "n"))
+    apart = placed.join(small(parts), key)
+    if apart.isEmpty():
+        return near
+    # Blocks as large as before, of the rest and of the largest component.
+    share = F.col("blocks") / F.col("n")
+    rest, main = F.ceil(F.col("rest") * share), F.ceil(F.col("top.n") * share)
+    inner, outer = _block("node", rest, 17), _block("node", main, 19)
+    # Places of two blocks of the rest have no negative number, those of a block of each have a negative first one.
+    within = _each(rest, lambda x: _pairs(F.least(inner, x), F.greatest(inner, x)))
+    within = F.when(rest == 1, within).otherwise(F.filter(within, lambda at: at["i"] != at["j"]))
+    across = _each(main, lambda x: _pairs(-1 - x, inner))
+    of_main = _each(rest, lambda x: _pairs(-1 - outer, x))
+    apart = apart.withColumn("at", F.when(F.col("label") == F.col("top.label"), of_main).otherwise(F.concat(within, across)))
+    far = _dealt(whole(apart.select(key, "node", "at")), key).mapInArrow(find, "a long, b long")
+    return near.unionByName(far)
 
 
 def _collisions(matches: int):
@@ -136,8 +188,8 @@ def _shingle_sets(width: int):
         for batch in chunks(batches):
             value, first = distinct_per_row(*Words(batch.column("text")).shingles(width), batch.num_rows)
             sets = [value[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-            kept = [batch.column(name) for name in ("node", "family", "blocks")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.binary())], ["node", "family", "blocks", "shingles"])
+            kept = [batch.column(name) for name in ("node", "family", "at")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sets, pa.binary())], ["node", "family", "at", "shingles"])
 
     return work
 
@@ -203,8 +255,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     posted = classes.select(F.explode("keys").alias("key"), "node")
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     lists = lists.select("key", F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("blocks"))
-    met = posted.join(lists, "key").join(classes.select("node", "sig"), "node")
-    pairs = _deal(met, ["key"], "node", "blocks").mapInArrow(_collisions(matches), "a long, b long")
+    signatures = classes.select("node", "sig")
+    pairs = _met(stored(posted.join(lists, "key")), "key", lambda df: df.join(signatures, "node"), _collisions(matches))
 
     families = components(pairs)
     families = families.join(classes.select("node", "n_shingles"), "node")
@@ -212,11 +264,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     blocks = F.greatest(F.ceil(F.col("n") / FAMILY_BLOCK), F.ceil(F.col("s") / FAMILY_SHINGLES)).cast("int")
     families = stored(families.join(size.select("component", blocks.alias("blocks")), "component")
                       .select("node", F.col("component").alias("family"), "blocks"))
-    # A repeated id may have several texts: only the one whose set stands for the class is wanted, but an extra
-    # member of a family can only add links of the same node.
-    members = texts.join(small(families), texts["id"] == families["node"]).select("node", "family", "blocks", "text")
-    sets = members.mapInArrow(_shingle_sets(width), "node long, family long, blocks int, shingles binary")
-    links = _deal(sets, ["family"], "node", "blocks").mapInArrow(_links(percent), "a long, b long")
+
+    def with_sets(roster: DataFrame) -> DataFrame:
+        # A repeated id may have several texts: only the one whose set stands for the class is wanted, but an extra
+        # member of a family can only add links of the same node.
+        members = texts.join(small(stored(roster)), texts["id"] == F.col("node")).select("node", "family", "at", "text")
+        return members.mapInArrow(
+            _shingle_sets(width), "node long, family long, at array<struct<i: int, j: int>>, shingles binary")
+
+    links = _met(families, "family", with_sets, _links(percent))
 
     # Each row's class. A class that holds a third of all rows is split, because both sides are shuffled for the join.
     named = rows.join(classes.select(*mark, "node"), mark, "left").withColumn("node", F.when(F.col("id").isNotNull(), F.col("node")))

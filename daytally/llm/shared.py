@@ -87,12 +87,12 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: every neighbour larger than the node goes to the smallest neighbour.
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # Stored, so that both sides of the join are shuffled for it and Spark can split a hub's neighbours.
+        # Stored, here and below, so that both sides of the join are shuffled for it and Spark can split a hub's neighbours.
         least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the node and its smaller neighbours go to the smallest of them.
         large = large.filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(low, "a")
         smaller = joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         new = stored(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
@@ -106,18 +106,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables that hold only whole groups, from batches sorted by ``keys``."""
-    rest = None
+    held: list[pa.Table] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
         start = group_starts(table, keys)[-1]
-        if start:
-            yield table.slice(0, start)
-        rest = table.slice(start)
-    if rest is not None and rest.num_rows:
-        yield rest
+        # The first rows may go on with the group that is held.
+        if start or held and any(held[-1].column(key)[-1] != table.column(key)[0] for key in keys):
+            whole = [*held, table.slice(0, start)]
+            if any(part.num_rows for part in whole):
+                yield pa.concat_tables(whole).combine_chunks()
+            held = []
+        held.append(table.slice(start))
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
 
 
 def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:

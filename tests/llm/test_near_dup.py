@@ -5,6 +5,7 @@ from cases import clashing, collected, documents, passage, rows, words
 
 from daytally.llm import near_dup
 from daytally.llm.near_dup import near_duplicates
+from daytally.llm.shared import stored
 
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
@@ -77,6 +78,44 @@ def test_blocks_of_a_large_family_miss_no_link(spark, monkeypatch):
     assert collected(near_duplicates(documents(spark, pairs), 3, 85), *COLUMNS) == expected(pairs, 3, 85)
 
 
+@pytest.mark.parametrize("representatives", [0, 2])
+def test_what_lies_apart_meets_across_blocks(spark, monkeypatch, representatives):
+    """Several clusters that one passage keeps together, met by no or few representatives."""
+    monkeypatch.setattr(near_dup, "LIST_BLOCK", 4)
+    monkeypatch.setattr(near_dup, "FAMILY_BLOCK", 4)
+    monkeypatch.setattr(near_dup, "REPRESENTATIVES", representatives)
+    rng, pairs = random.Random(6), []
+    base = passage(78, 90)
+    for cluster in range(6):
+        centre = edited(rng, base, 3)
+        pairs += [edited(rng, centre, rng.randrange(0, 4)) for _ in range(14)]
+    pairs = list(enumerate(pairs))
+    assert collected(near_duplicates(documents(spark, pairs), 3, 85), *COLUMNS) == expected(pairs, 3, 85)
+
+
+def test_rows_dealt_grow_with_the_members(spark, monkeypatch):
+    """A family of near copies is dealt in proportion to its members, not to their square."""
+    dealt, deal = [], near_dup._dealt
+
+    def counted(rows, key):
+        out = stored(deal(rows, key))
+        if key == "family":
+            dealt.append(out.count())
+        return deal(rows, key)
+
+    monkeypatch.setattr(near_dup, "_dealt", counted)
+    monkeypatch.setattr(near_dup, "FAMILY_BLOCK", 32)
+    monkeypatch.setattr(near_dup, "REPRESENTATIVES", 4)
+    rng, base, totals = random.Random(7), passage(79, 200), []
+    for n in (300, 1200):
+        dealt.clear()
+        pairs = list(enumerate(edited(rng, base, rng.randrange(1, 4)) for _ in range(n)))
+        found = near_duplicates(documents(spark, pairs), 3, 85).collect()
+        assert {r.component_id for r in found} == {0}
+        totals.append(sum(dealt))
+    assert totals[0] < 2 * 300 and totals[1] < 2 * 1200
+
+
 def test_a_chain_is_one_component(spark):
     w = passage(5, 200).split()
     pairs = [(9 - k, " ".join(w[3 * k:3 * k + 120])) for k in range(8)]
