@@ -7,7 +7,7 @@ the average, scoring needs one number per hash bucket, so a document costs one l
 
 Rows and edge cases: one row comes out per row that goes in. Null text counts as empty; an empty text has the
 score of the learned bias alone. Labels of an id that is labelled more than once count by their smallest value;
-null labels don't count. Without labels, or with one class only, the score is the share of that class, 0.5 at none.
+null labels don't count. Of rows that repeat a labelled id, the text with the smallest hash is learned from; all are scored. Without labels, or with one class only, the score is the share of that class, 0.5 at none.
 A null id is never a training row. Other columns are not read; labels, languages, sources and ids are no input
 of a score.
 """
@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm.shared import chunks, held_out, text_bytes, text_of
+from daytally.llm.shared import chunks, held_out, stored, text_bytes, text_of
 from daytally.llm.words import IS_SPACE, mix
 
-# The bound of the training sample: documents with the smallest hashes of their ids.
+# The bounds of the training sample: documents with the smallest hashes of their ids, and bytes of their hashed
+# counts, of which the documents that come first in that order are taken.
 TRAIN_DOCS = 4000
+TRAIN_BYTES = 256 << 20
 BITS = 16
 DIMENSIONS = 16
 EPOCHS = 12
@@ -91,15 +93,25 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], ["label", "place", "bucket", "count"])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, target: str, train_docs: int) -> list:
+def _sample(docs: DataFrame, labels: DataFrame, target: str, train_docs: int, train_bytes: int) -> list:
     """Hashed counts of the bounded training sample."""
     known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 3))
     known = known.groupBy("doc_id").agg(F.min(target).cast("int").alias("label"))
     known = known.withColumn("place", F.xxhash64("doc_id", F.lit(6))).orderBy("place", "doc_id").limit(train_docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    # The sample has train_docs rows at most, so it may be broadcast.
-    chosen = texts.join(F.broadcast(known), "doc_id").select("label", "place", "text")
-    return chosen.mapInArrow(_counts, "label int, place long, bucket binary, count binary").collect()
+    # The sample has train_docs rows at most, so it may be broadcast. An id that repeats is one document.
+    chosen = texts.join(F.broadcast(known), "doc_id").groupBy("label", "place", "doc_id")
+    chosen = chosen.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("label", "place", "text")
+    counted = stored(chosen.mapInArrow(_counts, "label int, place long, bucket binary, count binary"))
+    # One small row for each of them, to see how many fit the bytes.
+    size = counted.select("place", (F.octet_length("bucket") + F.octet_length("count")).alias("size"))
+    total, last = 0, None
+    for row in sorted(size.collect()):
+        total += row["size"]
+        if total > train_bytes and last is not None:
+            break
+        last = row["place"]
+    return counted.filter(F.col("place") <= F.lit(last)).collect()
 
 
 def fit(rows: list, epochs: int = EPOCHS, rate: float = RATE) -> Model:
@@ -136,8 +148,9 @@ def fit(rows: list, epochs: int = EPOCHS, rate: float = RATE) -> Model:
     return Model((vectors @ edge).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, target: str = "quality", train_docs: int = TRAIN_DOCS) -> Model:
-    return fit(_sample(docs, labels, target, train_docs))
+def train(docs: DataFrame, labels: DataFrame, target: str = "quality", train_docs: int = TRAIN_DOCS,
+          train_bytes: int = TRAIN_BYTES) -> Model:
+    return fit(_sample(docs, labels, target, train_docs, train_bytes))
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:

@@ -114,3 +114,15 @@ def test_exactly_the_judged_rows_go(spark, tables):
     docs = stages["decontamination"](spark, documents(spark, [*want, (None, leak + " more")]), folder)
     want.remove((4, leak))
     assert left() == sorted(want, key=repr)
+
+
+def test_columns_named_as_the_stages_name_theirs(spark, tables):
+    folder, texts = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 12 or doc_id between 230 and 240")
+    for name in ("daytally_row", "DAYTALLY_ROW_", "kept", "component_id", "at", "label"):
+        docs = docs.selectExpr("*", f"-doc_id as {name}")
+    for name in ("exact_dedup", "near_dedup", "decontamination"):
+        docs = dict(pipeline.STAGES)[name](spark, docs, folder)
+    got = docs.collect()
+    assert {r.doc_id for r in got} == {*range(12), *range(230, 241)}
+    assert all(r["daytally_row"] == r["at"] == -r.doc_id for r in got)

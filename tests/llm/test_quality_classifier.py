@@ -67,3 +67,18 @@ def test_a_score_depends_on_the_text_alone(spark):
     assert quality.accepted(documents(spark), model).columns == documents(spark).columns
     kept = quality.accepted(docs, model)
     assert collected(kept, "doc_id") == [(i,) for i, s in sorted(got.items()) if s >= 0.5]
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark):
+    pairs, marks = good_and_bad()
+    docs, marked = documents(spark, pairs), labels(spark, marks)
+    every = quality._sample(docs, marked, "quality", 4000, 1 << 30)
+    assert len(every) == sum(not fold(i) for i, _ in marks)
+    # An id that repeats, with its own text or with others, is one document of the sample.
+    again = docs.unionByName(docs).unionByName(documents(spark, [(0, passage(k, 30)) for k in range(50)]))
+    assert len(quality._sample(again, marked, "quality", 4000, 1 << 30)) == len(every)
+    assert len(quality._sample(docs, marked, "quality", 10, 1 << 30)) == 10
+    size = sorted((r["place"], len(r["bucket"]) + len(r["count"])) for r in every)
+    some = quality._sample(docs, marked, "quality", 4000, sum(n for _, n in size[:7]) + 1)
+    assert sorted(r["place"] for r in some) == [place for place, _ in size[:7]]
+    assert quality._sample(documents(spark, []), marked, "quality", 4000, 1) == []
