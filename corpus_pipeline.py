@@ -1,4 +1,10 @@
-"""The pipeline over ``documents``: each stage applies one operator to all that the stage before kept."""
+"""The pipeline over ``documents``: each stage applies one operator to all that the stage before kept.
+
+Rows and edge cases: a stage drops rows, never ids, so of rows that repeat an id exactly the judged ones go. A null text
+counts as empty; empty texts are judged by quality alone, and of several one stays. Rows without an id are judged like others; of
+equal texts a row with an id is preferred. Ties go to the larger id among equal texts and to the smaller among near
+copies. An empty table passes through. Further columns are kept up to the last stage, whatever their names.
+"""
 
 from collections.abc import Callable
 
@@ -9,25 +15,29 @@ from daytally.llm import bpe, exact_dup, leaks, near_dup, quality
 from daytally.llm.shared import read_table, small, stored
 
 
-# A row's own number, by which operators name it. No table has such a column.
-ROW = "daytally_row"
+def _row(docs: DataFrame) -> str:
+    """A name that no column has, for a row's own number, by which operators name it."""
+    name, taken = "daytally_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _numbered(docs: DataFrame, nulls_first: bool = False) -> DataFrame:
+def _numbered(docs: DataFrame, name: str, nulls_first: bool = False) -> DataFrame:
     """``docs`` with a number of each row, in the order of the ids: the id itself if no row lacks one or repeats it."""
     number = F.col("doc_id").cast("long")
     if docs.groupBy(number.alias("id")).count().filter("id is null or count > 1").isEmpty():
-        return docs.withColumn(ROW, number)
+        return docs.withColumn(name, number)
     # Rows with one id may be many, so their place splits them too. Stored, so that numbers stay as they are.
     order = number.asc_nulls_first() if nulls_first else number.asc_nulls_last()
-    placed = docs.withColumn(ROW, F.monotonically_increasing_id()).orderBy(order, ROW)
-    return stored(placed.withColumn(ROW, F.monotonically_increasing_id()))
+    placed = docs.withColumn(name, F.monotonically_increasing_id()).orderBy(order, name)
+    return stored(placed.withColumn(name, F.monotonically_increasing_id()))
 
 
-def _without(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
+def _without(rows: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
     """The numbered rows that no verdict drops, without their numbers."""
-    dropped = stored(verdicts.select(F.col("doc_id").alias(ROW)).distinct())
-    return rows.join(small(dropped), ROW, "left_anti").select(*(c for c in rows.columns if c != ROW))
+    dropped = stored(verdicts.select(F.col("doc_id").alias(name)).distinct())
+    return rows.join(small(dropped), name, "left_anti").drop(name)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +47,18 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Of equal texts the largest number stays, so a row with an id is preferred.
-    rows = _numbered(docs, nulls_first=True)
-    return _without(rows, exact_dup.exact_duplicates(rows, id_column=ROW).filter("not kept"))
+    rows = _numbered(docs, name := _row(docs), nulls_first=True)
+    return _without(rows, exact_dup.exact_duplicates(rows, id_column=name).filter("not kept"), name)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    return _without(rows, near_dup.near_duplicates(rows, id_column=ROW).filter("not kept"))
+    rows = _numbered(docs, name := _row(docs))
+    return _without(rows, near_dup.near_duplicates(rows, id_column=name).filter("not kept"), name)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    return _without(rows, leaks.leaks(rows, read_table(spark, sf_dir, "benchmark"), id_column=ROW))
+    rows = _numbered(docs, name := _row(docs))
+    return _without(rows, leaks.leaks(rows, read_table(spark, sf_dir, "benchmark"), id_column=name), name)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
