@@ -4,8 +4,10 @@ Everything on the way from text to result is Spark's own expressions. Spans come
 adding up the lengths of the pieces. Generators propose spans with high recall, which may overlap each other: loose
 addresses, loose runs of digits with separators, and the digit groups inside. A candidate is described by its
 format (lengths, kinds of characters, groups, check digit) and context (characters and words around it). Gradient
-boosted trees are trained on a bounded sample of the candidates of all documents, labelled by whether a pattern
-confirms them, and of drawn texts in other formats whose label is known; the trees become one expression.
+boosted trees are trained on all candidates of all documents, labelled by whether a pattern
+confirms them, and of drawn texts in other formats whose label is known; the trees become one expression. Candidates with
+the same features are one weighted row, which the trees can't tell from so many, and a label's weights are scaled to a fixed
+sum: the documents teach alike, few or many.
 Calibration on held-back candidates picks the least probability above which nearly all are personal. What reaches it and overlaps no pattern's span, nor a better candidate, is
 added.
 
@@ -69,8 +71,11 @@ _OTHER = (
     "at ##.##.#### ##", "%%%%% ################ %%%%%", "%%%% ################$$$", "range ####-####", "commit ########",
 )
 DRAWN = 150
-# Labelled candidates to learn from, for each label; candidates of a document.
-SAMPLE = 8000
+# What the documents' candidates of a label weigh at most, all together; a drawn candidate weighs 1.
+WEIGHT = 8000
+# Limits that a feature may be split at: more than the whole numbers that it takes, so that the trees try each of them. With
+# fewer, Spark would choose them from a sample of the rows.
+LIMITS = 512
 TREES, DEPTH = 12, 4
 PRECISION = 0.98
 _SPAN = "array<struct<s:int,e:int,v:string>>"
@@ -301,25 +306,40 @@ def _described(rows: DataFrame) -> DataFrame:
     return _with_candidates(_with_patterns(rows))
 
 
+def examples(described: DataFrame) -> DataFrame:
+    """``held_back, label, weight`` and features of all candidates of the rows and of the drawn texts.
+
+    Candidates that the trees can't tell apart are one row with their number ``n``.
+    """
+    def counted(rows: DataFrame, label: str) -> DataFrame:
+        each = rows.withColumn("c", F.explode("candidates")).select(
+            (F.pmod(F.xxhash64("id", "c.s", "c.e"), F.lit(4)) == 0).alias("held_back"),
+            F.col(label).cast("double").alias("label"), "c.f.*")
+        return each.groupBy(each.columns).agg(F.count("*").alias("n"))
+
+    own = stored(counted(described, "c.label"))
+    made = counted(_described(drawn(described.sparkSession)), "drawn")
+    # All of a label weigh as much as so many drawn ones at most, however many the documents hold.
+    total = own.groupBy("label").agg(F.sum("n").alias("of"))
+    weight = F.col("n") * F.least(F.lit(1.0), F.lit(float(WEIGHT)) / F.col("of"))
+    own = own.join(F.broadcast(total), "label").withColumn("weight", weight).drop("of")
+    return own.unionByName(made.withColumn("weight", F.col("n").cast("double")))
+
+
 def train(described: DataFrame) -> Model | None:
     """From rows with ``candidates``; None if they can't teach anything."""
-    each = stored(described.select("id", F.explode("candidates").alias("c")).select(
-        F.xxhash64("id", "c.s", "c.e").alias("place"), F.col("c.label").cast("double").alias("label"), "c.f.*"))
-    # The bound of the sample: the candidates with the smallest hashes, as many for each label.
-    picked = [each.filter(F.col("label") == k).orderBy("place", *FEATURES).limit(SAMPLE) for k in (0, 1)]
-    made = _described(drawn(described.sparkSession)).select("id", "drawn", F.explode("candidates").alias("c")).select(
-        F.xxhash64("id", "c.s", "c.e").alias("place"), F.col("drawn").cast("double").alias("label"), "c.f.*")
-    sample = stored(picked[0].unionByName(picked[1]).unionByName(made).withColumn("held_back", F.pmod("place", F.lit(4)) == 0))
-    known = {(r.held_back, r.label) for r in sample.select("held_back", "label").distinct().collect()}
+    taught = stored(examples(described))
+    known = {(r.held_back, r.label) for r in taught.select("held_back", "label").distinct().collect()}
     if len(known) < 4:
         return None
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, stepSize=0.3, subsamplingRate=1.0).fit(
-        vectors.filter("not held_back").select("features", "label"))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(taught)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=LIMITS, seed=5, stepSize=0.3, subsamplingRate=1.0, weightCol="weight").fit(
+        vectors.filter("not held_back").select("features", "label", "weight"))
     model = Model([(w, t.toDebugString) for w, t in zip(trees.treeWeights, trees.trees)], 2.0)
-    scored = sample.filter("held_back").select("label", model.probability(F.struct(*FEATURES)).alias("p"))
+    scored = taught.filter("held_back").select("label", "weight", model.probability(F.struct(*FEATURES)).alias("p"))
     # A hundred bins of probability.
-    bins = scored.groupBy(F.floor(F.col("p") * 100).alias("bin")).agg(F.sum("label").alias("yes"), F.count("*").alias("n"))
+    bins = scored.groupBy(F.floor(F.col("p") * 100).alias("bin")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("yes"), F.sum("weight").alias("n"))
     yes = n = 0
     for r in sorted(bins.collect(), key=lambda r: -r.bin):
         yes, n = yes + r.yes, n + r.n

@@ -137,3 +137,18 @@ def test_time_is_in_proportion_to_the_text(spark):
     seconds(2000)
     once, twice = min(seconds(8000) for _ in range(2)), min(seconds(16000) for _ in range(2))
     assert twice < 3 * once + 1 and twice < 20
+
+
+def test_every_candidate_teaches(spark, monkeypatch):
+    """However small the weight of a label, and wherever a rare format stands."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(module, "WEIGHT", 100)
+    pairs = [(k, f"write to user{k:04d}@example.org, order {k:08d}x") for k in range(600)] + [(9000, "call +49 30 12345678.")]
+    described = module._described(spark.createDataFrame(pairs, "id long, text string")).cache()
+    made = module._described(module.drawn(spark)).select(F.sum(F.size("candidates"))).first()[0]
+    taught = module.examples(described)
+    seen = taught.agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.sum("weight").alias("weight")).first()
+    assert seen.n == made + described.select(F.sum(F.size("candidates"))).first()[0]
+    assert seen.rows < made + 100 and seen.weight == pytest.approx(made + 200)
+    assert taught.filter("plus = 1 and label = 1 and length = 15 and n = 1").count() >= 1
