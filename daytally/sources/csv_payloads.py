@@ -65,7 +65,9 @@ def read_records(records: DataFrame, schema: str, *keep: str) -> DataFrame:
     reason = F.when(F.col("open"), "quote").when(F.col("n") != len(fields), F.concat(F.lit("fields: "), F.col("n").cast("string")))
     for name, field in zip(names, fields, strict=True):
         reason = reason.when(F.col(f"text.{name}").isNotNull() & F.col(f"row.{field.name}").isNull(), field.name)
-    return values.select(*keep, "record_no", "record", "row", reason.alias("reason"))
+    # A filter on the reason would be moved below the parsing, which would then run again for every column it looks at.
+    told = values.select(*keep, F.array(F.struct("record_no", "record", "row", reason.alias("reason"))).alias("_told"))
+    return told.select(*keep, F.explode_outer("_told").alias("_told")).select(*keep, "_told.*")
 
 
 def good_records(read: DataFrame, *keep: str) -> DataFrame:

@@ -56,3 +56,10 @@ def test_a_long_payload_is_read_in_proportion(spark):
     text = HEADER + "".join(f'"a ""{k}"", b\n",{k},2020-01-01\n' for k in range(rows))
     found = _good(spark, text)
     assert len(found) == rows and found[-1][:2] == (f'a "{rows - 1}", b\n', rows - 1.0)
+
+
+def test_a_record_is_parsed_once_whatever_is_asked_of_it(spark):
+    found = _read(spark, HEADER + "a,abc,2020-01-01\nb,1,2020-01-01\n")
+    for asked in (c.good_records(found, "key"), c.rejects(found, "key")):
+        assert asked._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+        assert asked.count() == 1
