@@ -135,11 +135,12 @@ def _met(roster: DataFrame, key: str, whole: Callable[[DataFrame], DataFrame], f
     first = roster.join(small(stored(chosen)), [key, "node"], "left")
     everywhere = _each(F.col("blocks"), lambda x: _pairs(x, x))
     first = first.withColumn("at", F.when(F.col("_chosen"), everywhere).otherwise(F.array(_pairs(own, own))))
-    near = stored(_dealt(whole(first.drop("_chosen", "blocks")), key).mapInArrow(find, "a long, b long"))
+    near = _dealt(whole(first.drop("_chosen", "blocks")), key).mapInArrow(find, "a long, b long")
 
     # What still lies apart: members outside the largest component of their group meet all others.
-    labels = components(near).withColumnRenamed("component", "label")
-    placed = stored(hot.join(small(stored(labels)), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    labels = stored(components(near).withColumnRenamed("component", "label"))
+    near = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    placed = stored(hot.join(small(labels), "node", "left").withColumn("label", F.coalesce("label", "node")))
     parts = placed.groupBy(key, "label").agg(F.count("*").alias("n"))
     parts = parts.groupBy(key).agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts"))
     parts = stored(parts.filter("parts > 1").select(key, "top", (F.col("n") - F.col("top.n")).alias("rest"), "n"))

@@ -16,15 +16,21 @@ from daytally.session import shared_folder
 CHUNK_BYTES = 2 << 20
 # A side of a join is broadcast up to this size.
 BROADCAST_BYTES = 16 << 20
+# Edges that a task of a graph's round writes, unless a shuffle has too few partitions for that.
+EDGES_PER_TASK = 20_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, *partition_by: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: it survives lost executors and is computed once."""
+def stored(df: DataFrame, *partition_by: str, tasks: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again: it survives lost executors and is computed once.
+
+    ``tasks`` write it, where the number of rows is known to be too small for a file from every partition of a shuffle.
+    """
     path = f"{shared_folder(df.sparkSession)}/daytally-{uuid.uuid4().hex}"
+    df = df if tasks is None else df.coalesce(tasks)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -68,40 +74,68 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As few edges ``a, b`` as join what the given ones join: of every node to the smallest that a task's edges reach."""
+    held: list[pa.Table] = []
+
+    def stars() -> pa.RecordBatch:
+        table = pa.concat_tables(held)
+        ends = [table.column(name).to_numpy() for name in ("a", "b")]
+        node, place = np.unique(np.concatenate(ends), return_inverse=True)
+        label = minimum_labels(len(node), *np.split(place, 2))
+        moved = np.flatnonzero(label != np.arange(len(node)))
+        return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], ["a", "b"])
+
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        if sum(map(len, held)) > 4 * EDGES_PER_TASK:
+            yield stars()
+            held.clear()
+    if held:
+        yield stars()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``; the component is the smallest node reachable.
 
-    Alternates the large-star and small-star steps until nothing changes; each node holds one row per
-    neighbour and the minimum is an aggregate, so a hub never meets in one task. Every round is stored.
+    Every task first joins what its own edges join, which for the edges of one task is the result. For more, the
+    large-star and small-star steps alternate until nothing changes; each node holds one row per
+    neighbour and the minimum is an aggregate, so a hub never meets in one task. Every round is stored, by as many tasks
+    as its edges are worth: a round never has more edges than the one before.
     """
     pairs = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     pairs = pairs.filter("a <> b")
-    if pairs.isEmpty():
-        return nodes.withColumn("component", F.col("node"))
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
-    state = mark(pairs)
-    while True:
+    tasks = -(-pairs.count() // EDGES_PER_TASK)
+    if not tasks:
+        return nodes.withColumn("component", F.col("node"))
+    alone = tasks == 1
+    pairs = stored(pairs.coalesce(tasks).mapInArrow(_contracted, "a long, b long"))
+    state = None if alone else mark(pairs)
+    while not alone:
+        tasks = -(-state[0] // EDGES_PER_TASK)
         # Large star: every neighbour larger than the node goes to the smallest neighbour.
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Stored, here and below, so that both sides of the join are shuffled for it and Spark can split a hub's neighbours.
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), tasks=tasks)
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the node and its smaller neighbours go to the smallest of them.
         large = large.filter("a <> b").distinct()
-        low = stored(large.groupBy("a").agg(F.min("b").alias("m")))
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), tasks=tasks)
         joined = large.join(low, "a")
         smaller = joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        new = stored(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        new = stored(smaller.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), tasks=tasks)
         before, pairs = state, new
         state = mark(pairs)
         if state == before:
             break
     found = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    found = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return found.coalesce(tasks)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

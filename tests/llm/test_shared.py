@@ -6,6 +6,7 @@ import pytest
 from cases import rows, words
 
 from daytally.llm import words as module
+from daytally.llm import shared
 from daytally.llm.shared import chunks, components, minimum_labels, whole_groups
 from daytally.llm.spans import code_points, maximal_runs
 from daytally.llm.words import Words
@@ -99,3 +100,18 @@ def test_runs_stay_within_their_row():
     start, end = maximal_runs(data == ord("b"), np.array([0, 4, 6, 6, 9]))
     assert list(zip(start.tolist(), end.tolist())) == [(2, 4), (4, 6), (6, 7), (8, 9)]
     assert code_points(np.frombuffer("aé🙂".encode(), np.uint8)).tolist() == [0, 1, 2, 2, 3, 3, 3, 3]
+
+
+@pytest.mark.parametrize("edges_per_task", [10, 20_000])
+def test_components_by_rounds_and_by_one_task(spark, monkeypatch, edges_per_task):
+    """A small graph takes no rounds, which cost a file from every partition; a larger one gives the same by rounds."""
+    seen, store = [], shared.stored
+    monkeypatch.setattr(shared, "EDGES_PER_TASK", edges_per_task)
+    monkeypatch.setattr(shared, "stored", lambda *a, **k: seen.append(k.get("tasks")) or store(*a, **k))
+    chain = [(k, k + 1) for k in range(40)]
+    hub = [(100, 100 + k) for k in range(30)]
+    edges = [(b, a) if a % 3 else (a, b) for a, b in chain + hub] + [(200, 200)]
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(8))
+    want = [(k, 0) for k in range(41)] + [(100 + k, 100) for k in range(30)] + [(200, 200)]
+    assert sorted(map(tuple, found.collect())) == want
+    assert (len(seen) == 2) == (edges_per_task > 100)
